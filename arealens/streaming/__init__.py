@@ -1,0 +1,5 @@
+"""No streaming operators: the feature set is batch only.
+
+Continuous feeds are handled by replacing one source or one year at a time,
+see :mod:`arealens.sinks.writers`.
+"""
