@@ -9,6 +9,7 @@ from arealens.constants import PLACEHOLDER_COORDINATES, STATES
 from arealens.functions.fixed import fixed_table
 from arealens.functions.geo import bounding_box, edges_from_wkt, strictly_inside, valid_coordinates
 from arealens.functions.text import to_double
+from arealens.operators.materialize import materialize
 from arealens.operators.skew import hottest_keys, lookup_join, row_salts
 
 ASSIGNMENT_COLUMNS = ["incident_id", "zcta", "assignment_method", "assignment_confidence", "assignment_notes", "assigned_at"]
@@ -22,10 +23,10 @@ def state_table(df: DataFrame) -> DataFrame:
 
 def inside_state_bounds(df: DataFrame, state: str, lat: str, lon: str, name: str) -> DataFrame:
     """Flag: the point lies in its state's bounding box. True for unknown or unbounded states."""
-    bounds = F.broadcast(state_table(df).select(F.col("state_code").alias("_state"), "lat_min", "lat_max", "lon_min", "lon_max"))
+    bounds = F.broadcast(state_table(df).select(F.col("state_code").alias("_bounded"), "lat_min", "lat_max", "lon_min", "lon_max"))
     inside = F.col(lat).between(F.col("lat_min"), F.col("lat_max")) & F.col(lon).between(F.col("lon_min"), F.col("lon_max"))
-    known = F.col("_state").isNotNull()
-    return df.join(bounds, F.upper(F.col(state)) == F.col("_state"), "left").select(
+    known = F.col("_bounded").isNotNull()
+    return df.join(bounds, F.upper(F.col(state)) == F.col("_bounded"), "left").select(
         *df.columns, F.when(known, F.coalesce(inside, F.lit(False))).otherwise(F.lit(True)).alias(name)
     )
 
@@ -99,12 +100,13 @@ def locate_points(
         & strictly_inside(keyed.lon, keyed.lat, cells.near)
     )
     # A point outside every polygon keeps an all-NULL first area.
-    return (
+    located = (
         keyed.join(cells, hit, "left")
         .groupBy(keyed.lon, keyed.lat)
         .agg(F.max("point_rows").alias("point_rows"), F.min(F.struct("area", *carry)).alias("_first"))
         .select("lon", "lat", "point_rows", "_first.area", *[f"_first.{c}" for c in carry])
     )
+    return materialize(located, "located")
 
 
 def attach_located(rows: DataFrame, located: DataFrame, lon: str, lat: str, names: dict[str, str]) -> DataFrame:

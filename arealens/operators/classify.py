@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from arealens.constants import CATEGORY_PRIORITY
 from arealens.functions.text import WORD, WORD_END, WORD_START, match_text
+from arealens.operators.materialize import materialize
 from arealens.operators.skew import hottest_keys, lookup_join
 
 UNKNOWN = "unknown"
@@ -138,9 +139,9 @@ def classify_distinct(df: DataFrame, column: str, mapping: dict, priority: list[
     Worth it for short, much repeated labels; long unique texts should use the direct form.
     """
     counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
-    known = classify_text(counted, column, mapping, priority)
+    known = materialize(classify_text(counted, column, mapping, priority), "classified")
     outputs = ["offense_normalized", "offense_group", "offense_subgroup"]
-    joined = lookup_join(df, known.select(column, *outputs), [column], hottest_keys(counted, [column], "_rows"))
+    joined = lookup_join(df, known.select(column, *outputs), [column], hottest_keys(known, [column], "_rows"))
     return joined.select(
         *df.columns,
         "offense_normalized",

@@ -10,8 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from arealens.operators.materialize import materialize
 from arealens.operators.skew import hottest_keys, lookup_join, null_safe_join, salted_join
 
+# Outcome tables up to this many rows (a few tens of MB) are broadcast; larger ones are shuffled.
+BROADCAST_ROWS = 500_000
+
 # Buckets per unit of ln(1 + |v|): each covers a relative band of 1 / 4096 of the values.
 BUCKETS_PER_LOG_UNIT = 4096.0
 
@@ -89,33 +93,36 @@ def value_outcomes(
 
     The percentile is (rank - 1) / (n - 1) with averaged ties, 0 in an all-zero group
     (checked first) and 0.5 in a group of one; z uses the population deviation, 0 if that is 0.
+    The histogram, the moments and the outcomes are materialised: each is read several times.
     """
     g = [*groups, "m"]
-    hist = ordered_histogram(df, columns, groups)
+    hist = materialize(ordered_histogram(df, columns, groups), "histogram")
+    v, cnt, n = F.col("v"), F.col("cnt"), F.col("n")
     if lower is None or upper is None:
-        clipped = hist.withColumn("lo", F.lit(float("-inf"))).withColumn("hi", F.lit(float("inf")))
+        bounded = hist.withColumns({"lo": F.lit(float("-inf")), "hi": F.lit(float("inf"))})
     else:
-        clipped = salted_join(hist, quantile_bounds(hist, g, lower, upper), g, "inner")
-    clipped = clipped.withColumn("w", F.greatest(F.least(F.col("v"), F.col("hi")), F.col("lo")))
-    low = clipped.groupBy(*g).agg(
-        F.min("w").alias("_min"),
-        F.max("w").alias("_max"),
-        F.sum(F.when(F.col("v") <= F.col("lo"), F.col("cnt")).otherwise(0)).alias("_at_lo"),
-        F.sum(F.when(F.col("v") >= F.col("hi"), F.col("cnt")).otherwise(0)).alias("_at_hi"),
-        (F.sum(F.col("w") * F.col("cnt")) / F.sum("cnt")).alias("_mean"),
+        bounded = salted_join(hist, quantile_bounds(hist, g, lower, upper), g, "inner")
+    clipped = F.greatest(F.least(v, F.col("hi")), F.col("lo"))
+    moments = materialize(
+        bounded.withColumn("w", clipped).groupBy(*g).agg(
+            F.max("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+            F.min("w").alias("_min"),
+            F.max("w").alias("_max"),
+            F.sum(F.when(v <= F.col("lo"), cnt).otherwise(0)).alias("_at_lo"),
+            F.sum(F.when(v >= F.col("hi"), cnt).otherwise(0)).alias("_at_hi"),
+            (F.sum(F.col("w") * cnt) / F.sum("cnt")).alias("_mean"),
+        ),
+        "moments",
     )
-    centred = salted_join(clipped, low, g, "inner")
-    spread = centred.groupBy(*g).agg(
-        F.sqrt(F.sum(F.pow(F.col("w") - F.col("_mean"), F.lit(2.0)) * F.col("cnt")) / F.sum("cnt")).alias("_std")
+    centred = salted_join(hist, moments, g, "inner").withColumn("w", clipped)
+    deviation = centred.groupBy(*g).agg(
+        F.sqrt(F.sum(F.pow(F.col("w") - F.col("_mean"), F.lit(2.0)) * cnt) / F.sum("cnt")).alias("_std")
     )
-    full = salted_join(centred, spread, g, "inner")
-    n = F.col("n")
-    tie_before = F.when(F.col("v") <= F.col("lo"), F.lit(0)).when(
-        F.col("v") >= F.col("hi"), n - F.col("_at_hi")
-    ).otherwise(F.col("before"))
-    tie_count = F.when(F.col("v") <= F.col("lo"), F.col("_at_lo")).when(
-        F.col("v") >= F.col("hi"), F.col("_at_hi")
-    ).otherwise(F.col("cnt"))
+    full = salted_join(centred, deviation, g, "inner")
+    at_low, at_high = v <= F.col("lo"), v >= F.col("hi")
+    tie_before = F.when(at_low, F.lit(0)).when(at_high, n - F.col("_at_hi")).otherwise(F.col("before"))
+    tie_count = F.when(at_low, F.col("_at_lo")).when(at_high, F.col("_at_hi")).otherwise(cnt)
     constant = F.col("_min") == F.col("_max")
     rank = tie_before.cast("double") + (tie_count.cast("double") + F.lit(1.0)) / F.lit(2.0)
     rank = F.when(constant, (n.cast("double") + F.lit(1.0)) / F.lit(2.0)).otherwise(rank)
@@ -125,7 +132,7 @@ def value_outcomes(
         .otherwise((rank - F.lit(1.0)) / (n.cast("double") - F.lit(1.0)))
     )
     z = F.when(constant | (F.col("_std") == 0), F.lit(0.0)).otherwise((F.col("w") - F.col("_mean")) / F.col("_std"))
-    return full.select(*g, "v", "cnt", F.col("w"), percentile.alias("p"), z.alias("z"))
+    return materialize(full.select(*g, "v", "cnt", F.col("w"), percentile.alias("p"), z.alias("z")), "outcomes")
 
 
 def attach_outcomes(
@@ -139,8 +146,11 @@ def attach_outcomes(
     """Bring per-value outcomes back to the rows.
 
     ``keys`` identify a row; ``outputs`` maps an outcome (``w``, ``p`` or ``z``) to one
-    output name per column.
+    output name per column. Few distinct values are broadcast, one join per column and no
+    shuffle; many are looked up in long form with the heaviest values split off.
     """
+    if outcomes.count() <= BROADCAST_ROWS:
+        return _attach_broadcast(df, outcomes, columns, groups, outputs)
     carry = list(dict.fromkeys([*keys, *groups]))
     long = unpivot_values(df, carry, columns)
     on = [*groups, "m", "v"]
@@ -156,6 +166,24 @@ def attach_outcomes(
     return null_safe_join(df, wide, keys, "left")
 
 
+def _attach_broadcast(
+    df: DataFrame, outcomes: DataFrame, columns: list[str], groups: list[str], outputs: dict[str, list[str]]
+) -> DataFrame:
+    out = df
+    for i, column in enumerate(columns):
+        lookup = outcomes.where(F.col("m") == i).select(
+            *[F.col(k).alias(f"_o_{k}") for k in groups],
+            F.col("v").alias("_o_v"),
+            *[F.col(kind).alias(names[i]) for kind, names in outputs.items()],
+        )
+        match = F.col(column).cast("double") + F.lit(0.0) == F.col("_o_v")
+        for k in groups:
+            match = match & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+        kept = [c for c in out.columns if c not in {names[i] for names in outputs.values()}]
+        out = out.select(*kept).join(F.broadcast(lookup), match, "left").drop("_o_v", *[f"_o_{k}" for k in groups])
+    return out
+
+
 def priority_rank(df: DataFrame, value: str, key: str, name: str = "priority_rank", tail: int = 3) -> DataFrame:
     """1..n by value descending, then by text key, without one global sort task.
 

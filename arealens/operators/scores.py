@@ -35,6 +35,7 @@ from arealens.functions.rates import (
     weighted_score,
 )
 from arealens.operators.aggregate import add_rates
+from arealens.operators.materialize import materialize
 from arealens.operators.ranking import attach_outcomes, value_outcomes
 
 ROW_KEYS = [AREA, *SCOPE_COLUMNS]
@@ -44,14 +45,14 @@ def winsorize(
     df: DataFrame, columns: dict[str, str], groups: list[str], keys: list[str], lower: float = WINSOR_LOWER, upper: float = WINSOR_UPPER
 ) -> DataFrame:
     """Clip columns to group quantiles; ``columns`` maps inputs to output names."""
-    names = list(columns)
+    names, df = list(columns), materialize(df, "rows")
     outcomes = value_outcomes(df, names, groups, lower, upper)
     return attach_outcomes(df, outcomes, names, groups, keys, {"w": [columns[c] for c in names]})
 
 
 def percentile_ranks(df: DataFrame, columns: dict[str, str], groups: list[str], keys: list[str]) -> DataFrame:
     """Average-rank percentiles in [0, 1] within each group."""
-    names = list(columns)
+    names, df = list(columns), materialize(df, "rows")
     outcomes = value_outcomes(df, names, groups)
     return attach_outcomes(df, outcomes, names, groups, keys, {"p": [columns[c] for c in names]})
 
@@ -68,7 +69,7 @@ def percentile_scores(
 
 def z_scores(df: DataFrame, columns: dict[str, str], groups: list[str], keys: list[str]) -> DataFrame:
     """Population z-scores within each group, 0 where the group does not vary."""
-    names = list(columns)
+    names, df = list(columns), materialize(df, "rows")
     outcomes = value_outcomes(df, names, groups)
     return attach_outcomes(df, outcomes, names, groups, keys, {"z": [columns[c] for c in names]})
 
@@ -139,6 +140,7 @@ def score_rates(
     """
     groups, keys = groups or SCOPE_COLUMNS, keys or ROW_KEYS
     rates = [rate_col(b) for b in BASES]
+    df = materialize(df, "rates")
     outcomes = value_outcomes(df, rates, groups, lower, upper)
     scored = attach_outcomes(
         df,
