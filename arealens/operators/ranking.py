@@ -1,8 +1,9 @@
 """Exact order statistics from value histograms.
 
 A comparison group may hold every row, so nothing here sorts a group in one task.
-Values are counted first (copies collapse before the shuffle), the counted values
-are split into order-preserving buckets, and offsets are summed over the buckets.
+Values are counted first (copies collapse before the shuffle). The distinct values are
+then range-partitioned by a sampled, balanced split, ranked inside their range, and
+the ranges' totals are summed up to offsets.
 """
 
 from __future__ import annotations
@@ -11,20 +12,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arealens.operators.materialize import materialize
-from arealens.operators.skew import hottest_keys, lookup_join, null_safe_join, salted_join
+from arealens.operators.skew import hottest_keys, lookup_join, null_safe_join, row_salts, salted_join
 
 # Outcome tables up to this many rows (a few tens of MB) are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
 
-# Buckets per unit of ln(1 + |v|): each covers a relative band of 1 / 4096 of the values.
-BUCKETS_PER_LOG_UNIT = 4096.0
-
-
-def log_bucket(value):
-    """Order-preserving bucket number of a finite double."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(BUCKETS_PER_LOG_UNIT))
-
-
 def unpivot_values(df: DataFrame, carry: list[str], columns: list[str]) -> DataFrame:
     """One row per present value: carried columns, ``m`` (position of the column), ``v``."""
     cells = [F.struct(F.lit(i).alias("m"), (F.col(c).cast("double") + F.lit(0.0)).alias("v")) for i, c in enumerate(columns)]
@@ -41,20 +33,31 @@ def ordered_histogram(df: DataFrame, columns: list[str], groups: list[str]) -> D
     return order_counts(counted, g)
 
 
+def ranged(df: DataFrame, order: list, name: str) -> DataFrame:
+    """Rows with ``_range``, the number of the sorted range they fall in.
+
+    Ranges are balanced by sampling; a range number is stored with its rows, so every later
+    step and every retry sees the same split.
+    """
+    split = df.repartitionByRange(row_salts(df), *order).withColumn("_range", F.spark_partition_id())
+    return materialize(split, name)
+
+
 def order_counts(counted: DataFrame, g: list[str]) -> DataFrame:
-    """Add ``before`` and ``n`` to (group, v, cnt) rows."""
-    bucketed = counted.withColumn("_b", log_bucket(F.col("v")))
-    totals = bucketed.groupBy(*g, "_b").agg(F.sum("cnt").alias("_bucket_count"))
-    earlier = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    """Add ``before`` and ``n`` to (group, v, cnt) rows with distinct values."""
+    parts = ranged(counted, [*g, "v"], "values")
+    totals = parts.groupBy(*g, "_range").agg(F.sum("cnt").alias("_part"))
+    # One row per range and group.
+    earlier = Window.partitionBy(*g).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *g,
-        "_b",
-        F.coalesce(F.sum("_bucket_count").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_bucket_count").over(Window.partitionBy(*g)).alias("n"),
+        "_range",
+        F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_part").over(Window.partitionBy(*g)).alias("n"),
     )
-    inside = Window.partitionBy(*g, "_b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    local = bucketed.withColumn("_inside", F.coalesce(F.sum("cnt").over(inside), F.lit(0)))
-    joined = null_safe_join(local, offsets, [*g, "_b"], "inner")
+    inside = Window.partitionBy(*g, "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    local = parts.withColumn("_inside", F.coalesce(F.sum("cnt").over(inside), F.lit(0)))
+    joined = null_safe_join(local, offsets, [*g, "_range"], "inner")
     return joined.select(*g, "v", "cnt", (F.col("_offset") + F.col("_inside")).alias("before"), "n")
 
 
@@ -184,23 +187,22 @@ def _attach_broadcast(
     return out
 
 
-def priority_rank(df: DataFrame, value: str, key: str, name: str = "priority_rank", tail: int = 3) -> DataFrame:
-    """1..n by value descending, then by text key, without one global sort task.
-
-    Rows of one value are sub-ordered by their key without its last ``tail`` characters,
-    an order-preserving prefix for keys of equal length.
-    """
-    staged = df.withColumn("_v", -F.col(value).cast("double") + F.lit(0.0)).withColumn(
-        "_prefix", F.expr(f"left(`{key}`, greatest(length(`{key}`) - {tail}, 0))")
-    )
-    by_prefix = staged.groupBy("_v", "_prefix").agg(F.count(F.lit(1)).alias("cnt"))
-    by_value = order_counts(by_prefix.groupBy(F.col("_v").alias("v")).agg(F.sum("cnt").alias("cnt")).withColumn("m", F.lit(0)), ["m"])
-    earlier = Window.partitionBy("_v").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+def global_row_number(df: DataFrame, order: list, name: str) -> DataFrame:
+    """1..n in the given total order, without one global sort task."""
+    parts = ranged(df, order, "ranked")
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range, at most as many as shuffle partitions.
     offsets = (
-        by_prefix.withColumn("_prefix_before", F.coalesce(F.sum("cnt").over(earlier), F.lit(0)))
-        .join(by_value.select(F.col("v").alias("_v"), F.col("before").alias("_value_before")), "_v")
-        .select("_v", "_prefix", (F.col("_prefix_before") + F.col("_value_before")).alias("_offset"))
+        parts.groupBy(F.col("_range").alias("_r"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_r", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
-    within = F.row_number().over(Window.partitionBy("_v", "_prefix").orderBy(key))
-    ranked = staged.withColumn("_within", within).join(offsets, ["_v", "_prefix"])
-    return ranked.select((F.col("_offset") + F.col("_within")).cast("int").alias(name), *df.columns)
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    numbered = parts.withColumn("_within", within).join(F.broadcast(offsets), F.col("_range") == F.col("_r"))
+    return numbered.select((F.col("_offset") + F.col("_within")).alias(name), *df.columns)
+
+
+def priority_rank(df: DataFrame, value: str, key: str, name: str = "priority_rank") -> DataFrame:
+    """1..n by value descending, then by key."""
+    ranked = global_row_number(df, [F.desc_nulls_last(value), F.asc(key)], name)
+    return ranked.withColumn(name, F.col(name).cast("int"))

@@ -67,7 +67,7 @@ k AS (SELECT lpad(CAST(10000 + l_partkey AS VARCHAR), 5, '0') AS zcta, lpad(CAST
      CASE WHEN l_suppkey % 7 = 0 THEN 0 ELSE land END AS w FROM lk),
 f AS (SELECT *, CASE WHEN w > 0 THEN w ELSE 1.0::DOUBLE / count(*) OVER (PARTITION BY zcta) END AS w1 FROM k)
 SELECT zcta, county_fips, CASE substr(county_fips, 1, 2) WHEN '06' THEN 'CA' WHEN '01' THEN 'AL' WHEN '02' THEN 'AK' WHEN '04' THEN 'AZ' WHEN '05' THEN 'AR' WHEN '08' THEN 'CO' WHEN '09' THEN 'CT' ELSE '' END AS state_code,
-  round(w1 / sum(w1) OVER (PARTITION BY zcta), 9) AS allocation_weight FROM f""")
+  round(w1 / sum(w1) OVER (PARTITION BY zcta), 12) AS allocation_weight FROM f""")
 def weight_choice(spark, folder):
     raw = table(spark, folder, "lineitem").groupBy("l_partkey", "l_suppkey").agg(
         F.sum("l_quantity").alias("land"), F.sum("l_linenumber").alias("water")
@@ -76,19 +76,19 @@ def weight_choice(spark, folder):
         "CASE WHEN l_suppkey % 7 = 0 THEN 'x' ELSE cast(land AS string) END AS AREALAND_PART", "cast(water AS string) AS AREAWATER_PART",
     )
     return normalize_crosswalk(raw, "links").select(
-        "zcta", "county_fips", "state_code", F.round("allocation_weight", 9).alias("allocation_weight")
+        "zcta", "county_fips", "state_code", F.round("allocation_weight", 12).alias("allocation_weight")
     )
 
 
 @query("water_weights", f"""
 WITH {LINKS}, f AS (SELECT l_partkey, l_suppkey * 91 AS c, water AS w FROM lk)
 SELECT CAST(10000 + l_partkey AS VARCHAR) AS zcta, lpad(CAST(c AS VARCHAR), 5, '0') AS county_fips,
-  round(w / sum(w) OVER (PARTITION BY l_partkey)::DOUBLE, 9) AS allocation_weight FROM f""")
+  round(w / sum(w) OVER (PARTITION BY l_partkey)::DOUBLE, 12) AS allocation_weight FROM f""")
 def water_weights(spark, folder):
     raw = table(spark, folder, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.sum("l_linenumber").alias("water")).selectExpr(
         "10000 + l_partkey AS zip", "l_suppkey * 91 AS county", "0 AS AREALAND_PART", "water AS AREAWATER_PART",
     )
-    return normalize_crosswalk(raw, "links").select("zcta", "county_fips", F.round("allocation_weight", 9).alias("allocation_weight"))
+    return normalize_crosswalk(raw, "links").select("zcta", "county_fips", F.round("allocation_weight", 12).alias("allocation_weight"))
 
 
 TOP_STATE = """xs AS (

@@ -18,6 +18,7 @@ from arealens.constants import (
 )
 from arealens.operators.crosswalk import allocate_counties, allocated_annual, county_annual, county_population, normalize_weights
 from arealens.operators.layers import county_layer, modeled_annual, modeled_layer, national_coverage
+from arealens.operators.materialize import materialize
 from arealens.operators.quality import apply_quality, area_coverage, coverage_ratios
 from arealens.operators.scores import (
     add_labels,
@@ -252,23 +253,25 @@ def _crosswalk(spark, folder):
     )
 
 
-def _county_annual(spark, folder):
-    people = county_population(_crosswalk(spark, folder), part_population(spark, folder))
+def _county_annual(spark, folder, crosswalk):
+    people = county_population(crosswalk, part_population(spark, folder))
     return county_annual(agency_offenses(spark, folder), people)
 
 
 def _allocation(spark, folder):
-    return allocate_counties(_crosswalk(spark, folder), part_population(spark, folder), _county_annual(spark, folder))
+    # Read by both the county populations and the allocation.
+    crosswalk = materialize(_crosswalk(spark, folder), "crosswalk")
+    return allocate_counties(crosswalk, part_population(spark, folder), _county_annual(spark, folder, crosswalk))
 
 
 def _allocated(spark, folder):
     return allocated_annual(_allocation(spark, folder), part_population(spark, folder))
 
 
-@query("crosswalk_weights", f"WITH {CROSSWALK} SELECT zcta, county_fips, state_code, round(allocation_weight, 9) AS allocation_weight FROM xw")
+@query("crosswalk_weights", f"WITH {CROSSWALK} SELECT zcta, county_fips, state_code, round(allocation_weight, 12) AS allocation_weight FROM xw")
 def crosswalk_weights(spark, folder):
     out = _crosswalk(spark, folder).select("zcta", "county_fips", "state_code", "allocation_weight")
-    return _rounded(out, ["allocation_weight"], 9)
+    return _rounded(out, ["allocation_weight"], 12)
 
 
 @query("county_population", f"WITH {INC}, {POP}, {CROSSWALK}, {COUNTY_POP} SELECT * FROM cpop")
@@ -283,19 +286,19 @@ COUNTY_NAMES = ["county_fips", "year", "population_total", "total_crime_count",
 @query("county_annual", f"""WITH {INC}, {POP}, {CROSSWALK}, {COUNTY_POP}, {COUNTY_ANN}
 SELECT {", ".join(COUNTY_NAMES)}, round(total_rate_per_1000, 6) AS total_rate_per_1000, round(violent_rate_per_1000, 6) AS violent_rate_per_1000 FROM cann""")
 def county_rollup(spark, folder):
-    out = _county_annual(spark, folder).select(*COUNTY_NAMES, "total_rate_per_1000", "violent_rate_per_1000")
+    out = _county_annual(spark, folder, _crosswalk(spark, folder)).select(*COUNTY_NAMES, "total_rate_per_1000", "violent_rate_per_1000")
     return _rounded(out, ["total_rate_per_1000", "violent_rate_per_1000"], 6)
 
 
 @query("county_allocation", f"""{COUNTY_STACK}
-SELECT zcta, year, county_fips, round(w, 9) AS allocation_weight, zpop AS zcta_population_total, cp AS county_population_total,
+SELECT zcta, year, county_fips, round(w, 12) AS allocation_weight, zpop AS zcta_population_total, cp AS county_population_total,
   round(zpop * w * tr / 1000, 6) AS allocated_total_crime_count, round(zpop * w * vr / 1000, 6) AS allocated_violent_crime_count FROM alc""")
 def county_allocation(spark, folder):
     out = _allocation(spark, folder).select(
         "zcta", "year", "county_fips", "allocation_weight", "zcta_population_total", "county_population_total",
         "allocated_total_crime_count", "allocated_violent_crime_count",
     )
-    return _rounded(_rounded(out, ["allocation_weight"], 9), ["allocated_total_crime_count", "allocated_violent_crime_count"], 6)
+    return _rounded(_rounded(out, ["allocation_weight"], 12), ["allocated_total_crime_count", "allocated_violent_crime_count"], 6)
 
 
 @query("allocated_annual", f"""{COUNTY_STACK}
