@@ -218,16 +218,13 @@ def assign_areas(
 def one_assignment_per_id(assignments: DataFrame) -> DataFrame:
     """One row per incident id, an assigned one first (spatial before key, then the smallest area)."""
     order = F.struct(
-        F.col("zcta").isNotNull().alias("a"),
-        (F.col("assignment_method") == "spatial_join").alias("b"),
-    )
-    best = assignments.groupBy("incident_id").agg(F.max(order).alias("_best"))
-    smallest = assignments.groupBy("incident_id", order.alias("_best")).agg(
-        F.min(F.struct("zcta", "assignment_method")).alias("_pick")
-    )
-    return smallest.join(best, ["incident_id", "_best"]).select(
-        "incident_id", F.col("_pick.zcta").alias("zcta"), F.col("_pick.assignment_method").alias("assignment_method")
+        F.col("zcta").isNull().alias("a"),
+        (F.col("assignment_method") != "spatial_join").alias("b"),
+        F.col("zcta"),
+        F.col("assignment_method"),
     )
+    best = assignments.groupBy("incident_id").agg(F.min(order).alias("_best"))
+    return best.select("incident_id", "_best.zcta", "_best.assignment_method")
 
 
 def join_assignments(incidents: DataFrame, assignments: DataFrame, extra: list[str] | None = None) -> DataFrame:

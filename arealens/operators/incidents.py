@@ -68,6 +68,23 @@ def apply_row_filters(df: DataFrame, rules: dict | None) -> DataFrame:
     return df
 
 
+def source_slice(df: DataFrame, config: dict) -> DataFrame:
+    """The predicate and projection a feed is published with, on its landed table.
+
+    ``where`` is SQL text and ``select`` a column list; both reach the file scan. ``order_by``
+    and ``limit`` apply only where the source defines them.
+    """
+    kept = df.where(config["where"]) if config.get("where") else df
+    if config.get("limit"):
+        kept = kept.orderBy(*[F.col(c) for c in config.get("order_by", [])]).limit(int(config["limit"]))
+    return kept.select(*config["select"]) if config.get("select") else kept
+
+
+def source_counts(staged: DataFrame) -> DataFrame:
+    """Staged rows per source."""
+    return staged.groupBy("source_name").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def number_file_rows(df: DataFrame, file: str, position: str, name: str = ROW_NUMBER, block: int = 1_000_000) -> DataFrame:
     """1..n per file in file order, after filters.
 

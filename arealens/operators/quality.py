@@ -25,26 +25,30 @@ def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part.cast("double") / whole.cast("double")).otherwise(F.lit(0.0))
 
 
-def coverage_ratios(incidents: DataFrame, assignments: DataFrame) -> DataFrame:
-    """Incident-weighted assigned, spatial, classified and dated shares per year."""
-    flags = incidents.withColumn("_known", F.col("offense_group") != "unknown").withColumn(
-        "_dated", F.col("occurred_date").isNotNull()
+def counted_incidents(incidents: DataFrame, assignments: DataFrame) -> DataFrame:
+    """Counted incidents with their area and what coverage is measured by; feeds both measures below."""
+    flags = incidents.withColumns(
+        {"known": F.col("offense_group") != "unknown", "dated": F.col("occurred_date").isNotNull()}
     )
-    joined = join_assignments(flags, assignments, ["occurred_year", "_known", "_dated"])
+    return join_assignments(flags, assignments, ["occurred_year", "source_name", "known", "dated"])
+
+
+def coverage_ratios(counted: DataFrame) -> DataFrame:
+    """Incident-weighted assigned, spatial, classified and dated shares per year."""
     n = F.col("incident_count")
 
     def total(cond: Column) -> Column:
         return F.sum(F.when(cond, n).otherwise(F.lit(0)))
 
     sums = (
-        joined.where(F.col("occurred_year").isNotNull())
+        counted.where(F.col("occurred_year").isNotNull())
         .groupBy(F.col("occurred_year").alias(YEAR))
         .agg(
             F.sum(n).alias("incident_total"),
             total(F.col("zcta").isNotNull()).alias("_assigned"),
             total(F.col("assignment_method") == "spatial_join").alias("_spatial"),
-            total(F.col("_known")).alias("_classified"),
-            total(F.col("_dated")).alias("_with_date"),
+            total(F.col("known")).alias("_classified"),
+            total(F.col("dated")).alias("_with_date"),
         )
     )
     whole = F.col("incident_total")
@@ -58,11 +62,9 @@ def coverage_ratios(incidents: DataFrame, assignments: DataFrame) -> DataFrame:
     )
 
 
-def area_coverage(incidents: DataFrame, assignments: DataFrame) -> DataFrame:
+def area_coverage(counted: DataFrame) -> DataFrame:
     """Assigned and spatial counts and the contributing sources per area and year."""
-    joined = join_assignments(incidents, assignments, ["occurred_year", "source_name"]).where(
-        F.col("zcta").isNotNull() & F.col("occurred_year").isNotNull()
-    )
+    joined = counted.where(F.col("zcta").isNotNull() & F.col("occurred_year").isNotNull())
     n = F.col("incident_count")
     # Summed per source first, so that only distinct sources are gathered per area.
     per_source = joined.groupBy(F.col("zcta").alias(AREA), F.col("occurred_year").alias(YEAR), "source_name").agg(

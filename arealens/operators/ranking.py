@@ -172,19 +172,20 @@ def attach_outcomes(
 def _attach_broadcast(
     df: DataFrame, outcomes: DataFrame, columns: list[str], groups: list[str], outputs: dict[str, list[str]]
 ) -> DataFrame:
-    out = df
+    made = {name for names in outputs.values() for name in names}
+    kept = [c for c in df.columns if c not in made]
+    out = df.select(*kept)
     for i, column in enumerate(columns):
         lookup = outcomes.where(F.col("m") == i).select(
-            *[F.col(k).alias(f"_o_{k}") for k in groups],
-            F.col("v").alias("_o_v"),
+            *[F.col(k).alias(f"_o{i}_{k}") for k in groups],
+            F.col("v").alias(f"_o{i}_v"),
             *[F.col(kind).alias(names[i]) for kind, names in outputs.items()],
         )
-        match = F.col(column).cast("double") + F.lit(0.0) == F.col("_o_v")
+        match = F.col(column).cast("double") + F.lit(0.0) == F.col(f"_o{i}_v")
         for k in groups:
-            match = match & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-        kept = [c for c in out.columns if c not in {names[i] for names in outputs.values()}]
-        out = out.select(*kept).join(F.broadcast(lookup), match, "left").drop("_o_v", *[f"_o_{k}" for k in groups])
-    return out
+            match = match & F.col(k).eqNullSafe(F.col(f"_o{i}_{k}"))
+        out = out.join(F.broadcast(lookup), match, "left")
+    return out.select(*kept, *[names[i] for i in range(len(columns)) for names in outputs.values()])
 
 
 def global_row_number(df: DataFrame, order: list, name: str) -> DataFrame:

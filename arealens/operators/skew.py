@@ -62,7 +62,8 @@ def lookup_join(
     rest = lookup.select(
         *[F.col(k).alias(f"_c_{k}") for k in keys],
         *[F.col(v).alias(f"_v_{v}") for v in values],
-        F.lit(0).alias("_c_salt"),
+        # Always 0, but not a literal: a constant would be folded out of the join key.
+        F.pmod(F.hash(*keys), F.lit(1)).alias("_c_salt"),
     )
     cold = [
         F.col(k).eqNullSafe(F.col(f"_c_{k}")) if null_safe else F.col(k) == F.col(f"_c_{k}") for k in keys

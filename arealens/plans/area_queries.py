@@ -14,7 +14,7 @@ from arealens.operators.assign import (
     join_assignments,
     locate_points,
 )
-from arealens.operators.quality import area_coverage, coverage_ratios
+from arealens.operators.quality import area_coverage, counted_incidents, coverage_ratios
 from arealens.operators.scores import apply_scope
 from arealens.plans.bindings import (
     brand_states,
@@ -210,10 +210,10 @@ AREA_COVERAGE = """cov AS (
 
 @query("coverage_ratios", f"WITH {INC}, {ASSIGN}, {DATED}, {RATIOS} SELECT * FROM rat")
 def year_ratios(spark, folder):
-    return coverage_ratios(undated_lines(spark, folder), part_assignments(spark, folder))
+    return coverage_ratios(counted_incidents(undated_lines(spark, folder), part_assignments(spark, folder)))
 
 
 @query("area_coverage", f"WITH {INC}, {ASSIGN}, {AREA_COVERAGE} SELECT * FROM cov")
 def coverage_by_area(spark, folder):
-    return area_coverage(line_incidents(spark, folder), part_assignments(spark, folder))
+    return area_coverage(counted_incidents(undated_lines(spark, folder), part_assignments(spark, folder)))
 

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from arealens.operators.incidents import apply_row_filters, number_copies, number_file_rows, stage_sources
+from arealens.operators.incidents import (
+    apply_row_filters,
+    number_copies,
+    number_file_rows,
+    source_counts,
+    source_slice,
+    stage_sources,
+)
 from arealens.plans.bindings import scratch
 from arealens.plans.registry import query, table
 from arealens.sources.lineage import file_lineage, raw_payloads, source_profile, typed_records
@@ -76,6 +83,23 @@ def staged_incidents(spark, folder):
     )
 
 
+@query("source_counts", """
+SELECT 'orders_feed' AS source_name, count(*) AS row_count FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT 'events_feed', count(*) FROM events""")
+def counted_sources(spark, folder):
+    return source_counts(stage_sources(_feeds(spark, folder), FEEDS))
+
+
+@query("source_pushdown", """
+SELECT l_orderkey, l_shipdate FROM lineitem WHERE l_returnflag = 'A' AND l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1998-01-01'""")
+def source_pushdown(spark, folder):
+    config = {
+        "select": ["l_orderkey", "l_shipdate"],
+        "where": "l_returnflag = 'A' AND l_shipdate >= timestamp_ntz'1997-01-01' AND l_shipdate < timestamp_ntz'1998-01-01'",
+    }
+    return source_slice(table(spark, folder, "lineitem"), config)
+
+
 @query("source_profile", """
 SELECT 'orders_feed' AS source_name, count(*) AS row_count, 'CA' AS coverage_state, CAST(min(o_orderdate) AS DATE) AS data_start_date,
   CAST(max(o_orderdate) AS DATE) AS data_end_date, false AS has_point_coordinates, 0::DOUBLE AS coordinate_share, 1::DOUBLE AS offense_share

@@ -19,7 +19,7 @@ from arealens.constants import (
 from arealens.operators.crosswalk import allocate_counties, allocated_annual, county_annual, county_population, normalize_weights
 from arealens.operators.layers import county_layer, modeled_annual, modeled_layer, national_coverage
 from arealens.operators.materialize import materialize
-from arealens.operators.quality import apply_quality, area_coverage, coverage_ratios
+from arealens.operators.quality import apply_quality, area_coverage, counted_incidents, coverage_ratios
 from arealens.operators.scores import (
     add_labels,
     add_overall_percentile,
@@ -177,10 +177,8 @@ SELECT zcta, year, overall_crime_score_0_100,
   false AS is_modeled
 FROM g""")
 def graded_index(spark, folder):
-    incidents, assignments = undated_lines(spark, folder), part_assignments(spark, folder)
-    index = build_index(
-        scoped_annual(spark, folder), coverage_ratios(incidents, assignments), area_coverage(incidents, assignments)
-    )
+    counted = materialize(counted_incidents(undated_lines(spark, folder), part_assignments(spark, folder)), "counted")
+    index = build_index(scoped_annual(spark, folder), coverage_ratios(counted), area_coverage(counted))
     return index.select(*KEYS, OVERALL_SCORE, *GRADED_COLUMNS)
 
 
@@ -198,7 +196,7 @@ def partial_observed(spark, folder):
         "zcta", "year", F.col("total_crime_count").alias("assigned_count"), F.col("total_crime_count").alias("spatial_count"),
         F.lit(1).alias("source_count"), F.lit("lines").alias("source_names"), F.lit(1.0).alias("spatial_assignment_share"),
     )
-    ratios = coverage_ratios(undated_lines(spark, folder), every)
+    ratios = coverage_ratios(counted_incidents(undated_lines(spark, folder), every))
     return apply_quality(annual, ratios, seen).select(*KEYS, "coverage_status", "score_notes")
 
 
@@ -379,7 +377,7 @@ SELECT p.zcta, p.year, p.population_total,
   CASE WHEN c.assigned_count IS NOT NULL THEN NULL WHEN t.k IS NOT NULL THEN 'from counties' ELSE 'no source' END AS coverage_notes
 FROM pop p LEFT JOIN cov c USING (zcta, year) LEFT JOIN cty t USING (zcta)""")
 def coverage_cascade(spark, folder):
-    by_area = area_coverage(line_incidents(spark, folder), part_assignments(spark, folder))
+    by_area = area_coverage(counted_incidents(undated_lines(spark, folder), part_assignments(spark, folder)))
     county = table(spark, folder, "part").where("p_size < 30").select(
         F.col("p_partkey").cast("string").alias("zcta"), F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("year"),
         F.when(F.col("p_size") > 5, F.col("p_size")).alias("county_count"), F.lit(None).cast("string").alias("source_names"),

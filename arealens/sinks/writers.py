@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealens.constants import AREA, CONSUMER_COLUMNS
@@ -74,5 +74,23 @@ def export_scores(index: DataFrame, year: int, scope: str, folder: str, formats:
     return written
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def report_markdown(report: DataFrame) -> DataFrame:
+    """The quality report as ordered Markdown lines: a heading per section, a bullet per metric."""
+    bullets = report.select(
+        "section",
+        F.lit(1).alias("_kind"),
+        "metric",
+        F.concat(F.lit("- "), F.col("metric"), F.lit(": "), F.coalesce(F.col("value").cast("string"), F.lit("null"))).alias("line"),
+    )
+    headings = report.select("section").distinct().select(
+        "section", F.lit(0).alias("_kind"), F.lit("").alias("metric"), F.concat(F.lit("## "), F.col("section")).alias("line")
+    )
+    return headings.unionByName(bullets).orderBy("section", "_kind", "metric").select("line")
+
+
+def write_report(report: DataFrame, folder: str) -> dict[str, str]:
+    """The quality report as JSON rows and as Markdown text."""
+    paths = {"json": f"{folder}/quality_report.json", "markdown": f"{folder}/quality_report.md"}
+    export_table(report, paths["json"], "json", ["section", "metric"])
+    report_markdown(report).write.mode("overwrite").text(paths["markdown"])
+    return paths

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from arealens.functions.geo import edges_from_wkt, strictly_inside
 from arealens.operators.assign import assign_areas, attach_located, join_assignments, locate_points
 from arealens.operators.aggregate import annual_aggregates
-from arealens.operators.quality import coverage_ratios, area_coverage
+from arealens.operators.quality import area_coverage, counted_incidents, coverage_ratios
 
 SCHEMA = "incident_id string, jurisdiction_state string, latitude double, longitude double, zcta_from_zip string"
 
@@ -93,7 +93,8 @@ def test_coverage_is_weighted(spark):
         "incident_id string, occurred_date string, occurred_year int, offense_group string, source_name string, incident_count bigint",
     ).withColumn("occurred_date", F.to_date("occurred_date"))
     assignment = spark.createDataFrame([("a", "55401", "spatial_join"), ("b", None, "unassigned")], "incident_id string, zcta string, assignment_method string")
-    ratios = coverage_ratios(incidents, assignment).first()
+    counted = counted_incidents(incidents, assignment)
+    ratios = coverage_ratios(counted).first()
     assert [ratios[c] for c in ratios.asDict() if c.endswith("rate")] == [0.8, 0.8, 0.8, 0.8]
-    area = area_coverage(incidents, assignment).first()
+    area = area_coverage(counted).first()
     assert (area.zcta, area.assigned_count, area.spatial_count, area.source_names) == ("55401", 4, 4, "s")

@@ -11,6 +11,7 @@ from arealens.operators.crosswalk import allocate_counties, allocated_annual
 from arealens.operators.groups import group_profile, requested_members
 from arealens.operators.layers import modeled_annual, modeled_layer
 from arealens.sinks.bundle import area_documents, manifest, publishable
+from arealens.sinks.writers import write_report
 from arealens.sources.lineage import typed_records
 
 RULES = {
@@ -104,3 +105,11 @@ def test_group_profile_weights_and_fallback(spark):
     assert (g.requested_zip_count, g.found_zip_count, g.missing_zip_count, g.population_total, g.total_crime_count) == (3, 2, 1, 400, 5)
     assert (g.total_rate_per_1000, g.violent_score_0_100, g.violent_score_label) == (12.5, 40.0, "average")
     assert (rows["h"].violent_score_0_100, rows["h"].total_rate_per_1000) == (90.0, None)
+
+
+def test_report_files(spark, tmp_path):
+    report = spark.createDataFrame([("b", "x", 1.0), ("a", "y", None)], "section string, metric string, value double")
+    paths = write_report(report, str(tmp_path))
+    lines = [r.value for r in spark.read.text(paths["markdown"]).collect()]
+    assert sorted(lines) == ["## a", "## b", "- x: 1.0", "- y: null"]
+    assert spark.read.json(paths["json"]).count() == 2
