@@ -10,7 +10,7 @@ from arealens.functions.fixed import fixed_table
 from arealens.functions.geo import bounding_box, edges_from_wkt, strictly_inside, valid_coordinates
 from arealens.functions.text import to_double
 from arealens.operators.materialize import materialize
-from arealens.operators.skew import hottest_keys, lookup_join, row_salts
+from arealens.operators.skew import HOT_KEYS, hottest_keys, lookup_join
 
 ASSIGNMENT_COLUMNS = ["incident_id", "zcta", "assignment_method", "assignment_confidence", "assignment_notes", "assigned_at"]
 
@@ -69,28 +69,34 @@ def locate_points(
     wkt: str = "geom_wkt",
     cell: float = 0.5,
     carry: tuple[str, ...] = (),
+    points_per_task: int = 100_000,
 ) -> DataFrame:
     """Containing area per distinct (lon, lat), the smallest area key where polygons overlap.
 
     Returns ``lon``, ``lat``, ``point_rows`` (rows at that point), ``area`` and the carried polygon
     columns. Equal points are
-    tested once. The grid turns the spatial test into an equi-join, salted so that a
-    crowded cell is shared by many tasks.
+    tested once. The grid turns the spatial test into an equi-join. The most crowded cells are
+    split into shares of about ``points_per_task`` points, with the cell's polygons repeated per share.
     """
     distinct = (
         points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
         .groupBy(F.col(lon).alias("lon"), F.col(lat).alias("lat"))
         .agg(F.count(F.lit(1)).alias("point_rows"))
     )
-    size, salts = F.lit(float(cell)), row_salts(points)
-    keyed = (
-        distinct.withColumn("cx", F.floor(F.col("lon") / size))
-        .withColumn("cy", F.floor(F.col("lat") / size))
-        .withColumn("salt", F.pmod(F.xxhash64("lon", "lat"), F.lit(salts)).cast("int"))
+    size = F.lit(float(cell))
+    placed = distinct.withColumn("cx", F.floor(F.col("lon") / size)).withColumn("cy", F.floor(F.col("lat") / size))
+    per_cell = placed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("_points"))
+    shares = F.ceil(F.col("_points") / F.lit(points_per_task)).cast("int").alias("shares")
+    # At most HOT_KEYS rows; a cell beyond them holds less than 1 / HOT_KEYS of the points.
+    crowded = F.broadcast(
+        per_cell.orderBy(F.desc("_points"), "cx", "cy").limit(HOT_KEYS).select("cx", "cy", shares).where("shares > 1")
     )
-    cells = polygon_cells(prepare_polygons(polygons, area, wkt, carry), cell).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    share_count = F.coalesce("shares", F.lit(1))
+    keyed = placed.join(crowded, ["cx", "cy"], "left").withColumn(
+        "salt", F.pmod(F.xxhash64("lon", "lat"), share_count).cast("int")
     )
+    cells = polygon_cells(prepare_polygons(polygons, area, wkt, carry), cell).join(crowded, ["cx", "cy"], "left")
+    cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), share_count - 1)))
     hit = (
         (keyed.cx == cells.cx)
         & (keyed.cy == cells.cy)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arealens.operators.materialize import materialize
-from arealens.operators.skew import hottest_keys, lookup_join, null_safe_join, row_salts, salted_join
+from arealens.operators.skew import hottest_keys, lookup_join, null_safe_join, salted_join
 
 # Outcome tables up to this many rows (a few tens of MB) are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
@@ -36,10 +36,10 @@ def ordered_histogram(df: DataFrame, columns: list[str], groups: list[str]) -> D
 def ranged(df: DataFrame, order: list, name: str) -> DataFrame:
     """Rows with ``_range``, the number of the sorted range they fall in.
 
-    Ranges are balanced by sampling; a range number is stored with its rows, so every later
-    step and every retry sees the same split.
+    Ranges are balanced by sampling and, where small, merged at run time; a range number is stored
+    with its rows, so every later step and every retry sees the same split.
     """
-    split = df.repartitionByRange(row_salts(df), *order).withColumn("_range", F.spark_partition_id())
+    split = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
     return materialize(split, name)
 
 
@@ -61,13 +61,17 @@ def order_counts(counted: DataFrame, g: list[str]) -> DataFrame:
     return joined.select(*g, "v", "cnt", (F.col("_offset") + F.col("_inside")).alias("before"), "n")
 
 
-def quantile_bounds(hist: DataFrame, g: list[str], lower: float, upper: float) -> DataFrame:
-    """Linear-interpolated quantiles per group."""
+def group_bounds(hist: DataFrame, g: list[str], lower: float | None, upper: float | None) -> DataFrame:
+    """Per group: clipping bounds ``lo`` and ``hi`` (linear-interpolated quantiles) and the plain mean."""
 
     def at(position):
         hit = (F.col("before") <= position) & (position < F.col("before") + F.col("cnt"))
         return F.max(F.when(hit, F.col("v")))
 
+    mean = (F.sum(F.col("v") * F.col("cnt")) / F.sum("cnt")).alias("centre")
+    if lower is None or upper is None:
+        open_ended = [F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi")]
+        return hist.groupBy(*g).agg(mean).select("*", *open_ended)
     last = (F.col("n") - 1).cast("double")
     spots = {}
     for name, p in (("lo", lower), ("hi", upper)):
@@ -75,9 +79,10 @@ def quantile_bounds(hist: DataFrame, g: list[str], lower: float, upper: float) -
         spots[f"{name}_a"] = at(F.floor(place))
         spots[f"{name}_b"] = at(F.ceil(place))
         spots[f"{name}_t"] = F.max(place - F.floor(place))
-    picked = hist.groupBy(*g).agg(*[expr.alias(f"_{k}") for k, expr in spots.items()])
+    picked = hist.groupBy(*g).agg(mean, *[expr.alias(f"_{k}") for k, expr in spots.items()])
     return picked.select(
         *g,
+        "centre",
         *[
             (F.col(f"_{s}_a") + (F.col(f"_{s}_b") - F.col(f"_{s}_a")) * F.col(f"_{s}_t")).alias(s)
             for s in ("lo", "hi")
@@ -96,33 +101,28 @@ def value_outcomes(
 
     The percentile is (rank - 1) / (n - 1) with averaged ties, 0 in an all-zero group
     (checked first) and 0.5 in a group of one; z uses the population deviation, 0 if that is 0.
-    The histogram, the moments and the outcomes are materialised: each is read several times.
+    The histogram and the outcomes are materialised: each is read several times.
     """
     g = [*groups, "m"]
     hist = materialize(ordered_histogram(df, columns, groups), "histogram")
     v, cnt, n = F.col("v"), F.col("cnt"), F.col("n")
-    if lower is None or upper is None:
-        bounded = hist.withColumns({"lo": F.lit(float("-inf")), "hi": F.lit(float("inf"))})
-    else:
-        bounded = salted_join(hist, quantile_bounds(hist, g, lower, upper), g, "inner")
     clipped = F.greatest(F.least(v, F.col("hi")), F.col("lo"))
-    moments = materialize(
-        bounded.withColumn("w", clipped).groupBy(*g).agg(
-            F.max("lo").alias("lo"),
-            F.max("hi").alias("hi"),
-            F.min("w").alias("_min"),
-            F.max("w").alias("_max"),
-            F.sum(F.when(v <= F.col("lo"), cnt).otherwise(0)).alias("_at_lo"),
-            F.sum(F.when(v >= F.col("hi"), cnt).otherwise(0)).alias("_at_hi"),
-            (F.sum(F.col("w") * cnt) / F.sum("cnt")).alias("_mean"),
-        ),
-        "moments",
-    )
-    centred = salted_join(hist, moments, g, "inner").withColumn("w", clipped)
-    deviation = centred.groupBy(*g).agg(
-        F.sqrt(F.sum(F.pow(F.col("w") - F.col("_mean"), F.lit(2.0)) * cnt) / F.sum("cnt")).alias("_std")
+    off = F.col("w") - F.col("centre")
+    moments = salted_join(hist, group_bounds(hist, g, lower, upper), g, "inner").withColumn("w", clipped).groupBy(*g).agg(
+        F.max("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.min("w").alias("_min"),
+        F.max("w").alias("_max"),
+        F.sum(F.when(v <= F.col("lo"), cnt).otherwise(0)).alias("_at_lo"),
+        F.sum(F.when(v >= F.col("hi"), cnt).otherwise(0)).alias("_at_hi"),
+        F.max("centre").alias("_centre"),
+        # Moments about the plain mean: no cancellation of large values.
+        (F.sum(off * cnt) / F.sum("cnt")).alias("_off1"),
+        (F.sum(off * off * cnt) / F.sum("cnt")).alias("_off2"),
     )
-    full = salted_join(centred, deviation, g, "inner")
+    variance = F.greatest(F.col("_off2") - F.col("_off1") * F.col("_off1"), F.lit(0.0))
+    summary = moments.withColumns({"_mean": F.col("_centre") + F.col("_off1"), "_std": F.sqrt(variance)})
+    full = salted_join(hist, summary, g, "inner").withColumn("w", clipped)
     at_low, at_high = v <= F.col("lo"), v >= F.col("hi")
     tie_before = F.when(at_low, F.lit(0)).when(at_high, n - F.col("_at_hi")).otherwise(F.col("before"))
     tie_count = F.when(at_low, F.col("_at_lo")).when(at_high, F.col("_at_hi")).otherwise(cnt)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # The heaviest keys are broadcast; no other key can then hold more than 1 / HOT_KEYS of the rows.
 HOT_KEYS = 1000
+GROUP_SALTS = 256
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
@@ -78,10 +79,10 @@ def lookup_join(
 def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join to per-group values where one group may cover all rows.
 
-    The few group rows are repeated once per salt, so every group is spread over
-    as many shuffle partitions as there are salts. NULL keys match each other.
+    The few group rows are repeated once per salt (at most ``GROUP_SALTS``), so every group is
+    spread over that many shuffle keys. NULL keys match each other.
     """
-    salts = row_salts(rows)
+    salts = min(GROUP_SALTS, row_salts(rows))
     left = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     right = groups.select(
         *[F.col(k).alias(f"_g_{k}") for k in keys],

@@ -64,7 +64,9 @@ def test_grid_join_equals_brute_force(spark):
     # One point holds a third of the rows.
     points = [(i, rng.uniform(-6, 8), rng.uniform(-6, 8)) for i in range(400)] + [(1000 + i, 0.5, 0.5) for i in range(200)]
     rows = spark.createDataFrame(points, "id bigint, lon double, lat double")
-    located = attach_located(rows, locate_points(rows, polygons, "lon", "lat", cell=0.7), "lon", "lat", {"area": "area"})
+    # A small share size splits the crowded cells.
+    spots = locate_points(rows, polygons, "lon", "lat", cell=0.7, points_per_task=3)
+    located = attach_located(rows, spots, "lon", "lat", {"area": "area"})
     grid = {r.id: r.area for r in located.collect()}
     edged = polygons.select("zcta", edges_from_wkt(F.col("geom_wkt")).alias("e"))
     brute = rows.join(F.broadcast(edged), strictly_inside(F.col("lon"), F.col("lat"), F.col("e")), "left").groupBy("id").agg(F.min("zcta").alias("z"))
