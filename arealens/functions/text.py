@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealens.constants import AGENCY_PHRASES, COUNTY_SUFFIXES, NULL_WORDS, PLACE_SUFFIXES
@@ -14,6 +14,7 @@ from arealens.constants import AGENCY_PHRASES, COUNTY_SUFFIXES, NULL_WORDS, PLAC
 SPACES = r"[\t-\r\x1c-\x1f\x85\p{Z}]+"
 # ASCII punctuation together with blanks (text is already collapsed when this is used).
 PUNCTUATION_RUNS = r"[!-/:-@\[-`{-~ ]+"
+NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 # A "word character" is a letter, a digit-like number or an underscore.
 WORD = r"[\p{L}\p{N}_]"
 WORD_START, WORD_END = rf"(?<!{WORD})", rf"(?!{WORD})"
@@ -59,6 +60,15 @@ def to_double(value: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def number_column(df: DataFrame, name: str) -> Column:
+    """A column as a number: a plain cast where it is numeric already, else the lenient parse."""
+    kind = dict(df.dtypes)[name]
+    if kind in NUMERIC_TYPES or kind.startswith("decimal"):
+        number = F.col(f"`{name}`").cast("double")
+        return F.when(~F.isnan(number), number) if kind in ("double", "float") else number
+    return to_double(F.col(f"`{name}`"))
+
+
 def to_count(value: Column) -> Column:
     """Incident weight: missing, non-numeric or non-positive is 1, otherwise rounded half-even."""
     number = F.coalesce(to_double(value), F.lit(1.0))

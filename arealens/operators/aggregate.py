@@ -20,7 +20,9 @@ from arealens.constants import (
     rate_col,
 )
 from arealens.functions.rates import safe_rate
-from arealens.functions.text import to_double
+from arealens.functions.text import number_column
+
+WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 
 
 def count_by_group(
@@ -32,11 +34,15 @@ def count_by_group(
     """
     n = F.lit(1).cast("long")
     if weight and weight in incidents.columns:
-        n = F.coalesce(to_double(F.col(weight)).try_cast("long"), n)
-    label = F.coalesce(F.col(category), F.lit("unknown"))
-    keyed = incidents.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+        kind = dict(incidents.dtypes)[weight]
+        whole = F.col(weight).cast("long") if kind in WHOLE_TYPES else number_column(incidents, weight).try_cast("long")
+        n = F.coalesce(whole, n)
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    keyed = incidents.where(present).select(
+        *keys, F.coalesce(F.col(category), F.lit("unknown")).alias("_category"), n.alias("_n")
+    )
     per_category = keyed.groupBy(*keys).agg(
-        *[F.sum(F.when(label == c, n).otherwise(F.lit(0))).alias(count_col(c)) for c in CATEGORIES]
+        *[F.sum(F.when(F.col("_category") == c, F.col("_n")).otherwise(F.lit(0))).alias(count_col(c)) for c in CATEGORIES]
     )
     total = reduce(lambda a, b: a + b, [F.col(count_col(c)) for c in CATEGORIES])
     return per_category.withColumn(count_col("total"), total).select(*keys, *COUNT_COLUMNS)

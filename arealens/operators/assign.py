@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arealens.constants import PLACEHOLDER_COORDINATES, STATES
 from arealens.functions.fixed import fixed_table
 from arealens.functions.geo import bounding_box, edges_from_wkt, strictly_inside, valid_coordinates
-from arealens.functions.text import to_double
+from arealens.functions.text import number_column
 from arealens.operators.materialize import materialize
 from arealens.operators.skew import HOT_KEYS, hottest_keys, lookup_join
 
@@ -164,8 +164,8 @@ def assign_areas(
     base = incidents.select(
         "incident_id",
         F.upper(F.col("jurisdiction_state")).alias("_state"),
-        to_double(F.col("latitude")).alias("_lat"),
-        to_double(F.col("longitude")).alias("_lon"),
+        number_column(incidents, "latitude").alias("_lat"),
+        number_column(incidents, "longitude").alias("_lon"),
         F.nullif(F.trim(F.col("zcta_from_zip").cast("string")), F.lit("")).alias("_key"),
     )
     base = inside_state_bounds(base, "_state", "_lat", "_lon", "_in_state").withColumn(

@@ -18,9 +18,9 @@ from arealens.functions.text import (
     five_digit_key,
     match_text,
     notes_of,
+    number_column,
     stable_hash,
     to_count,
-    to_double,
 )
 from arealens.operators.classify import STARTER_RULES, classify_text
 
@@ -215,10 +215,13 @@ def normalize_incidents(
     def col(name: str, dtype: str = "string") -> Column:
         return column_or_null(staged, name, dtype)
 
+    def number(name: str) -> Column:
+        return number_column(staged, name) if name in staged.columns else F.lit(None).cast("double")
+
     base = staged.select(
         col("incident_id").alias("incident_id"),
         col("source_name").alias("source_name"),
-        F.coalesce(to_double(col("incident_count")).try_cast("long"), F.lit(1)).alias("incident_count"),
+        F.coalesce(number("incident_count").try_cast("long"), F.lit(1)).alias("incident_count"),
         col("jurisdiction_name").alias("jurisdiction_name"),
         col("jurisdiction_state").alias("jurisdiction_state"),
         col("occurred_at", "timestamp_ntz").alias("occurred_at"),
@@ -229,8 +232,8 @@ def normalize_incidents(
         match_text(col("address_raw")).alias("address_normalized"),
         clean_text(col("zip_raw")).alias("zip_raw"),
         five_digit_key(col("zip_raw")).alias("zcta_from_zip"),
-        to_double(col("latitude_raw")).alias("_lat"),
-        to_double(col("longitude_raw")).alias("_lon"),
+        number("latitude_raw").alias("_lat"),
+        number("longitude_raw").alias("_lon"),
     )
     labelled = classify_text(base, "offense_raw", mapping or STARTER_RULES).withColumn(
         "_located", valid_coordinates(F.col("_lat"), F.col("_lon"), placeholders)
