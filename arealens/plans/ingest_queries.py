@@ -71,7 +71,7 @@ SELECT sha256('orders_feed|' || CAST(o_orderkey AS VARCHAR) || '|' || strftime(o
 FROM orders WHERE o_orderstatus <> 'P'
 UNION ALL
 SELECT sha256('events_feed|' || CAST(event_id AS VARCHAR)), 'events_feed', 'NV', CAST(event_id AS VARCHAR),
-  CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END, strftime(ts, '%Y-%m-%d %H:%M:%S'), year(ts), month(ts), event_type,
+  CAST(CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS BIGINT), strftime(ts, '%Y-%m-%d %H:%M:%S'), CAST(year(ts) AS INTEGER), CAST(month(ts) AS INTEGER), event_type,
   CASE WHEN user_id > 100 THEN CAST(user_id AS VARCHAR) END, value, CAST(user_id AS DOUBLE)
 FROM events""")
 def staged_incidents(spark, folder):
