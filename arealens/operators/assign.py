@@ -10,7 +10,7 @@ from arealens.functions.fixed import fixed_table
 from arealens.functions.geo import bounding_box, edges_from_wkt, strictly_inside, valid_coordinates
 from arealens.functions.text import number_column
 from arealens.operators.materialize import materialize
-from arealens.operators.skew import HOT_KEYS, hottest_keys, lookup_join
+from arealens.operators.skew import HOT_KEYS, hottest_keys, lookup_join, row_salts
 
 ASSIGNMENT_COLUMNS = ["incident_id", "zcta", "assignment_method", "assignment_confidence", "assignment_notes", "assigned_at"]
 
@@ -95,6 +95,9 @@ def locate_points(
     keyed = placed.join(crowded, ["cx", "cy"], "left").withColumn(
         "salt", F.pmod(F.xxhash64("lon", "lat"), share_count).cast("int")
     )
+    # The test is heavy for the bytes it reads: a fixed partition count keeps small inputs from being merged
+    # into few tasks, and the keys are those of the join.
+    keyed = keyed.repartition(row_salts(points), "cx", "cy", "salt")
     cells = polygon_cells(prepare_polygons(polygons, area, wkt, carry), cell).join(crowded, ["cx", "cy"], "left")
     cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), share_count - 1)))
     hit = (
