@@ -299,7 +299,7 @@ def open_group(sets: list[np.ndarray], percent: int) -> np.ndarray:
             both = np.bincount(posting[at], minlength=number)
             linked = (100 * both >= percent * (size[pivot] + size - both)) & (both > 0) & alive
             for other in np.unique(label[linked]):
-                if other != label[pivot]:
+                if other != label[pivot] and int(other) in members:
                     into, gone = sorted((int(label[pivot]), int(other)), key=lambda x: -len(members[x]))
                     label[members[gone]] = into
                     members[into] += members.pop(gone)
