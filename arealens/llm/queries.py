@@ -107,5 +107,5 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(length('<|im_start|>') + n_role + 1 + n_text + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
         FROM sized GROUP BY conv_id
-    """.replace("\\", "\"),
+    """,
 }
