@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arealens.constants import NULL_WORDS
 from arealens.functions.bind import bind
-from arealens.functions.text import as_text, to_double
+from arealens.functions.text import as_text, strip_blanks, to_double
 
 EPOCH_MILLIS_FROM = 1e10
 
@@ -25,14 +25,36 @@ DATE_FORMATS = (
     "yyyy-M-d h:mm:ss a",
     "yyyyMMdd",
     "yyyyMMdd H:mm",
+    "M/d/yyyy H:mm:ss.SSS",
+    "M-d-yyyy",
+    "M-d-yyyy H:mm",
+    "M-d-yyyy H:mm:ss",
+    "yyyy.M.d",
+    "yyyy.M.d H:mm",
+    "yyyy.M.d H:mm:ss",
+    "M/d/yy",
+    "M/d/yy H:mm",
+    "M/d/yy H:mm:ss",
+    "M/d/yy h:mm a",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "MMM d, yyyy H:mm",
+    "MMMM d, yyyy H:mm",
+    "d-MMM-yyyy",
+    "d-MMM-yyyy H:mm",
+    "d MMM yyyy",
+    "d MMMM yyyy",
+    "yyyyMMddHHmmss",
 )
+#: Fourteen digits that read as a time are no number of milliseconds.
+PACKED_TIME = "yyyyMMddHHmmss"
 
 
 def _text_or_null(value: Column) -> Column:
     def kept(text: Column) -> Column:
         return F.when((text != "") & ~F.lower(text).isin(NULL_WORDS), text)
 
-    return bind(F.trim(as_text(value)), kept)
+    return bind(strip_blanks(as_text(value)), kept)
 
 
 def parse_text_time(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
@@ -53,7 +75,11 @@ def epoch_millis(value: Column, timezone: str | None = None) -> Column:
         usable = (number >= EPOCH_MILLIS_FROM) & (number < 253402300800000.0)
         return F.when(usable, number.try_cast("long"))
 
-    millis = bind(to_double(F.trim(as_text(value))), in_range)
+    def number_of(text: Column) -> Column:
+        packed = text.rlike(r"^(?:19|20)[0-9]{12}$") & F.try_to_timestamp(text, F.lit(PACKED_TIME)).isNotNull()
+        return to_double(F.when(~F.coalesce(packed, F.lit(False)), text))
+
+    millis = bind(bind(strip_blanks(as_text(value)), number_of), in_range)
     start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     instant = F.timestamp_add("MILLISECOND", millis, start)
     return instant if timezone is None else F.convert_timezone(F.lit("UTC"), F.lit(timezone), instant)

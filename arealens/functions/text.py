@@ -24,6 +24,11 @@ def as_text(value: Column) -> Column:
     return value.cast("string")
 
 
+def strip_blanks(value: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(value, rf"^(?:{SPACES})|(?:{SPACES})$", "")
+
+
 def squeeze(value: Column) -> Column:
     """Collapse white-space runs to one blank and trim."""
     return F.trim(F.regexp_replace(as_text(value), SPACES, " "))
@@ -103,7 +108,7 @@ def column_key(name: str) -> str:
 
 
 def filter_value(value: Column, case_sensitive: bool = False) -> Column:
-    text = F.trim(F.coalesce(as_text(value), F.lit("")))
+    text = strip_blanks(F.coalesce(as_text(value), F.lit("")))
     return text if case_sensitive else F.upper(text)
 
 

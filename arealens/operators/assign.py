@@ -10,7 +10,7 @@ from arealens.functions.fixed import fixed_table
 from arealens.functions.geo import bounding_box, edges_from_wkt, strictly_inside, valid_coordinates
 from arealens.functions.text import number_column
 from arealens.operators.materialize import materialize
-from arealens.operators.skew import HOT_KEYS, hottest_keys, lookup_join, row_salts
+from arealens.operators.skew import hottest_keys, lookup_join, row_salts
 
 ASSIGNMENT_COLUMNS = ["incident_id", "zcta", "assignment_method", "assignment_confidence", "assignment_notes", "assigned_at"]
 
@@ -75,7 +75,7 @@ def locate_points(
 
     Returns ``lon``, ``lat``, ``point_rows`` (rows at that point), ``area`` and the carried polygon
     columns. Equal points are
-    tested once. The grid turns the spatial test into an equi-join. The most crowded cells are
+    tested once. The grid turns the spatial test into an equi-join. Crowded cells are
     split into shares of about ``points_per_task`` points, with the cell's polygons repeated per share.
     """
     distinct = (
@@ -87,10 +87,7 @@ def locate_points(
     placed = distinct.withColumn("cx", F.floor(F.col("lon") / size)).withColumn("cy", F.floor(F.col("lat") / size))
     per_cell = placed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("_points"))
     shares = F.ceil(F.col("_points") / F.lit(points_per_task)).cast("int").alias("shares")
-    # At most HOT_KEYS rows; a cell beyond them holds less than 1 / HOT_KEYS of the points.
-    crowded = F.broadcast(
-        per_cell.orderBy(F.desc("_points"), "cx", "cy").limit(HOT_KEYS).select("cx", "cy", shares).where("shares > 1")
-    )
+    crowded = per_cell.select("cx", "cy", shares).where("shares > 1")
     share_count = F.coalesce("shares", F.lit(1))
     keyed = placed.join(crowded, ["cx", "cy"], "left").withColumn(
         "salt", F.pmod(F.xxhash64("lon", "lat"), share_count).cast("int")

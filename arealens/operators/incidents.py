@@ -71,12 +71,10 @@ def apply_row_filters(df: DataFrame, rules: dict | None) -> DataFrame:
 def source_slice(df: DataFrame, config: dict) -> DataFrame:
     """The predicate and projection a feed is published with, on its landed table.
 
-    ``where`` is SQL text and ``select`` a column list; both reach the file scan. ``order_by``
-    and ``limit`` apply only where the source defines them.
+    ``where`` is SQL text and ``select`` a column list; both reach the file scan. Paging of the
+    publisher's interface does not apply to landed data.
     """
     kept = df.where(config["where"]) if config.get("where") else df
-    if config.get("limit"):
-        kept = kept.orderBy(*[F.col(c) for c in config.get("order_by", [])]).limit(int(config["limit"]))
     return kept.select(*config["select"]) if config.get("select") else kept
 
 

@@ -265,7 +265,7 @@ def quality_report(incidents: DataFrame, assignments: DataFrame, annual: DataFra
     for name, df, column in (
         ("top_total_rate_outliers", annual, "total_rate_per_1000"),
         ("top_violent_rate_outliers", annual, "violent_rate_per_1000"),
-        ("top_overall_scores", index, "overall_crime_score_0_100"),
+        ("top_overall_scores", index, "overall_incident_score_0_100"),
     ):
         parts.append(section(top_records(df, column), name, [AREA, YEAR], column))
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -12,10 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arealens.operators.materialize import materialize
-from arealens.operators.skew import hottest_keys, lookup_join, null_safe_join, salted_join
+from arealens.operators.skew import null_safe_join, salted_join
 
-# Outcome tables up to this many rows (a few tens of MB) are broadcast; larger ones are shuffled.
-BROADCAST_ROWS = 500_000
 
 def unpivot_values(df: DataFrame, carry: list[str], columns: list[str]) -> DataFrame:
     """One row per present value: carried columns, ``m`` (position of the column), ``v``."""
@@ -138,40 +136,13 @@ def value_outcomes(
     return materialize(full.select(*g, "v", "cnt", F.col("w"), percentile.alias("p"), z.alias("z")), "outcomes")
 
 
-def attach_outcomes(
-    df: DataFrame,
-    outcomes: DataFrame,
-    columns: list[str],
-    groups: list[str],
-    keys: list[str],
-    outputs: dict[str, list[str]],
-) -> DataFrame:
-    """Bring per-value outcomes back to the rows.
+def attach_outcomes(df: DataFrame, outcomes: DataFrame, columns: list[str], groups: list[str], outputs: dict[str, list[str]]) -> DataFrame:
+    """Bring per-value outcomes back to the rows, each row for itself.
 
-    ``keys`` identify a row; ``outputs`` maps an outcome (``w``, ``p`` or ``z``) to one
-    output name per column. Few distinct values are broadcast, one join per column and no
-    shuffle; many are looked up in long form with the heaviest values split off.
+    ``outputs`` maps an outcome (``w``, ``p`` or ``z``) to one output name per column; outputs come
+    last, column by column, and replace columns of that name. One left join per column: the planner
+    broadcasts the outcomes where their measured size allows it and splits skewed values otherwise.
     """
-    if outcomes.count() <= BROADCAST_ROWS:
-        return _attach_broadcast(df, outcomes, columns, groups, outputs)
-    carry = list(dict.fromkeys([*keys, *groups]))
-    long = unpivot_values(df, carry, columns)
-    on = [*groups, "m", "v"]
-    wanted = outcomes.select(*on, *outputs)
-    found = lookup_join(long, wanted, on, hottest_keys(outcomes, on, "cnt"), null_safe=True)
-    wide = found.groupBy(*keys).agg(
-        *[
-            F.max(F.when(F.col("m") == i, F.col(kind))).alias(name)
-            for kind, names in outputs.items()
-            for i, name in enumerate(names)
-        ]
-    )
-    return null_safe_join(df, wide, keys, "left")
-
-
-def _attach_broadcast(
-    df: DataFrame, outcomes: DataFrame, columns: list[str], groups: list[str], outputs: dict[str, list[str]]
-) -> DataFrame:
     made = {name for names in outputs.values() for name in names}
     kept = [c for c in df.columns if c not in made]
     out = df.select(*kept)
@@ -184,7 +155,7 @@ def _attach_broadcast(
         match = F.col(column).cast("double") + F.lit(0.0) == F.col(f"_o{i}_v")
         for k in groups:
             match = match & F.col(k).eqNullSafe(F.col(f"_o{i}_{k}"))
-        out = out.join(F.broadcast(lookup), match, "left")
+        out = out.join(lookup, match, "left")
     return out.select(*kept, *[names[i] for i in range(len(columns)) for names in outputs.values()])
 
 

@@ -38,40 +38,38 @@ from arealens.operators.aggregate import add_rates
 from arealens.operators.materialize import materialize
 from arealens.operators.ranking import attach_outcomes, value_outcomes
 
-ROW_KEYS = [AREA, *SCOPE_COLUMNS]
-
 
 def winsorize(
-    df: DataFrame, columns: dict[str, str], groups: list[str], keys: list[str], lower: float = WINSOR_LOWER, upper: float = WINSOR_UPPER
+    df: DataFrame, columns: dict[str, str], groups: list[str], lower: float = WINSOR_LOWER, upper: float = WINSOR_UPPER
 ) -> DataFrame:
     """Clip columns to group quantiles; ``columns`` maps inputs to output names."""
     names, df = list(columns), materialize(df, "rows")
     outcomes = value_outcomes(df, names, groups, lower, upper)
-    return attach_outcomes(df, outcomes, names, groups, keys, {"w": [columns[c] for c in names]})
+    return attach_outcomes(df, outcomes, names, groups, {"w": [columns[c] for c in names]})
 
 
-def percentile_ranks(df: DataFrame, columns: dict[str, str], groups: list[str], keys: list[str]) -> DataFrame:
+def percentile_ranks(df: DataFrame, columns: dict[str, str], groups: list[str]) -> DataFrame:
     """Average-rank percentiles in [0, 1] within each group."""
     names, df = list(columns), materialize(df, "rows")
     outcomes = value_outcomes(df, names, groups)
-    return attach_outcomes(df, outcomes, names, groups, keys, {"p": [columns[c] for c in names]})
+    return attach_outcomes(df, outcomes, names, groups, {"p": [columns[c] for c in names]})
 
 
 def percentile_scores(
-    df: DataFrame, columns: dict[str, tuple[str, str]], groups: list[str], keys: list[str], digits: int = 1
+    df: DataFrame, columns: dict[str, tuple[str, str]], groups: list[str], digits: int = 1
 ) -> DataFrame:
     """Percentile and 0..100 score per column; ``columns`` maps an input to both output names."""
-    ranked = percentile_ranks(df, {c: p for c, (p, _) in columns.items()}, groups, keys)
+    ranked = percentile_ranks(df, {c: p for c, (p, _) in columns.items()}, groups)
     return ranked.withColumns(
         {score: round_half_even(F.col(p) * F.lit(100.0), digits) for p, score in columns.values()}
     )
 
 
-def z_scores(df: DataFrame, columns: dict[str, str], groups: list[str], keys: list[str]) -> DataFrame:
+def z_scores(df: DataFrame, columns: dict[str, str], groups: list[str]) -> DataFrame:
     """Population z-scores within each group, 0 where the group does not vary."""
     names, df = list(columns), materialize(df, "rows")
     outcomes = value_outcomes(df, names, groups)
-    return attach_outcomes(df, outcomes, names, groups, keys, {"z": [columns[c] for c in names]})
+    return attach_outcomes(df, outcomes, names, groups, {"z": [columns[c] for c in names]})
 
 
 def logistic_scores(df: DataFrame, z_columns: list[str], digits: int = 1) -> DataFrame:
@@ -130,7 +128,6 @@ def score_rates(
     lower: float = WINSOR_LOWER,
     upper: float = WINSOR_UPPER,
     groups: list[str] | None = None,
-    keys: list[str] | None = None,
     digits: int = 1,
 ) -> DataFrame:
     """Winsorised rates, percentiles, scores and z-scores for all seven rates.
@@ -138,7 +135,7 @@ def score_rates(
     One histogram per group serves the quantiles, the ranks of the clipped values and
     their moments, and one lookup brings everything back to the rows.
     """
-    groups, keys = groups or SCOPE_COLUMNS, keys or ROW_KEYS
+    groups = groups or SCOPE_COLUMNS
     rates = [rate_col(b) for b in BASES]
     df = materialize(df, "rates")
     outcomes = value_outcomes(df, rates, groups, lower, upper)
@@ -147,7 +144,6 @@ def score_rates(
         outcomes,
         rates,
         groups,
-        keys,
         {
             "w": [winsorized_col(b) for b in BASES],
             "p": [percentile_col(b) for b in BASES],
@@ -159,8 +155,8 @@ def score_rates(
     )
 
 
-def add_overall_percentile(df: DataFrame, groups: list[str] | None = None, keys: list[str] | None = None) -> DataFrame:
-    ranked = percentile_ranks(df, {OVERALL_SCORE: "overall_percentile"}, groups or SCOPE_COLUMNS, keys or ROW_KEYS)
+def add_overall_percentile(df: DataFrame, groups: list[str] | None = None) -> DataFrame:
+    ranked = percentile_ranks(df, {OVERALL_SCORE: "overall_percentile"}, groups or SCOPE_COLUMNS)
     return ranked.withColumn("percentile_rank", F.col("overall_percentile"))
 
 

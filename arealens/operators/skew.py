@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The heaviest keys are broadcast; no other key can then hold more than 1 / HOT_KEYS of the rows.
-HOT_KEYS = 1000
-GROUP_SALTS = 256
+# So many of the heaviest keys for each shuffle partition are broadcast; any other key then holds less than
+# a quarter of an even partition.
+HOT_KEYS_PER_PARTITION = 4
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
@@ -21,8 +21,9 @@ def row_salts(df: DataFrame) -> int:
     return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def hottest_keys(rows: DataFrame, keys: list[str], weight: str | None = None, limit: int = HOT_KEYS) -> DataFrame:
-    """At most ``limit`` keys with the most rows. ``weight`` names a row count already known."""
+def hottest_keys(rows: DataFrame, keys: list[str], weight: str | None = None, limit: int | None = None) -> DataFrame:
+    """The keys with the most rows, a few for each shuffle partition. ``weight`` names a row count already known."""
+    limit = limit or HOT_KEYS_PER_PARTITION * row_salts(rows)
     if weight is None:
         counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_weight"))
     else:
@@ -35,7 +36,7 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a lookup that has one row per key, whatever the spread of keys in ``rows``.
 
-    The keys of ``hot`` (at most ``HOT_KEYS``, see :func:`hottest_keys`) are answered by a
+    The keys of ``hot`` (see :func:`hottest_keys`) are answered by a
     broadcast whose size that limit bounds. Rows so answered, and rows with a NULL key, are
     then spread over the shuffle by their input partition instead of by their key.
     """
@@ -79,10 +80,10 @@ def lookup_join(
 def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join to per-group values where one group may cover all rows.
 
-    The few group rows are repeated once per salt (at most ``GROUP_SALTS``), so every group is
-    spread over that many shuffle keys. NULL keys match each other.
+    The few group rows are repeated once per shuffle partition, so every group is spread over
+    all of them. NULL keys match each other.
     """
-    salts = min(GROUP_SALTS, row_salts(rows))
+    salts = row_salts(rows)
     left = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     right = groups.select(
         *[F.col(k).alias(f"_g_{k}") for k in keys],

@@ -154,7 +154,7 @@ EMPTY_INC = "few AS (SELECT * FROM inc WHERE cat = 'violent')"
 WITH {INC}, {POP}, {EMPTY_INC},
 cnt AS (SELECT zcta, year, {counts()} FROM few GROUP BY zcta, year),
 uni AS (SELECT zcta, year FROM pop UNION SELECT zcta, year FROM cnt),
-ann AS (SELECT u.zcta, u.year, p.population_total, {", ".join(f"coalesce(c.{c}, 0) AS {c}" for c in ["total_crime_count", *[f"{x}_crime_count" for x in CATS]])}
+ann AS (SELECT u.zcta, u.year, p.population_total, {", ".join(f"coalesce(c.{c}, 0) AS {c}" for c in ["total_incident_count", *[f"{x}_incident_count" for x in CATS]])}
         FROM uni u LEFT JOIN cnt c USING (zcta, year) LEFT JOIN pop p USING (zcta, year))
 SELECT *, {rates()} FROM ann""")
 def annual_with_empty(spark, folder):
@@ -166,7 +166,7 @@ def annual_with_empty(spark, folder):
 WITH {INC}, {POP},
 cnt AS (SELECT zcta, year, month, {counts()} FROM inc GROUP BY zcta, year, month),
 spine AS (SELECT a.zcta, a.year, CAST(m AS INTEGER) AS month FROM (SELECT DISTINCT zcta, year FROM cnt) a, range(1, 13) AS t(m)),
-ann AS (SELECT s.month, s.zcta, s.year, p.population_total, {", ".join(f"coalesce(c.{c}, 0) AS {c}" for c in ["total_crime_count", *[f"{x}_crime_count" for x in CATS]])}
+ann AS (SELECT s.month, s.zcta, s.year, p.population_total, {", ".join(f"coalesce(c.{c}, 0) AS {c}" for c in ["total_incident_count", *[f"{x}_incident_count" for x in CATS]])}
         FROM spine s LEFT JOIN cnt c USING (zcta, year, month) LEFT JOIN pop p USING (zcta, year))
 SELECT *, {rates()} FROM ann""")
 def monthly_counts(spark, folder):

@@ -40,12 +40,18 @@ def line_incidents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def line_years(spark: SparkSession, folder: str):
+    """Generator of the years that order lines have."""
+    years = table(spark, folder, "lineitem").select(F.year("l_shipdate").alias("y")).where("y is not null").distinct().collect()
+    return F.explode(F.array(*[F.lit(r["y"]) for r in sorted(years)]).cast("array<int>"))
+
+
 def part_population(spark: SparkSession, folder: str) -> DataFrame:
-    """Residents per part and year 1995..2001; some are zero, some unknown."""
+    """Residents per part and year of the order lines; some are zero, some unknown."""
     people = F.expr("CASE WHEN p_size = 50 THEN 0 WHEN p_size < 49 THEN p_size * 100 END").cast("long")
     return table(spark, folder, "part").select(
         F.col("p_partkey").cast("string").alias("zcta"),
-        F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("year"),
+        line_years(spark, folder).alias("year"),
         people.alias("population_total"),
     )
 
@@ -157,8 +163,8 @@ def agency_offenses(spark: SparkSession, folder: str) -> DataFrame:
         number.alias("table_number"),
         F.concat(F.lit("Table "), number).alias("table_name"),
         F.when(F.col("l_linenumber") < 6, F.col("l_orderkey").cast("string")).alias("agency_label"),
-        F.when(F.col("l_quantity") < 49, F.col("l_quantity")).alias("violent_crime_count"),
-        (F.col("l_linenumber") * 2).alias("property_crime_count"),
+        F.when(F.col("l_quantity") < 49, F.col("l_quantity")).alias("violent_incident_count"),
+        (F.col("l_linenumber") * 2).alias("property_incident_count"),
     )
 
 

@@ -17,7 +17,7 @@ INC = """inc AS (
 POP = """pop AS (
   SELECT CAST(p_partkey AS VARCHAR) AS zcta, CAST(y AS INTEGER) AS year,
          CAST(CASE WHEN p_size = 50 THEN 0 WHEN p_size = 49 THEN NULL ELSE p_size * 100 END AS BIGINT) AS population_total
-  FROM part, range(1995, 2002) AS t(y))"""
+  FROM part, (SELECT DISTINCT year(l_shipdate) AS y FROM lineitem) t)"""
 
 CATS = ["violent", "property", "drug", "public_order", "weapons", "other", "unknown"]
 BASES = ["total", "violent", "property", "drug", "public_order", "weapons", "other"]
@@ -25,19 +25,19 @@ BASES = ["total", "violent", "property", "drug", "public_order", "weapons", "oth
 
 def counts(source: str = "inc") -> str:
     cells = ",\n         ".join(
-        f"CAST(sum(CASE WHEN cat = '{c}' THEN n ELSE 0 END) AS BIGINT) AS {c}_crime_count" for c in CATS
+        f"CAST(sum(CASE WHEN cat = '{c}' THEN n ELSE 0 END) AS BIGINT) AS {c}_incident_count" for c in CATS
     )
-    return f"CAST(sum(n) AS BIGINT) AS total_crime_count,\n         {cells}"
+    return f"CAST(sum(n) AS BIGINT) AS total_incident_count,\n         {cells}"
 
 
-COUNT_NAMES = ["total_crime_count"] + [f"{c}_crime_count" for c in CATS]
+COUNT_NAMES = ["total_incident_count"] + [f"{c}_incident_count" for c in CATS]
 COUNTS = ", ".join(COUNT_NAMES)
 
 
 def rates(digits: int | None = None) -> str:
     cells = []
     for b in ["total", *CATS]:
-        value = f"CASE WHEN population_total > 0 THEN CAST({b}_crime_count AS DOUBLE) / population_total * 1000 END"
+        value = f"CASE WHEN population_total > 0 THEN CAST({b}_incident_count AS DOUBLE) / population_total * 1000 END"
         cells.append(f"{f'round({value}, {digits})' if digits else value} AS {b}_rate_per_1000")
     return ", ".join(cells)
 
@@ -49,15 +49,15 @@ BASE = f"WITH {INC},\n{POP},\n{ANN}"
 
 
 def score_name(b: str) -> str:
-    return "total_crime_score_0_100" if b == "total" else f"{b}_score_0_100"
+    return "total_incident_score_0_100" if b == "total" else f"{b}_score_0_100"
 
 
 def percentile_name(b: str) -> str:
-    return "total_crime_percentile" if b == "total" else f"{b}_percentile"
+    return "total_incident_percentile" if b == "total" else f"{b}_percentile"
 
 
 def label_name(b: str) -> str:
-    return "total_crime_score_label" if b == "total" else f"{b}_score_label"
+    return "total_incident_score_label" if b == "total" else f"{b}_score_label"
 
 
 def clipped(group: str) -> str:
@@ -101,7 +101,7 @@ def scored(group: str = "year") -> str:
     return f"""{clipped(group)},
 rnk AS (SELECT *, {p} FROM win),
 scr AS (SELECT *, {s} FROM rnk),
-ovr AS (SELECT *, {OVERALL} AS overall_crime_score_0_100, {MISSING} AS score_notes FROM scr)"""
+ovr AS (SELECT *, {OVERALL} AS overall_incident_score_0_100, {MISSING} AS score_notes FROM scr)"""
 
 
 WEIGHTS = [("violent", 0.4), ("property", 0.3), ("drug", 0.05), ("public_order", 0.05), ("weapons", 0.15), ("other", 0.05)]
@@ -126,7 +126,7 @@ def label(column: str) -> str:
 
 LABELS = ", ".join(
     f"{label(score_name(b))} AS {label_name(b)}" for b in BASES
-) + f", {label('overall_crime_score_0_100')} AS overall_crime_score_label"
+) + f", {label('overall_incident_score_0_100')} AS overall_incident_score_label"
 
 # Unicode white space and the ASCII punctuation of the match form.
 SPACE = r"[\t-\r\x1c-\x1f\x{85}\p{Z}]+"
@@ -175,3 +175,10 @@ WITHIN = """lon > x AND lon < x + 1 AND lat > y AND lat < y + 1 AND (
     kind = 0
     OR (kind = 1 AND NOT (lon BETWEEN x + 0.25 AND x + 0.75 AND lat BETWEEN y + 0.25 AND y + 0.75))
     OR (kind = 2 AND lat - y < 0.777 * (lon - x)))"""
+
+
+def digest_sql(fields: list[str]) -> str:
+    """The fingerprint of all rows in SQL: digest words of length-prefixed fields, summed."""
+    row = " || '|' || ".join(f"coalesce(CAST(length({f}) AS VARCHAR) || ':' || {f}, '-')" for f in fields)
+    words = " || '|' || ".join(f"CAST(coalesce(sum(CAST('0x' || substr(sha256({row}), {1 + 15 * k}, 15) AS BIGINT)), 0) AS VARCHAR)" for k in range(4))
+    return f"sha256(CAST(count(*) AS VARCHAR) || '|' || {words})"

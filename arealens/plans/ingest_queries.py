@@ -13,11 +13,12 @@ from arealens.operators.incidents import (
     stage_sources,
 )
 from arealens.plans.bindings import scratch
+from arealens.plans.checks import digest_sql
 from arealens.plans.registry import query, table
-from arealens.sources.lineage import file_lineage, raw_payloads, source_profile, typed_records
+from arealens.sources.lineage import content_fingerprint, file_lineage, raw_payloads, row_digest, source_profile, typed_records
 from arealens.sources.payloads import agency_rows, failed_pages, feature_rows, population_rows, record_rows, union_records
 from arealens.sources.readers import read_tabular
-from arealens.sources.sheets import offense_rows
+from arealens.sources.sheets import THEFT_FIELDS, failed_sheets, offense_rows
 from arealens.sources.tables import normalize_population
 
 
@@ -130,37 +131,53 @@ def raw_payload_archive(spark, folder):
 
 
 @query("copy_numbers", """
-SELECT l_returnflag, l_linestatus, l_linenumber,
-  row_number() OVER (PARTITION BY l_returnflag, l_linestatus, l_linenumber) AS copy_number FROM lineitem""")
+WITH l AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem)
+SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+  l_returnflag, l_linestatus, l_shipdate) AS copy_number FROM l""")
 def copy_numbers(spark, folder):
-    return number_copies(table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber"), "copy_number")
+    lines = table(spark, folder, "lineitem")
+    return number_copies(lines.unionByName(lines), "copy_number")
 
 
-@query("file_lineage", """
+ORDER_FIELDS = [
+    "CAST(o_custkey AS VARCHAR)", "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')", "CAST(o_orderkey AS VARCHAR)", "o_orderpriority", "o_orderstatus",
+    "CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR)",
+]
+
+
+@query("file_lineage", f"""
 SELECT 'orders_feed' AS source_name, 'orders.parquet' AS file_name, 'parquet' AS file_format, count(*) AS row_count,
-  sha256(CAST(count(*) AS VARCHAR) || '|' || CAST(bit_xor(CAST('0x' || substr(sha256(
-    CAST(o_custkey AS VARCHAR) || '|' || CAST(o_orderkey AS VARCHAR) || '|' || o_orderpriority || '|' || o_orderstatus), 1, 15) AS BIGINT)) AS VARCHAR)) AS file_hash
+  {digest_sql(ORDER_FIELDS)} AS file_hash
 FROM orders""")
 def lineage(spark, folder):
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    orders = table(spark, folder, "orders").withColumn("o_totalprice", F.round(F.col("o_totalprice") * 100).cast("long"))
     return file_lineage(orders, "orders_feed").select("source_name", "file_name", "file_format", "row_count", "file_hash")
 
 
+@query("repeated_rows_fingerprint", f"""
+WITH twice AS (SELECT * FROM orders UNION ALL SELECT * FROM orders)
+SELECT o_orderstatus AS part, {digest_sql(ORDER_FIELDS)} AS file_hash FROM twice GROUP BY 1""")
+def repeated_rows_fingerprint(spark, folder):
+    orders = table(spark, folder, "orders").withColumn("o_totalprice", F.round(F.col("o_totalprice") * 100).cast("long"))
+    twice = orders.unionByName(orders)
+    return twice.groupBy(F.col("o_orderstatus").alias("part")).agg(content_fingerprint(row_digest(orders)).alias("file_hash"))
+
+
 @query("typed_reread", """
 SELECT CASE WHEN p_partkey < 10000 THEN lpad(CAST(p_partkey AS VARCHAR), 5, '0') ELSE CAST(p_partkey AS VARCHAR) END AS zcta,
-  CAST(p_size AS BIGINT) AS year, CASE WHEN p_size > 10 THEN CAST(p_size AS BIGINT) END AS total_crime_count,
+  CAST(p_size AS BIGINT) AS year, CASE WHEN p_size > 10 THEN CAST(p_size AS BIGINT) END AS total_incident_count,
   p_retailprice AS total_rate_per_1000, p_size % 2 = 0 AS is_modeled, '' AS source_names, p_brand AS county_name
 FROM part""")
 def typed_reread(spark, folder):
     part = table(spark, folder, "part").selectExpr(
-        "cast(p_partkey AS string) AS zcta", "p_size AS year", "CASE WHEN p_size > 10 THEN concat(p_size, '.0') END AS total_crime_count",
+        "cast(p_partkey AS string) AS zcta", "p_size AS year", "CASE WHEN p_size > 10 THEN concat(p_size, '.0') END AS total_incident_count",
         "p_retailprice AS total_rate_per_1000", "p_size % 2 = 0 AS is_modeled", "'  ' AS source_names", "p_brand AS county_name",
     )
     path = scratch(spark, "reread") + ".csv"
     part.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(path)
     return typed_records(read_tabular(spark, path, {"dtype": "str"})).select(
-        "zcta", "year", "total_crime_count", "total_rate_per_1000", "is_modeled",
-        F.coalesce("source_names", F.lit("")).alias("source_names"), "county_name",
+        "zcta", "year", "total_incident_count", "total_rate_per_1000", "is_modeled",
+        "source_names", "county_name",
     )
 
 
@@ -258,17 +275,7 @@ def agency_payload(spark, folder):
 STATE_LIST = "['Alabama', 'Texas', 'New York', 'Ohio', 'Atlantis']"
 
 
-@query("sheet_grid", f"""
-SELECT CAST(s_nationkey AS VARCHAR) AS sheet, CASE s_nationkey % 4 WHEN 0 THEN '8' WHEN 1 THEN '9' WHEN 2 THEN '10' ELSE '11' END AS table_number,
-  ['AL', 'TX', 'NY', 'OH'][CAST(s_suppkey % 5 AS INT) + 1] AS state_code,
-  CASE s_nationkey % 4 WHEN 3 THEN CASE WHEN s_suppkey % 2 = 0 THEN regexp_replace(s_name, '(.*[^0-9])[0-9]+$', '\\1') || ' - Unit A' ELSE regexp_replace(s_name, '(.*[^0-9])[0-9]+$', '\\1') END
-       ELSE regexp_replace(s_name, '(.*[^0-9])[0-9]+$', '\\1') END AS agency_label,
-  CASE s_nationkey % 4 WHEN 0 THEN 'city' WHEN 1 THEN 'university_college' WHEN 2 THEN 'county' ELSE CASE WHEN s_suppkey % 2 = 1 THEN 'Tribal' ELSE 'state_tribal_other' END END AS agency_type,
-  CASE WHEN s_nationkey % 4 IN (0, 1) THEN CAST(1000 + s_suppkey AS BIGINT) END AS population_reported,
-  CAST(s_suppkey AS BIGINT) AS violent_crime_count, CASE WHEN s_suppkey % 6 <> 0 THEN CAST(s_suppkey * 2 AS BIGINT) END AS property_crime_count,
-  CAST(7 AS BIGINT) AS larceny_theft_count
-FROM supplier WHERE s_suppkey % 5 <> 4""")
-def sheet_grid(spark, folder):
+def _sheet_cells(spark, folder):
     number = "CASE s_nationkey % 4 WHEN 0 THEN '8' WHEN 1 THEN '9' WHEN 2 THEN '10' ELSE '11' END"
     label = "CASE s_nationkey % 4 WHEN 0 THEN 'City' WHEN 1 THEN 'University/College' WHEN 2 THEN 'County' ELSE 'Agency' END"
     people = "CASE s_nationkey % 4 WHEN 0 THEN 'Population' WHEN 1 THEN 'Student enrollment1' ELSE 'Spare' END"
@@ -277,7 +284,7 @@ def sheet_grid(spark, folder):
     titles = sheets.selectExpr("cast(s_nationkey AS string) AS sheet", f"{number} AS table_number", "0 AS row_idx", "array('Offenses known', 'by State') AS cells")
     heads = sheets.selectExpr(
         "cast(s_nationkey AS string) AS sheet", f"{number} AS table_number", "3 AS row_idx",
-        f"""array('State', {label}, 'Unit/Office', 'State/Tribal/Other', {people}, 'Violent\\ncrime', 'Property crime 1', 'Larceny-theft', NULL) AS cells""",
+        f"""array('State', {label}, 'Unit/Office', 'State/Tribal/Other', {people}, 'Violent\\nevents', 'Property events 1', 'Larceny-theft', NULL) AS cells""",
     )
     blanks = sheets.selectExpr("cast(s_nationkey AS string) AS sheet", f"{number} AS table_number", "4 AS row_idx", "array('', NULL, ' ') AS cells")
     data = suppliers.selectExpr(
@@ -288,10 +295,40 @@ def sheet_grid(spark, folder):
     )
     data = data.withColumn("cells", F.transform("cells", lambda c: F.regexp_replace(c, "^Ohio3, 4$", "Ohio3")))
     grid = titles.unionByName(heads).unionByName(blanks).unionByName(data)
-    return offense_rows(grid).select(
+    return grid
+
+
+MARKERS = ("state", "violent events")
+COUNT_FIELDS = {"violent_incident_count": "violent_events", "property_incident_count": "property_events", **THEFT_FIELDS}
+
+
+@query("sheet_grid", f"""
+SELECT CAST(s_nationkey AS VARCHAR) AS sheet, CASE s_nationkey % 4 WHEN 0 THEN '8' WHEN 1 THEN '9' WHEN 2 THEN '10' ELSE '11' END AS table_number,
+  ['AL', 'TX', 'NY', 'OH'][CAST(s_suppkey % 5 AS INT) + 1] AS state_code,
+  CASE s_nationkey % 4 WHEN 3 THEN CASE WHEN s_suppkey % 2 = 0 THEN regexp_replace(s_name, '(.*[^0-9])[0-9]+$', '\\1') || ' - Unit A' ELSE regexp_replace(s_name, '(.*[^0-9])[0-9]+$', '\\1') END
+       ELSE regexp_replace(s_name, '(.*[^0-9])[0-9]+$', '\\1') END AS agency_label,
+  CASE s_nationkey % 4 WHEN 0 THEN 'city' WHEN 1 THEN 'university_college' WHEN 2 THEN 'county' ELSE CASE WHEN s_suppkey % 2 = 1 THEN 'Tribal' ELSE 'state_tribal_other' END END AS agency_type,
+  CASE WHEN s_nationkey % 4 IN (0, 1) THEN CAST(1000 + s_suppkey AS BIGINT) END AS population_reported,
+  CAST(s_suppkey AS BIGINT) AS violent_incident_count, CASE WHEN s_suppkey % 6 <> 0 THEN CAST(s_suppkey * 2 AS BIGINT) END AS property_incident_count,
+  CAST(7 AS BIGINT) AS larceny_theft_count
+FROM supplier WHERE s_suppkey % 5 <> 4""")
+def sheet_grid(spark, folder):
+    return offense_rows(_sheet_cells(spark, folder), MARKERS, COUNT_FIELDS).select(
         "sheet", "table_number", "state_code", "agency_label", "agency_type", "population_reported",
-        "violent_crime_count", "property_crime_count", "larceny_theft_count",
+        "violent_incident_count", "property_incident_count", "larceny_theft_count",
+    )
+
+
+@query("failed_sheets", """
+SELECT CAST(s_nationkey AS VARCHAR) AS sheet, CASE WHEN s_nationkey % 5 = 0 THEN '12' ELSE '8' END AS table_number, count(*) AS grid_rows,
+  CASE WHEN s_nationkey % 5 = 0 THEN 'unknown_table' ELSE 'no_header' END AS reason
+FROM supplier WHERE s_nationkey % 5 = 0 OR s_nationkey % 3 = 0 GROUP BY s_nationkey""")
+def unread_sheets(spark, folder):
+    grid = table(spark, folder, "supplier").selectExpr(
+        "cast(s_nationkey AS string) AS sheet", "CASE WHEN s_nationkey % 5 = 0 THEN '12' ELSE '8' END AS table_number", "cast(s_suppkey AS int) AS row_idx",
+        "CASE WHEN s_nationkey % 3 = 0 THEN array(s_name, '1') ELSE array('State', 'Violent events', s_name) END AS cells",
     )
+    return failed_sheets(grid, MARKERS)
 
 
 @query("population_keep_last", """

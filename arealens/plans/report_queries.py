@@ -42,7 +42,7 @@ from arealens.plans.bindings import (
     supplier_polygons,
     undated_lines,
 )
-from arealens.plans.checks import ASSIGN, BASE, INC, SHAPES
+from arealens.plans.checks import ASSIGN, BASE, INC, SHAPES, digest_sql
 from arealens.plans.registry import query, table
 from arealens.sinks.bundle import (
     area_documents,
@@ -314,7 +314,7 @@ def combination_counts(spark, folder):
     return key_counts(line_incidents(spark, folder), ["source_name", "occurred_year", "offense_group"])
 
 
-@query("top_outliers", f"""{BASE} SELECT zcta, year, round(total_rate_per_1000, 9) AS total_rate_per_1000, population_total, total_crime_count FROM ann
+@query("top_outliers", f"""{BASE} SELECT zcta, year, round(total_rate_per_1000, 9) AS total_rate_per_1000, population_total, total_incident_count FROM ann
 ORDER BY ann.total_rate_per_1000 DESC NULLS LAST, zcta, year LIMIT 20""")
 def outliers(spark, folder):
     top = top_records(part_annual(spark, folder), "total_rate_per_1000")
@@ -325,8 +325,8 @@ def _plain_index(spark, folder):
     """Annual rows with the descriptive columns a finished index has."""
     return part_annual(spark, folder).selectExpr(
         "*", "CASE WHEN year < 1998 THEN 'source_universe' ELSE 'state' END AS comparison_scope", "CASE WHEN population_total > 0 THEN 'observed' ELSE 'modeled' END AS data_source_type",
-        "total_crime_count > 150 AS is_modeled", "CASE WHEN population_total >= 1000 THEN 'B' WHEN population_total > 0 THEN 'C' END AS confidence_grade",
-        "round(total_rate_per_1000 / 100, 6) AS overall_crime_score_0_100",
+        "total_incident_count > 150 AS is_modeled", "CASE WHEN population_total >= 1000 THEN 'B' WHEN population_total > 0 THEN 'C' END AS confidence_grade",
+        "round(total_rate_per_1000 / 100, 6) AS overall_incident_score_0_100",
     )
 
 
@@ -341,7 +341,7 @@ UNION ALL SELECT 'assignment_method_counts', method, count(*) FROM asg GROUP BY
 UNION ALL SELECT 'assignment_method_incident_counts', method, sum(n) FROM inc LEFT JOIN one USING (incident_id) GROUP BY 2
 UNION ALL SELECT 'offense_group_counts', cat, count(*) FROM inc GROUP BY 2 UNION ALL SELECT 'offense_group_incident_counts', cat, sum(n) FROM inc GROUP BY 2
 UNION ALL SELECT 'year_coverage', source_name || '|' || CAST(year AS VARCHAR), count(*) FROM inc GROUP BY 2
-UNION ALL SELECT 'index_scope_counts', scope || '|' || dst || '|' || CAST(total_crime_count > 150 AS VARCHAR), count(*) FROM ix GROUP BY 2
+UNION ALL SELECT 'index_scope_counts', scope || '|' || dst || '|' || CAST(total_incident_count > 150 AS VARCHAR), count(*) FROM ix GROUP BY 2
 UNION ALL SELECT 'confidence_grade_counts', coalesce(grade, 'null'), count(*) FROM ix GROUP BY 2
 UNION ALL SELECT 'confidence_grade_counts_by_scope', scope || '|' || grade, count(*) FROM ix WHERE grade IS NOT NULL GROUP BY 2
 UNION ALL (SELECT 'top_total_rate_outliers', zcta || '|' || CAST(year AS VARCHAR), total_rate_per_1000 FROM ann ORDER BY total_rate_per_1000 DESC NULLS LAST, zcta, year LIMIT 20)
@@ -369,7 +369,7 @@ def _records(spark, folder):
         "cast(p_partkey AS string) AS zcta", "2022 AS year", "version", "CASE WHEN p_size < 45 THEN cast(p_size * 10 * version AS bigint) END AS population_total",
         f"{STATUS} AS coverage_status", "CASE WHEN p_size < 25 THEN 'observed' ELSE '' END AS data_source_type",
         "CASE WHEN p_size < 10 THEN 'A' ELSE 'C' END AS confidence_grade", "concat('b', p_size % 3, '|', ' a|') AS source_names",
-        "(p_partkey * 7) % 1000 / 10.0D AS overall_crime_score_0_100", *cells, *scores,
+        "(p_partkey * 7) % 1000 / 10.0D AS overall_incident_score_0_100", *cells, *scores,
     )
     return latest_records(base, "version")
 
@@ -405,8 +405,8 @@ g AS (SELECT group_id, count(*) AS requested_zip_count, count(*) FILTER (found)
   CAST(coalesce(sum(pop), 0) AS BIGINT) AS population_total, count(*) FILTER (found AND z % 4 = 0) AS direct_observed_zip_count, count(*) FILTER (found AND z % 4 <= 1) AS observed_zip_count,
   count(*) FILTER (found AND z % 4 = 2) AS modeled_zip_count, {_group_cells()} FROM jm GROUP BY group_id)
 SELECT group_id, requested_zip_count, found_zip_count, missing_zip_count, population_total, direct_observed_zip_count, observed_zip_count, modeled_zip_count,
-  {", ".join(COUNT_COLUMNS)}, {_half_up('total_crime_count::DOUBLE / CASE WHEN population_total > 0 THEN population_total END * 1000', 3)} AS total_rate_per_1000,
-  {_half_up('s_violent', 1)} AS violent_score_0_100, {_half_up('s_total', 1)} AS total_crime_score_0_100,
+  {", ".join(COUNT_COLUMNS)}, {_half_up('total_incident_count::DOUBLE / CASE WHEN population_total > 0 THEN population_total END * 1000', 3)} AS total_rate_per_1000,
+  {_half_up('s_violent', 1)} AS violent_score_0_100, {_half_up('s_total', 1)} AS total_incident_score_0_100,
   CASE WHEN s_violent IS NULL THEN 'unavailable' WHEN s_violent < 20 THEN 'very_low' WHEN s_violent < 40 THEN 'low' WHEN s_violent < 60 THEN 'average' WHEN s_violent < 80 THEN 'high' ELSE 'very_high' END AS violent_score_label
 FROM g""")
 def profile(spark, folder):
@@ -463,8 +463,8 @@ def projection(spark, folder):
 
 
 @query("manifest", f"""WITH {PUBLISHED}
-SELECT year, comparison_scope, count(*) AS row_count, bit_xor(CAST('0x' || substr(sha256(comparison_scope || '|' || coalesce(coverage_status, '\\N') || '|' || coalesce(data_source_type, '\\N') || '|' ||
-  CAST(population_total AS VARCHAR) || '|' || CAST(year AS VARCHAR) || '|' || zcta), 1, 15) AS BIGINT)) AS checksum FROM pb GROUP BY 1, 2""")
+SELECT year, comparison_scope, count(*) AS row_count, {digest_sql(["comparison_scope", "coverage_status", "data_source_type", "CAST(population_total AS VARCHAR)",
+  "CAST(year AS VARCHAR)", "zcta"])} AS checksum FROM pb GROUP BY 1, 2""")
 def bundle_manifest(spark, folder):
     return manifest(_published(spark, folder))
 
@@ -536,10 +536,10 @@ def aligned_append(spark, folder):
     return append_aligned(events, orders)
 
 
-@query("export_roundtrip", f"""{BASE} SELECT zcta, CAST(year AS VARCHAR) AS year, CAST(total_crime_count AS VARCHAR) AS total_crime_count, CAST(population_total AS VARCHAR) AS population_total FROM ann""")
+@query("export_roundtrip", f"""{BASE} SELECT zcta, CAST(year AS VARCHAR) AS year, CAST(total_incident_count AS VARCHAR) AS total_incident_count, CAST(population_total AS VARCHAR) AS population_total FROM ann""")
 def export_roundtrip(spark, folder):
     path = scratch(spark, "export") + ".csv"
-    shown = consumer_view(part_annual(spark, folder)).select("zcta", "year", "total_crime_count", "population_total")
+    shown = consumer_view(part_annual(spark, folder)).select("zcta", "year", "total_incident_count", "population_total")
     export_table(shown, path, "csv", ["zcta", "year"])
     return spark.read.option("header", True).csv(path)
 

@@ -27,6 +27,17 @@ def build_session(app_name: str = "arealens", master: str | None = None, **conf:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a scratch folder only where none is set."""
+    """The shared folder named by the cluster in ``spark.checkpoint.dir``.
+
+    Where none is set, a local session gets a scratch folder; a cluster gets a folder on its default
+    file system, and none at all if that is machine-local.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or tempfile.mkdtemp(prefix="arealens-")
+    if configured:
+        return configured
+    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        return tempfile.mkdtemp(prefix="arealens-")
+    default = spark._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    if default.startswith("file:"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{default.rstrip('/')}/tmp/arealens"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arealens.constants import AREA, OBSERVED_SCOPE, POPULATION, YEAR
 from arealens.functions.text import pad_key
-from arealens.sources.lineage import row_digest
+from arealens.sources.lineage import content_fingerprint, row_digest
 
 COVERAGE_COLUMNS = [AREA, YEAR, POPULATION, "coverage_status", "data_source_type", "coverage_notes"]
 
@@ -40,6 +40,7 @@ def write_documents(documents: DataFrame, path: str) -> None:
     (
         documents.withColumn("area_prefix", F.substring(AREA, 1, 3))
         .select("document", YEAR, "area_prefix")
+        .repartition(YEAR, "area_prefix")
         .write.mode("overwrite")
         .partitionBy(YEAR, "area_prefix")
         .text(path)
@@ -48,7 +49,7 @@ def write_documents(documents: DataFrame, path: str) -> None:
 
 def content_checksum(df: DataFrame) -> Column:
     """Order-independent checksum of the rows (an aggregate)."""
-    return F.bit_xor(row_digest(df)).alias("checksum")
+    return content_fingerprint(row_digest(df)).alias("checksum")
 
 
 def manifest(records: DataFrame) -> DataFrame:

@@ -4,42 +4,48 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealens.constants import AREA, COUNT_COLUMNS, POPULATION
 from arealens.functions.geo import valid_coordinates
 from arealens.functions.text import stable_hash, to_double
 
-# Larger files are not hashed as one value.
-WHOLE_FILE_HASH_LIMIT = 256 * 1024 * 1024
+DIGEST_WORDS = 4
 
 
-def row_digest(df: DataFrame) -> Column:
-    """60 bits of a row's content."""
-    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in sorted(df.columns)]
-    return F.conv(F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 15), 16, 10).cast("long")
+def row_digest(df: DataFrame) -> list[Column]:
+    """A row's content as four 60-bit words of its digest; each field goes in with its length."""
+    texts = [F.col(f"`{c}`").cast("string") for c in sorted(df.columns)]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    digest = F.sha2(F.concat_ws("|", *parts), 256)
+    return [F.conv(F.substring(digest, 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)") for k in range(DIGEST_WORDS)]
+
+
+def content_fingerprint(words: list[Column]) -> Column:
+    """An aggregate over digests: the sum of each word and the row count, so repeated rows count."""
+    sums = [F.coalesce(F.sum(w).cast("decimal(38,0)").cast("string"), F.lit("0")) for w in words]
+    return F.sha2(F.concat_ws("|", F.count(F.lit(1)).cast("string"), *sums), 256)
 
 
 def file_lineage(df: DataFrame, source_name: str) -> DataFrame:
     """One row per input file: path, format, size, change time, rows and a content fingerprint.
 
-    The fingerprint does not depend on row order and is summed per file on the map side,
-    so a file of any size is hashed by all the tasks that read it.
+    The fingerprint covers every column, does not depend on row order and is summed per file on
+    the map side, so a file of any size is hashed by all the tasks that read it.
     """
-    content = row_digest(df)
     seen = df.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_size").alias("file_size_bytes"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("file_modified_at"),
-        content.alias("_digest"),
+        *[w.alias(f"_w{k}") for k, w in enumerate(row_digest(df))],
     )
     keys = ["file_path", "file_name", "file_size_bytes", "file_modified_at"]
-    files = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), F.bit_xor("_digest").alias("_x"))
-    fingerprint = F.sha2(F.concat_ws("|", F.col("row_count").cast("string"), F.col("_x").cast("string")), 256)
+    fingerprint = content_fingerprint([F.col(f"_w{k}") for k in range(DIGEST_WORDS)])
+    files = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), fingerprint.alias("file_hash"))
     return files.select(
-        fingerprint.alias("raw_file_id"),
+        F.col("file_hash").alias("raw_file_id"),
         F.lit(source_name).alias("source_name"),
         "file_path",
         "file_name",
@@ -47,17 +53,10 @@ def file_lineage(df: DataFrame, source_name: str) -> DataFrame:
         "file_size_bytes",
         "file_modified_at",
         "row_count",
-        fingerprint.alias("file_hash"),
+        "file_hash",
     )
 
 
-def file_sha256(spark: SparkSession, path: str, limit: int = WHOLE_FILE_HASH_LIMIT) -> DataFrame:
-    """Byte-exact sha256 of files up to ``limit`` bytes; larger ones get NULL (use the fingerprint)."""
-    files = spark.read.format("binaryFile").load(path)
-    small = files.where(F.col("length") <= limit).select("path", F.sha2("content", 256).alias("file_hash"))
-    return files.select("path", "length").join(small, "path", "left")
-
-
 def raw_payloads(df: DataFrame, source_name: str, file_id: Column, row_number: str) -> DataFrame:
     """Every source row as JSON with its row number and a stable record id."""
     columns = [c for c in df.columns if c != row_number and not c.startswith("_")]
@@ -110,7 +109,7 @@ def typed_value(name: str, value: Column) -> Column:
     if name == AREA:
         padded = F.when(text.rlike("^[0-9]+$") & (F.length(text) < 5), F.lpad(text, 5, "0")).otherwise(text)
         return F.when(value.isNotNull(), padded)
-    return text if name in KEPT_BLANK else F.nullif(text, F.lit(""))
+    return F.coalesce(text, F.lit("")) if name in KEPT_BLANK else F.nullif(text, F.lit(""))
 
 
 def typed_records(df: DataFrame) -> DataFrame:

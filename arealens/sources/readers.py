@@ -22,16 +22,28 @@ def file_format(path: str) -> str:
     raise ValueError(f"unsupported source format: {path}")
 
 
+#: Words that delimited feeds write for a missing value.
+MISSING_WORDS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
 def read_csv_text(
-    spark: SparkSession, path: str, encoding: str | None = None, skip_bad_lines: bool = False, sep: str = ","
+    spark: SparkSession, path: str, encoding: str | None = None, skip_bad_lines: bool = False, sep: str = ",",
+    multi_line: bool = False, missing: tuple[str, ...] = MISSING_WORDS,
 ) -> DataFrame:
-    """All columns as text (the header line fixes the schema), cast later by expressions."""
-    reader = spark.read.option("header", True).option("inferSchema", False).option("sep", sep)
+    """All columns as text (the header line fixes the schema), cast later by expressions.
+
+    A quote inside a quoted field is doubled. ``multi_line`` admits line ends inside quotes; such a file
+    cannot be split among tasks. Fields equal to a word of ``missing`` are NULL.
+    """
+    reader = spark.read.option("header", True).option("inferSchema", False).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
     if encoding:
         reader = reader.option("encoding", {"latin1": "ISO-8859-1"}.get(encoding.lower(), encoding))
     if skip_bad_lines:
         reader = reader.option("mode", "DROPMALFORMED")
-    return reader.csv(path)
+    rows = reader.csv(path)
+    return rows.select(*[F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in rows.columns]) if missing else rows
 
 
 def read_tabular(spark: SparkSession, path: str, options: dict | None = None, fmt: str | None = None) -> DataFrame:
@@ -43,7 +55,8 @@ def read_tabular(spark: SparkSession, path: str, options: dict | None = None, fm
     options, kind = options or {}, fmt or file_format(path)
     if kind == "csv":
         return read_csv_text(
-            spark, path, options.get("encoding"), options.get("on_bad_lines") == "skip", options.get("sep", ",")
+            spark, path, options.get("encoding"), options.get("on_bad_lines") == "skip", options.get("sep", ","),
+            bool(options.get("multi_line")), tuple(options.get("missing", MISSING_WORDS)),
         )
     if kind == "json":
         return spark.read.option("multiLine", True).json(path)

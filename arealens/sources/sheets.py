@@ -12,9 +12,8 @@ from arealens.constants import STATES, TERRITORIES
 from arealens.functions.fixed import fixed_table
 from arealens.functions.text import drop_footnote, header_name, match_text, to_whole
 
-COUNT_FIELDS = {
-    "violent_crime_count": "violent_crime",
-    "property_crime_count": "property_crime",
+#: Output column -> header name of the counts every table may carry; callers add those of their publisher.
+THEFT_FIELDS = {
     "murder_count": "murder_and_nonnegligent_manslaughter",
     "rape_count": "rape",
     "robbery_count": "robbery",
@@ -26,20 +25,33 @@ COUNT_FIELDS = {
 }
 
 
-def header_rows(grid: DataFrame, keys: list[str]) -> DataFrame:
-    """First row of each sheet that has both a 'state' and a 'violent crime' cell, as column names."""
+def header_rows(grid: DataFrame, keys: list[str], markers: tuple[str, ...]) -> DataFrame:
+    """First row of each sheet that has a cell for every marker, as column names."""
     plain = F.transform("cells", match_text)
-    is_header = F.array_contains(plain, "state") & F.array_contains(plain, "violent crime")
+    is_header = F.lit(True)
+    for marker in markers:
+        is_header = is_header & F.array_contains(plain, marker)
     first = grid.where(is_header).groupBy(*keys).agg(F.min_by("cells", "row_idx").alias("_h"), F.min("row_idx").alias("header_idx"))
     return first.select(*keys, "header_idx", F.transform("_h", header_name).alias("header"))
 
 
-def sheet_records(grid: DataFrame, keys: list[str]) -> DataFrame:
+def failed_sheets(grid: DataFrame, markers: tuple[str, ...], sheet: str = "sheet", table: str = "table_number") -> DataFrame:
+    """Sheets that ``offense_rows`` cannot read, with the reason: no header row, or an unknown table number."""
+    sheets = grid.groupBy(sheet, table).agg(F.count(F.lit(1)).alias("grid_rows"))
+    headers = header_rows(grid, [sheet, table], markers).select(sheet, table, F.lit(True).alias("_has"))
+    reason = F.when(~F.coalesce(F.col(table).cast("string").isin(*TABLES), F.lit(False)), F.lit("unknown_table")).when(F.col("_has").isNull(), F.lit("no_header"))
+    return sheets.join(headers, [sheet, table], "left").select(sheet, table, "grid_rows", reason.alias("reason")).where("reason is not null")
+
+
+TABLES = ("8", "9", "10", "11")
+
+
+def sheet_records(grid: DataFrame, keys: list[str], markers: tuple[str, ...]) -> DataFrame:
     """Data rows below the header as a column-name -> cell map; fully blank rows are dropped.
 
     A sheet is a landed file, so there are few headers; they still join without a size assumption.
     """
-    headers = header_rows(grid, keys)
+    headers = header_rows(grid, keys, markers)
     below = grid.join(headers, keys).where(F.col("row_idx") > F.col("header_idx"))
     filled = below.where(F.exists("cells", lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""))
     n = F.least(F.size("header"), F.size("cells"))
@@ -66,9 +78,15 @@ def state_names(df: DataFrame) -> DataFrame:
     return named.withColumn("_state_key", match_text(F.col("state_name")))
 
 
-def offense_rows(grid: DataFrame, sheet: str = "sheet", table: str = "table_number") -> DataFrame:
-    """Agency rows of tables 8 to 11; rows without a known state or an agency are dropped."""
-    records = sheet_records(grid, [sheet, table])
+def offense_rows(
+    grid: DataFrame, markers: tuple[str, ...], count_fields: dict[str, str], sheet: str = "sheet", table: str = "table_number"
+) -> DataFrame:
+    """Agency rows of tables 8 to 11; rows without a known state or an agency are dropped.
+
+    ``markers`` are the cells that tell a header row, ``count_fields`` maps outputs to header names.
+    Sheets that cannot be read are listed by :func:`failed_sheets`.
+    """
+    records = sheet_records(grid, [sheet, table], markers)
     number = F.col(table).cast("string")
 
     def cell(name: str) -> Column:
@@ -101,9 +119,9 @@ def offense_rows(grid: DataFrame, sheet: str = "sheet", table: str = "table_numb
         kind.alias("agency_type"),
         cell("county").alias("county_label"),
         reported.alias("population_reported"),
-        *[to_whole(cell(field)).alias(out) for out, field in COUNT_FIELDS.items()],
+        *[to_whole(cell(field)).alias(out) for out, field in count_fields.items()],
     ).where(F.col("agency_label").isNotNull())
     return rows.join(F.broadcast(state_names(grid)), "_state_key").select(
         sheet, "table_number", "table_name", "state_code", "state_name", "agency_label", "agency_type", "county_label",
-        "population_reported", *COUNT_FIELDS,
+        "population_reported", *count_fields,
     )

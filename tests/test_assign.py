@@ -86,7 +86,7 @@ def test_counts_are_weighted_and_ids_do_not_fan_out(spark):
     population = spark.createDataFrame([("55401", 2024, 1000)], "zcta string, year int, population_total bigint")
     joined = join_assignments(incidents, assignment, ["occurred_year", "offense_group"])
     row = annual_aggregates(joined, population).first()
-    assert (row.violent_crime_count, row.property_crime_count, row.total_crime_count, row.total_rate_per_1000) == (4, 3, 7, 7.0)
+    assert (row.violent_incident_count, row.property_incident_count, row.total_incident_count, row.total_rate_per_1000) == (4, 3, 7, 7.0)
 
 
 def test_coverage_is_weighted(spark):

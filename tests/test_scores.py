@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealens.constants import CATEGORIES, count_col
-from arealens.operators import ranking, skew
 from arealens.operators.ranking import global_row_number
 from arealens.operators.scores import build_index, percentile_ranks, winsorize, z_scores
 from arealens.operators.skew import hottest_keys, lookup_join
@@ -32,14 +31,25 @@ def skewed():
     return pd.DataFrame(rows, columns=["k", "g", "a", "b"])
 
 
-@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
-def test_statistics_equal_direct_computation(spark, skewed, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(ranking, "BROADCAST_ROWS", broadcast_rows)
+def test_repeated_rows_keep_their_own_outcomes(spark):
+    """Rows of one area and year that differ in value are scored each for itself, whatever the join."""
+    df = spark.createDataFrame([("x", 1.0), ("x", 5.0), ("y", 3.0)], "k string, v double").withColumn("g", F.lit("all"))
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            out = z_scores(df, {"v": "z"}, ["g"])
+            assert out.columns == ["k", "v", "g", "z"]
+            assert sorted((r.k, r.v, round(r.z, 4)) for r in out.collect()) == [("x", 1.0, -1.2247), ("x", 5.0, 1.2247), ("y", 3.0, 0.0)]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_statistics_equal_direct_computation(spark, skewed):
     df = spark.createDataFrame(skewed.astype(object).where(skewed.notna(), None).values.tolist(), "k bigint, g string, a double, b double")
     groups = skewed.groupby(skewed["g"].fillna("NULL"))
-    ranked = percentile_ranks(df, {"a": "pa", "b": "pb"}, ["g"], ["k"]).toPandas().set_index("k").sort_index()
-    clipped = winsorize(df, {"a": "wa"}, ["g"], ["k"], 0.05, 0.9).toPandas().set_index("k").sort_index()
-    standard = z_scores(df, {"a": "za"}, ["g"], ["k"]).toPandas().set_index("k").sort_index()
+    ranked = percentile_ranks(df, {"a": "pa", "b": "pb"}, ["g"]).toPandas().set_index("k").sort_index()
+    clipped = winsorize(df, {"a": "wa"}, ["g"], 0.05, 0.9).toPandas().set_index("k").sort_index()
+    standard = z_scores(df, {"a": "za"}, ["g"]).toPandas().set_index("k").sort_index()
     want = skewed.set_index("k").sort_index()
     for c in ("a", "b"):
         expected = groups[c].transform(percent_rank)
@@ -62,7 +72,6 @@ def test_lookup_join_with_hot_and_missing_keys(spark):
         got = lookup_join(rows, lookup, ["k"], hottest_keys(rows.where("k is not null"), ["k"], limit=limit))
         want = rows.join(lookup, "k", "left")
         assert sorted(map(str, got.select("id", "k", "v").collect())) == sorted(map(str, want.select("id", "k", "v").collect()))
-    assert skew.HOT_KEYS == 1000
 
 
 def test_global_row_number(spark):
@@ -84,8 +93,8 @@ def test_index_centre_and_order(spark):
     rows = {r.zcta: r for r in build_index(df).collect()}
     known = [rows[z] for z in "123"]
     assert round(sum(r.total_index for r in known) / 3, 6) == 100
-    assert rows["3"].overall_crime_score_0_100 > rows["1"].overall_crime_score_0_100
-    assert rows["4"].total_crime_score_0_100 is None and rows["4"].overall_crime_score_label == "unavailable"
+    assert rows["3"].overall_incident_score_0_100 > rows["1"].overall_incident_score_0_100
+    assert rows["4"].total_incident_score_0_100 is None and rows["4"].overall_incident_score_label == "unavailable"
     assert rows["4"].score_notes.startswith("overall_score_unavailable_no_category_scores")
     assert rows["1"].drug_score_0_100 == 0.0
 
