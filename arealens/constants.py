@@ -15,7 +15,7 @@ SCOPE_COLUMNS = ["year", "comparison_scope", "comparison_scope_value"]
 
 
 def count_col(base: str) -> str:
-    return f"{base}_crime_count"
+    return f"{base}_incident_count"
 
 
 def rate_col(base: str) -> str:
@@ -27,11 +27,11 @@ def winsorized_col(base: str) -> str:
 
 
 def score_col(base: str) -> str:
-    return "total_crime_score_0_100" if base == "total" else f"{base}_score_0_100"
+    return "total_incident_score_0_100" if base == "total" else f"{base}_score_0_100"
 
 
 def percentile_col(base: str) -> str:
-    return "total_crime_percentile" if base == "total" else f"{base}_percentile"
+    return "total_incident_percentile" if base == "total" else f"{base}_percentile"
 
 
 def z_col(base: str) -> str:
@@ -39,11 +39,11 @@ def z_col(base: str) -> str:
 
 
 def label_col(base: str) -> str:
-    return "total_crime_score_label" if base == "total" else f"{base}_score_label"
+    return "total_incident_score_label" if base == "total" else f"{base}_score_label"
 
 
-OVERALL_SCORE = "overall_crime_score_0_100"
-OVERALL_LABEL = "overall_crime_score_label"
+OVERALL_SCORE = "overall_incident_score_0_100"
+OVERALL_LABEL = "overall_incident_score_label"
 
 COUNT_COLUMNS = [count_col("total"), *[count_col(c) for c in CATEGORIES]]
 RATE_COLUMNS = [rate_col("total"), *[rate_col(c) for c in CATEGORIES]]
