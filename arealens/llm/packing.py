@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,18 +25,28 @@ from arealens.operators.materialize import materialize
 
 SEQUENCE = 2048
 #: Length classes are multiples of so many tokens; a remainder wastes less than one unit.
-UNIT = 8
+UNIT = 16
 END_ID = 1
-MAX_COLUMNS = 3000
+#: Columns are priced until none saves this share of a sequence, or so many were.
+GAIN = 1e-3
+MAX_COLUMNS = 2000
 _CACHE_ENTRIES = 300_000
 _ASCII_BLANKS = re.compile(r"[ \t\n\v\f\r]+")
 _ODD_CONTROLS = re.compile(r"[\x1c-\x1f]")
+_LATIN = re.compile("(?:(?!<\\|)[\x21-\x7e\xa1-\u024f])*")
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|\n|[^\s\p{L}\p{N}]+")
+_BREAK = np.array(0xFFFFFFFF, "<u4")
+
+
 
 
 class _Encoder:
     """Token ids of texts as little-endian bytes; blank-separated strings are encoded once and remembered.
 
-    Sound for tokenizers that drop white space and never let a token cross it.
+    Sound for a tokenizer that lower-cases, drops white space, lets no token cross the pieces of
+    ``_PIECES`` and ends each piece with a token marked by ``</w>``. New pieces are encoded many at a
+    time and told apart by that mark; strings beyond Latin letters, or with special tokens, go to the
+    tokenizer one by one.
     """
 
     def __init__(self, path: str):
@@ -43,18 +54,48 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _learn(self, new: list[str]) -> None:
+        if not _LATIN.fullmatch("".join(new)):
+            for text in [t for t in new if not _LATIN.fullmatch(t)]:
+                self.known[text] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            new = [t for t in new if _LATIN.fullmatch(t)]
+        if not new:
+            return
+        if len(self.pieces) > _CACHE_ENTRIES:
+            self.pieces = {k: v for k, v in self.pieces.items() if len(k) <= 6}  # short strings come again
+        self.pieces["\n"] = _BREAK.tobytes()
+        found = _PIECES.findall("\n".join(new).lower())
+        missing = list(set(found) - self.pieces.keys())
+        for lo in range(0, len(missing), 2000):
+            some = missing[lo : lo + 2000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(some):
+                raise ValueError("the tokenizer does not mark the ends of words")
+            data, start = ids.tobytes(), 0
+            for piece, end in zip(some, (4 * last).tolist()):
+                self.pieces[piece] = data[start:end]
+                start = end
+        data, start = b"".join(map(self.pieces.__getitem__, found)), 0
+        ends = np.flatnonzero(np.frombuffer(data, "<u4") == _BREAK)
+        for text, end in zip(new, [*(4 * ends).tolist(), len(data)]):
+            self.known[text] = data[start:end]
+            start = end + 4
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [_ASCII_BLANKS.split(t) if _ODD_CONTROLS.search(t) else t.split() for t in texts]
-        new = set().union(*split) - self.known.keys()
+        words = set().union(*split)
+        new = words - self.known.keys()
         if len(self.known) + len(new) > _CACHE_ENTRIES:
-            self.known = {}
-            new = set().union(*split)
-        new = list(new)
-        for lo in range(0, len(new), 4096):
-            for text, found in zip(new[lo : lo + 4096], self.tokenizer.encode_batch(new[lo : lo + 4096], add_special_tokens=False)):
-                self.known[text] = np.array(found.ids, "<u4").tobytes()
+            self.known = {k: v for k, v in self.known.items() if len(k) <= 6}  # short strings come again
+            new = words - self.known.keys()
+        self._learn(list(new))
         return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
 
 
@@ -129,7 +170,7 @@ def solve_patterns(demand: dict[int, int], room: int = SEQUENCE // UNIT) -> list
             inverse = np.linalg.inv(basis)
             x = np.maximum(inverse @ need, 0)
         value, pattern = _price(weights, inverse.sum(0), room)
-        if value <= 1 + 1e-7:
+        if value <= 1 + GAIN:
             break
         column = inverse @ pattern
         ratio = np.where(column > 1e-9, x / np.where(column > 1e-9, column, 1), np.inf)
