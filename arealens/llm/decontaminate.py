@@ -16,6 +16,8 @@ from arealens.operators.materialize import materialize
 WINDOW = 8
 #: Items of fewer words identify nothing and are passed over; items of fewer than ``WINDOW`` words are one window.
 LEAST_WORDS = 4
+#: Windows of fewer different words beside the placeholders match only with the same values.
+LEAST_LITERALS = 3
 #: Share of an item's windows that an occurrence must hold.
 COVERAGE = 0.5
 #: Benchmark windows up to which they are broadcast (about 100 MB); above, the join is shuffled.
@@ -52,13 +54,20 @@ def _windows(words: str, size: int) -> Column:
 
 
 def _benchmark(items: DataFrame) -> DataFrame:
-    """(item_id, size, n_windows, at, hash, slots): windows of the items with the values of their slots."""
+    """(item_id, size, n_windows, at, loose, hash, window, item_raw): windows of the items; loose ones match by template."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     words = items.select(F.col("item_id").cast("long").alias("item_id"), raw_words(text).alias("raw"), template_words(text).alias("words"))
     sized = words.withColumn("size", F.least(F.size("words"), F.lit(WINDOW))).where(F.col("size") >= LEAST_WORDS)
     each = sized.select("item_id", "size", "raw", "words", (F.size("words") - F.col("size") + 1).alias("n_windows"), F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)).alias("at"))
     window, raw = F.slice("words", F.col("at"), F.col("size")), F.slice("raw", F.col("at"), F.col("size"))
-    return each.select("item_id", "size", "n_windows", "at", F.xxhash64(window).alias("hash"), window.alias("window"), raw.alias("item_raw")).distinct()
+    literals = F.size(F.array_distinct(F.filter(window, lambda w: ~w.isin("0", "1", "2"))))
+    loose = literals >= F.least(F.lit(LEAST_LITERALS), F.col("size") - 1)
+    hashed = F.when(loose, F.xxhash64(window)).otherwise(F.xxhash64(_lowered(raw)))
+    return each.select("item_id", "size", "n_windows", "at", loose.alias("loose"), hashed.alias("hash"), window.alias("window"), raw.alias("item_raw")).distinct()
+
+
+def _lowered(raw: Column) -> Column:
+    return F.transform(raw, lambda w: F.lower(w))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -69,13 +78,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     windows = materialize(_benchmark(benchmark), "benchmark")
     few = windows.count() <= BROADCAST_WINDOWS
-    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())
+    kinds = sorted((r["size"], r["loose"]) for r in windows.select("size", "loose").distinct().collect())
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), raw_words(text).alias("raw"), template_words(text).alias("words"))
     found = None
-    for size in sizes:
-        own = windows.where(F.col("size") == size)
-        each = given.select("doc_id", "print", "raw", F.posexplode(_windows("words", size)).alias("pos", "hash"))
+    for size, loose in kinds:
+        own = windows.where((F.col("size") == size) & (F.col("loose") == loose))
+        read = given if loose else given.withColumn("words", _lowered(F.col("raw")))
+        each = read.select("doc_id", "print", "raw", F.posexplode(_windows("words", size)).alias("pos", "hash"))
         hit = each.join(F.broadcast(own) if few else own, "hash").select(
             "doc_id", "print", "item_id", "at", "n_windows", "window", "item_raw", (F.col("pos") + 1).alias("pos"), F.slice("raw", F.col("pos") + 1, size).alias("doc_raw"), F.lit(size).alias("size")
         )
