@@ -36,6 +36,14 @@ INLINE = {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Elements that end one of their own kind, and the elements up to which to look for it.
+_ITEMS = (
+    ({"li"}, {"ul", "ol", "menu"}),
+    ({"dt", "dd"}, {"dl"}),
+    ({"td", "th"}, {"tr", "table"}),
+    ({"tr"}, {"table"}),
+    ({"option"}, {"select"}),
+)
 _BLANK = re.compile(r"\s+")
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "main", "around", "heading")
@@ -48,6 +56,7 @@ LABELLED = (
     (80, 0.0, 60, 0.0, 70, 0.0, 0, 0, 0, 1), (45, 0.05, 5, 0.0, 90, 0.0, 0, 0, 0, 1), (30, 0.0, 6, 0.0, 2, 1.0, 0, 0, 0, 1), (14, 0.0, 50, 0.0, 44, 0.0, 0, 0, 0, 1),
     (6, 0.0, 2, 1.0, 70, 0.0, 0, 0, 1, 1), (5, 0.0, 40, 0.0, 60, 0.0, 0, 0, 1, 1), (9, 0.0, 60, 0.0, 30, 0.0, 0, 0, 0, 1), (25, 0.2, 33, 0.0, 40, 0.1, 0, 0, 0, 1),
     (60, 0.0, 0, 0.0, 40, 0.0, 0, 0, 0, 1), (35, 0.0, 1, 1.0, 30, 0.0, 0, 0, 0, 1), (50, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (28, 0.1, 3, 1.0, 4, 0.0, 0, 0, 0, 1),
+    (2, 1.0, 2, 1.0, 60, 0.0, 0, 0, 0, 0), (1, 1.0, 1, 1.0, 90, 0.0, 0, 0, 0, 0), (4, 1.0, 70, 0.0, 2, 1.0, 0, 0, 0, 0), (8, 0.7, 3, 1.0, 80, 0.0, 0, 0, 0, 0),
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (3, 1.0, 2, 1.0, 40, 0.0, 0, 0, 0, 0), (20, 0.9, 3, 1.0, 10, 0.8, 0, 0, 0, 0), (2, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0),
     (4, 0.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0), (6, 0.0, 4, 1.0, 0, 0.0, 0, 0, 0, 0), (3, 0.0, 2, 0.0, 4, 0.0, 0, 0, 0, 0), (60, 0.8, 10, 1.0, 20, 0.9, 0, 0, 0, 0),
     (5, 0.0, 3, 1.0, 2, 0.5, 0, 0, 1, 0), (2, 1.0, 60, 0.0, 55, 0.0, 0, 0, 0, 0), (7, 0.6, 70, 0.0, 60, 0.0, 0, 0, 0, 0),
@@ -122,6 +131,21 @@ def text_blocks(page: str) -> list[Block]:
             main -= name in MAIN
             anchors -= name == "a"
 
+    def close_implied(name: str) -> None:
+        """An element ends an open paragraph; an item or cell ends an open one of its kind in the same list or table."""
+        k = len(stack) - 1
+        while k >= 0 and stack[k][0] in INLINE:
+            k -= 1
+        if k >= 0 and stack[k][0] == "p":
+            pop(k)
+        for kinds, inside in _ITEMS:
+            if name in kinds:
+                k = len(stack) - 1
+                while k >= 0 and stack[k][0] not in inside and stack[k][0] not in kinds:
+                    k -= 1
+                if k >= 0 and stack[k][0] in kinds:
+                    pop(k)
+
     at, end = 0, len(page)
     while at < end:
         open_at = page.find("<", at)
@@ -154,8 +178,8 @@ def text_blocks(page: str) -> list[Block]:
             continue
         if name in VOID or token[3].endswith("/"):
             continue
-        if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and any(s[0] == name for s in stack[-4:]):
-            pop(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
+        if name not in INLINE:
+            close_implied(name)
         marked = any(_MARKS.search((a[2] or a[3] or a[4] or "").lower()) for a in _ATTRIBUTE.finditer(token[3])) if "=" in token[3] and name not in ("html", "body") and name not in MAIN else False
         inside_main = name == "header" and main > 0  # an article's own head holds its title
         stack.append((name, (name in AROUND and not inside_main) or marked, name in HIDDEN))
