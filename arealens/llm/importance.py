@@ -18,8 +18,8 @@ from arealens.llm.words import chunks, mix, split_words, window_hashes
 from arealens.operators.materialize import materialize
 
 BUCKETS = 1 << 16
-#: Bounds of the labelled samples: rows labelled good (the target model) and rows labelled bad
-#: (only the cut), taken in the order of a hash of doc_id.
+#: Bounds of the labelled samples: rows labelled good (half for the target model, half for the cut)
+#: and rows labelled bad (only the cut), taken in the order of a hash of doc_id.
 TARGET_ROWS = 20_000
 BAD_ROWS = 5_000
 #: The weight is that of a text of so many grams: the mean log ratio times this number, drawn
@@ -27,8 +27,8 @@ BAD_ROWS = 5_000
 GRAMS = 100
 #: Scale of the Gumbel noise; 1 is sampling in proportion to the weights, smaller is sharper.
 TEMPERATURE = 0.25
-#: Share of the good sample that the cut may lose; the bad sample may move it between this and 0.
-LOSS = 0.002
+#: A lost share of good rows weighs so many times a missed share of bad rows when the cut is set.
+GOOD_TO_BAD = 20
 _SEED = np.uint64(0x5DEECE66D)
 
 
@@ -71,11 +71,15 @@ def _weigh(batch: pa.RecordBatch, ratio: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _sample(labels: DataFrame) -> DataFrame:
-    """(doc_id, good): the bounded sample of labelled rows; a doc_id labelled both ways is left out."""
+    """(doc_id, good): the bounded sample of labelled rows; a doc_id labelled both ways is left out.
+
+    ``good`` is 1 for the target model, 2 for good rows kept for the cut, 0 for bad rows.
+    """
     one = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("good"), F.max("quality").alias("top")).where("good = top")
     key = F.xxhash64("doc_id")
     parts = [one.where(F.col("good") == g).orderBy(key, "doc_id").limit(n).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("good").cast("int").alias("good")) for g, n in ((1, TARGET_ROWS), (0, BAD_ROWS))]
-    return parts[0].union(parts[1])
+    both = parts[0].union(parts[1])
+    return both.withColumn("good", F.when(F.col("good") == 1, 1 + F.pmod(F.xxhash64(F.col("doc_id"), F.lit("cut")), F.lit(2))).otherwise(0).cast("int"))
 
 
 def _kth_largest(values: DataFrame, column: str, k: int) -> float:
@@ -98,6 +102,17 @@ def _kth_largest(values: DataFrame, column: str, k: int) -> float:
         lo, hi = low, high
 
 
+def _cut(good: np.ndarray, bad: np.ndarray) -> float:
+    """The middle of the gap between two weights that parts the bad from the good sample best."""
+    weight = np.concatenate([good, bad])
+    order = np.argsort(weight, kind="stable")
+    is_good = order < len(good)
+    lost, caught = np.append(0, np.cumsum(is_good)) / len(good), np.append(0, np.cumsum(~is_good)) / len(bad)
+    at = int(np.argmax(caught - GOOD_TO_BAD * lost))
+    ordered = weight[order]
+    return float(ordered[0] - 1) if at == 0 else float((ordered[at - 1] + ordered[min(at, len(ordered) - 1)]) / 2)
+
+
 class Importance:
     """Fitted log ratios by bucket, and the least noisy weight of a drawn document."""
 
@@ -113,7 +128,7 @@ def fit_importance(docs: DataFrame, labels: DataFrame) -> tuple[Importance, Data
     """Count both models over all rows of ``docs`` (doc_id, text), weigh every row, and draw.
 
     ``labels`` (doc_id, quality) marks the target. The number drawn is the number of rows whose weight
-    reaches the cut. Without good rows every weight is 0 and all rows are drawn. Also returns
+    reaches the cut. Without good or bad labelled rows all rows are drawn. Also returns
     the rows (doc_id, log_weight, sample_key, kept).
     """
     spark = docs.sparkSession
@@ -134,12 +149,11 @@ def fit_importance(docs: DataFrame, labels: DataFrame) -> tuple[Importance, Data
 
     scored = materialize(marked.mapInArrow(weigh, "doc_id long, log_weight double, sample_key double, good int"), "weights")
     known = scored.where("good is not null").groupBy("doc_id").agg(F.max("good").alias("good"), F.min("log_weight").alias("w")).select("good", "w").toPandas()
-    good, bad = np.sort(known["w"][known["good"] == 1]), np.sort(known["w"][known["good"] == 0])
+    held = known["good"] == (2 if (known["good"] == 2).any() else 1)
+    good, bad = known["w"][held].to_numpy(float), known["w"][known["good"] == 0].to_numpy(float)
     least = -np.inf
-    if target.sum() and len(good):
-        cuts = good[: int(LOSS * len(good)) + 1]
-        caught = np.searchsorted(bad, cuts)
-        cut = float(cuts[int(np.argmax(caught))])
+    if target.sum() and len(good) and len(bad):
+        cut = _cut(good, bad)
         k = scored.where(F.col("log_weight") >= cut).count()
         least = _kth_largest(scored, "sample_key", k) if k else np.inf
     return Importance(ratio, float(least)), scored.select("doc_id", "log_weight", "sample_key", (F.col("sample_key") >= float(least)).alias("kept"))
