@@ -23,7 +23,7 @@ def edited(text: str, seed: int, share: float) -> str:
     return " ".join(w + "q" if rng.random() < share else w for w in text.split(" "))
 
 
-def documents(spark, texts, lang: str = "en"):
+def documents(spark, texts):
     """doc_id from 0, with columns of clashing names that no operator may trip over."""
-    rows = [(i, t, lang, "s", len(t or ""), 1, "z", 2.0) for i, t in enumerate(texts)]
+    rows = [(i, t, "odd" if t in ODD_TEXTS else "en", "s", len(t or ""), 1, "z", 2.0) for i, t in enumerate(texts)]
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n long, node string, score double")
