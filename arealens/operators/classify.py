@@ -136,12 +136,13 @@ def classify_text(df: DataFrame, column: str, mapping: dict, priority: list[str]
 def classify_distinct(df: DataFrame, column: str, mapping: dict, priority: list[str] | None = None) -> DataFrame:
     """As :func:`classify_text`, but every distinct text is classified once and joined back.
 
-    Worth it for short, much repeated labels; long unique texts should use the direct form.
+    Worth it for much repeated labels; texts meet by their digest, so long ones are no join keys.
     """
-    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
-    known = materialize(classify_text(counted, column, mapping, priority), "classified")
+    keyed = df.withColumn("_text_key", F.sha2(F.col(column).cast("string"), 256))
+    counted = keyed.where(F.col(column).isNotNull()).groupBy("_text_key").agg(F.count(F.lit(1)).alias("_rows"), F.first(column).alias(column))
     outputs = ["offense_normalized", "offense_group", "offense_subgroup"]
-    joined = lookup_join(df, known.select(column, *outputs), [column], hottest_keys(known, [column], "_rows"))
+    known = materialize(classify_text(counted, column, mapping, priority).select("_text_key", "_rows", *outputs), "classified")
+    joined = lookup_join(keyed, known.select("_text_key", *outputs), ["_text_key"], hottest_keys(known, ["_text_key"], "_rows"))
     return joined.select(
         *df.columns,
         "offense_normalized",

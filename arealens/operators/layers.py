@@ -30,7 +30,7 @@ from arealens.functions.rates import (
     modeled_grade,
 )
 from arealens.functions.text import append_note
-from arealens.operators.scores import build_index
+from arealens.operators.scores import build_index, uniform_index
 
 MODELED = ["violent", "property", "total"]
 UNMODELED = ["drug", "public_order", "weapons", "other"]
@@ -123,7 +123,7 @@ def modeled_layer(
 ) -> DataFrame:
     """National baseline index for every area with a population value."""
     known = population.where(F.col(POPULATION).isNotNull()).select(AREA, YEAR, POPULATION)
-    indexed = build_index(modeled_annual(known, violent_rate, property_rate, scope))
+    indexed = uniform_index(modeled_annual(known, violent_rate, property_rate, scope))
     return neutralize_scores(indexed, violent_rate, property_rate).withColumns(
         {
             "coverage_status": F.lit("national_modeled"),

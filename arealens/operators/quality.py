@@ -202,13 +202,13 @@ def completeness(incidents: DataFrame, assignments: DataFrame, annual: DataFrame
         F.sum(F.when(F.col("assignment_method") == "spatial_join", m).otherwise(F.lit(0))).alias("_spatial"),
     )
     covered = annual.agg(F.count(F.lit(1)).alias("_areas"), F.count(POPULATION).alias("_with_population"))
-    # Three single-row aggregates, joined on a constant.
-    one = F.lit(1).alias("_one")
-    row = (
-        own.select("*", one)
-        .join(F.broadcast(placed.select("*", one)), "_one")
-        .join(F.broadcast(covered.select("*", one)), "_one")
-    )
+    # Three single-row aggregates, brought into one row as named values.
+    values = [
+        df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("long").alias("v")) for c in df.columns])).alias("_v"))
+        for df in (own, placed, covered)
+    ]
+    named = values[0].unionByName(values[1]).unionByName(values[2])
+    row = named.agg(*[F.max(F.when(F.col("_v.k") == c, F.col("_v.v"))).alias(c) for df in (own, placed, covered) for c in df.columns])
     whole = F.col("_all")
     metrics = {
         "date_completeness_rate": _rate(F.col("_dated"), whole),

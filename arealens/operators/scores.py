@@ -195,10 +195,26 @@ def build_index(
     ``ratios`` (per year) and ``by_area`` (per area and year) come from
     :mod:`arealens.operators.quality`; without them the coverage parts are zero.
     """
-    from arealens.operators.quality import apply_quality
-
     scoped = annual.withColumn("comparison_scope_value", F.coalesce("comparison_scope_value", F.lit("")))
     scored = internal_indexes(score_rates(add_rates(scoped), lower, upper))
-    combined = add_labels(add_overall_percentile(overall_score(scored, weights, renormalize)))
-    graded = ensure_index_columns(apply_quality(combined, ratios, by_area))
+    return complete_index(add_overall_percentile(overall_score(scored, weights, renormalize)), ratios, by_area)
+
+
+def complete_index(scored: DataFrame, ratios: DataFrame | None = None, by_area: DataFrame | None = None) -> DataFrame:
+    """Scored rows to the full index: labels, coverage, descriptive columns."""
+    from arealens.operators.quality import apply_quality
+
+    graded = ensure_index_columns(apply_quality(add_labels(scored), ratios, by_area))
     return graded.select(*INDEX_COLUMNS, F.current_timestamp().cast("timestamp_ntz").alias("created_at"))
+
+
+def uniform_index(annual: DataFrame) -> DataFrame:
+    """The index of areas that all share the same rates, without any ranking: middle scores where there is a rate."""
+    rated = add_rates(annual.withColumn("comparison_scope_value", F.coalesce("comparison_scope_value", F.lit(""))))
+    flat = {}
+    for b in BASES:
+        known = F.col(rate_col(b)).isNotNull()
+        flat |= {winsorized_col(b): F.col(rate_col(b)), percentile_col(b): F.when(known, 0.5), z_col(b): F.when(known, 0.0), score_col(b): F.when(known, 50.0)}
+    scored = overall_score(internal_indexes(rated.withColumns(flat)))
+    middle = F.when(F.col(OVERALL_SCORE).isNotNull(), 0.5)
+    return complete_index(scored.withColumns({"overall_percentile": middle, "percentile_rank": middle}))
