@@ -79,19 +79,18 @@ def unambiguous_names(candidates: DataFrame) -> DataFrame:
     distinct = candidates.groupBy("state_code", "name_key", "county_fips", "county_name", "lookup_notes").agg(
         F.count(F.lit(1)).alias("_k")
     )
-    notes = F.nullif(F.array_join(F.sort_array(F.collect_set("lookup_notes")), ";"), F.lit(""))
-    return (
-        distinct.groupBy("state_code", "name_key")
-        .agg(
-            F.min("county_fips").alias("county_fips"),
-            F.max("county_fips").alias("_other"),
-            F.min("county_name").alias("county_name"),
-            F.sum("_k").alias("match_count"),
-            notes.alias("lookup_notes"),
-        )
-        .where(F.col("county_fips") == F.col("_other"))
-        .drop("_other")
+    county = distinct.groupBy("state_code", "name_key").agg(
+        F.min("county_fips").alias("county_fips"),
+        F.max("county_fips").alias("_other"),
+        F.min("county_name").alias("county_name"),
+        F.sum("_k").alias("match_count"),
     )
+    single = county.where(F.col("county_fips") == F.col("_other")).drop("_other")
+    # Notes are gathered only for the keys that stay.
+    notes = F.nullif(F.array_join(F.sort_array(F.collect_set("lookup_notes")), ";"), F.lit(""))
+    gathered = distinct.join(single.select("state_code", "name_key"), ["state_code", "name_key"], "left_semi")
+    gathered = gathered.groupBy("state_code", "name_key").agg(notes.alias("lookup_notes"))
+    return single.join(gathered, ["state_code", "name_key"], "left").select("state_code", "name_key", "county_fips", "county_name", "match_count", "lookup_notes")
 
 
 def name_lookup(agencies: DataFrame, county_population: DataFrame, key: str, places_only: bool = False) -> DataFrame:

@@ -12,14 +12,15 @@ from arealens.operators.incidents import (
     source_slice,
     stage_sources,
 )
-from arealens.plans.bindings import scratch
+from arealens.plans.bindings import scratch, supplier_polygons
 from arealens.plans.checks import digest_sql
 from arealens.plans.registry import query, table
+from arealens.sinks.writers import export_table
 from arealens.sources.lineage import content_fingerprint, file_lineage, raw_payloads, row_digest, source_profile, typed_records
 from arealens.sources.payloads import agency_rows, failed_pages, feature_rows, population_rows, record_rows, union_records
 from arealens.sources.readers import read_tabular
 from arealens.sources.sheets import THEFT_FIELDS, failed_sheets, offense_rows
-from arealens.sources.tables import normalize_population
+from arealens.sources.tables import normalize_population, read_geometries
 
 
 @query("row_filters", """
@@ -264,7 +265,7 @@ def agency_payload(spark, folder):
         .agg(F.collect_list(F.expr(agency)).alias("list"))
         .select("state_code", F.to_json(F.create_map("bucket", "list")).alias("payload"))
     )
-    skipped = payloads.limit(0).unionByName(
+    skipped = (
         table(spark, folder, "nation").selectExpr("concat('ST', n_nationkey) AS state_code", "'{\"note\": \"not a list\"}' AS payload")
     )
     return agency_rows(payloads.unionByName(skipped)).select(
@@ -342,3 +343,46 @@ def population_keep_last(spark, folder):
     )
     rows = normalize_population(raw, 2024, "customers", F.col("c_custkey"))
     return rows.select("zcta", "year", "population_total", "population_margin_error")
+
+
+@query("csv_quoted", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
+def csv_quoted(spark, folder):
+    """Texts with quotes, commas and line ends, written as delimited text and read back."""
+    path = scratch(spark, "quoted") + ".csv"
+    export_table(table(spark, folder, "documents").select("doc_id", "text", "lang"), path, "csv", ["doc_id"])
+    return read_tabular(spark, path, {"multi_line": True})
+
+
+@query("csv_encoded", """
+SELECT s_suppkey % 7 AS part, count(*) AS row_count, sum(CASE WHEN s_suppkey % 3 = 0 THEN 1 ELSE 0 END) AS missing_count,
+  count(DISTINCT s_nationkey) AS label_count FROM supplier GROUP BY 1""")
+def csv_encoded(spark, folder):
+    """Latin-1 text with words for missing values."""
+    lines = table(spark, folder, "supplier").selectExpr(
+        "s_suppkey % 7 AS part", "CASE WHEN s_suppkey % 3 = 0 THEN 'N/A' ELSE s_name END AS name", "concat('größe ', s_nationkey) AS label"
+    )
+    path = scratch(spark, "latin") + ".csv"
+    lines.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
+    rows = read_tabular(spark, path, {"encoding": "latin1", "sep": ";"})
+    return rows.groupBy(F.col("part").cast("bigint").alias("part")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(F.col("name").isNull().cast("bigint")).alias("missing_count"),
+        F.countDistinct(F.when(F.col("label").startswith("größe "), F.col("label"))).alias("label_count"),
+    )
+
+
+@query("json_feeds", "SELECT doc_id, text FROM documents UNION ALL SELECT event_id, props FROM events")
+def json_feeds(spark, folder):
+    """JSON lines written and read back."""
+    path, other = scratch(spark, "lines") + ".jsonl", scratch(spark, "more") + ".jsonl"
+    table(spark, folder, "documents").select("doc_id", "text").write.json(path)
+    table(spark, folder, "events").selectExpr("event_id AS doc_id", "props AS text").write.json(other)
+    return read_tabular(spark, path).select("doc_id", "text").unionByName(read_tabular(spark, other).select("doc_id", "text"))
+
+
+@query("geometry_parquet", """
+SELECT lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS zcta, CASE s_nationkey % 4 WHEN 1 THEN '32' WHEN 2 THEN NULL ELSE '06' END AS state_fips,
+  'POLYGON (' AS kind, CAST(2021 AS INTEGER) AS source_year FROM supplier WHERE s_suppkey < 100000""")
+def geometry_parquet(spark, folder):
+    path = scratch(spark, "polygons") + ".parquet"
+    supplier_polygons(spark, folder).where("length(ltrim('0', zcta)) <= 5").selectExpr("right(zcta, 5) AS GEOID", "state_fips AS STATEFP", "geom_wkt").write.parquet(path)
+    return read_geometries(spark, path, 2021).select("zcta", "state_fips", F.substring("geom_wkt", 1, 9).alias("kind"), "source_year")

@@ -93,3 +93,19 @@ def geojson_features(records: DataFrame, geometries: DataFrame, properties: list
         F.lit('},"properties":'), shown, F.lit("}"),
     )
     return joined.select(AREA, feature.alias("feature"))
+
+
+def write_features(features: DataFrame, path: str) -> None:
+    """Features of :func:`geojson_features` as newline-delimited GeoJSON, ordered by area over the files."""
+    features.orderBy(AREA).select("feature").write.mode("overwrite").text(path)
+
+
+def write_bundle(records: DataFrame, folder: str) -> dict[str, str]:
+    """Documents, coverage rows, manifest, status histogram and default scopes of published records as files."""
+    kept = publishable(records)
+    write_documents(area_documents(kept), f"{folder}/documents")
+    written = {"documents": f"{folder}/documents"}
+    for name, df in (("coverage", coverage_projection(kept)), ("manifest", manifest(kept)), ("statuses", status_histogram(records)), ("scopes", default_scopes(records))):
+        written[name] = f"{folder}/{name}"
+        df.write.mode("overwrite").option("ignoreNullFields", False).json(written[name])
+    return written

@@ -61,7 +61,7 @@ def export_table(df: DataFrame, path: str, fmt: str, order: list[str] | None = N
     ordered = df.orderBy(*(order or [AREA]))
     writer = ordered.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     elif fmt == "json":
         writer.option("ignoreNullFields", False).json(path)
     elif fmt == "parquet":

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arealens.constants import STATES, TERRITORIES
 from arealens.functions.text import to_double
 
 GEOMETRY_FIELDS = {"geometry_x": "x", "geometry_y": "y", "geometry_lon": "longitude", "geometry_lat": "latitude"}
@@ -88,16 +89,23 @@ AGENCY_FIELDS = [
 
 
 def agency_rows(payloads: DataFrame, state: str = "state_code", payload: str = "payload") -> DataFrame:
-    """Agency directory responses (county bucket -> agencies); buckets that are not lists are skipped."""
+    """Agency directory responses (county bucket -> agencies); buckets that are not lists are skipped.
+
+    The state's name falls back on its code; ``source_json`` is the agency as it came.
+    """
     buckets = payloads.select(F.col(state).alias("_state"), F.explode(F.from_json(payload, "map<string,string>")).alias("bucket", "_list"))
     items = buckets.where(F.trim("_list").startswith("[")).select(
         "_state", "bucket", F.explode(F.from_json("_list", "array<map<string,string>>")).alias("a")
     ).where(F.col("a").isNotNull())
     field = {n: F.nullif(F.col("a")[n], F.lit("")) for n in AGENCY_FIELDS}
+    code = F.coalesce(field["state_abbr"], "_state")
+    by_code = F.lit(None).cast("string")
+    for known, name in [*((s[0], s[2]) for s in STATES), *((t[0], t[2]) for t in TERRITORIES)]:
+        by_code = F.when(code == known, F.lit(name)).otherwise(by_code)
     return items.select(
         field["ori"].alias("ori"),
-        F.coalesce(field["state_abbr"], "_state").alias("state_code"),
-        field["state_name"].alias("state_name"),
+        code.alias("state_code"),
+        F.coalesce(field["state_name"], by_code).alias("state_name"),
         field["agency_name"].alias("agency_name"),
         field["agency_type_name"].alias("agency_type_name"),
         F.coalesce(field["counties"], "bucket").alias("counties"),
@@ -105,4 +113,5 @@ def agency_rows(payloads: DataFrame, state: str = "state_code", payload: str = "
         to_double(field["latitude"]).alias("latitude"),
         to_double(field["longitude"]).alias("longitude"),
         field["nibrs_start_date"].alias("nibrs_start_date"),
+        F.to_json("a").alias("source_json"),
     )

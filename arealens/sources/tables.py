@@ -136,7 +136,16 @@ def normalize_geometries(
 
 
 def read_geometries(spark: SparkSession, path: str, year: int) -> DataFrame:
-    """GeoJSON file(s), as one collection or one feature per line."""
+    """GeoJSON file(s), as one collection or one feature per line, or Parquet with a ``geom_wkt`` column.
+
+    Parquet is the form that splits; its other columns are the attributes.
+    """
+    if file_format(path) == "parquet":
+        table = spark.read.parquet(path)
+        names = [c for c in table.columns if c != "geom_wkt"]
+        entries = [F.struct(F.lit(c).alias("k"), F.col(f"`{c}`").cast("string").alias("v")) for c in names]
+        shaped = table.select(F.map_from_entries(F.array(*entries)).alias("properties"), "geom_wkt")
+        return normalize_geometries(shaped.where(F.col("geom_wkt").isNotNull()), path, year)
     raw = read_features(spark, path, lines=file_format(path) == "geojsonl")
     shaped = raw.select("properties", polygon_wkt(F.col("geometry.type"), F.col("geometry.coordinates")).alias("geom_wkt"))
     return normalize_geometries(shaped.where(F.col("geom_wkt").isNotNull()), path, year)
