@@ -8,7 +8,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from arealens.llm.packing import END_ID, SEQUENCE, pack_documents, solve_patterns
+from arealens.llm.packing import END_ID, SEQUENCE, _best_fit, pack_documents, solve_patterns
 from tests.llm.helpers import ODD_TEXTS, documents, prose
 
 PATH = public_tokenizers.path(corpus_pipeline.TOKENIZER)
@@ -59,8 +59,7 @@ def test_patterns_use_each_length_as_often_as_demanded():
             for w, n in pattern.items():
                 used[w] += times * n
         assert used == Counter({w: n for w, n in demand.items() if n})
-        least = sum(w * n for w, n in demand.items()) / 128
-        assert sum(t for t, _ in plan) <= max(1.05 * least + 2, sum(n for w, n in demand.items() if w > 64) + 3)
+        assert sum(t for t, _ in plan) <= 1.01 * len(_best_fit(demand, 128)) + 1
     assert solve_patterns({}) == []
 
 
