@@ -30,7 +30,7 @@ END_ID = 1
 #: Columns are priced until none saves this share of a sequence, or so many were.
 GAIN = 1e-3
 MAX_COLUMNS = 2000
-_CACHE_ENTRIES = 600_000
+_CACHE_ENTRIES = 400_000
 _ASCII_BLANKS = re.compile(r"[ \t\n\v\f\r]+")
 _ODD_CONTROLS = re.compile(r"[\x1c-\x1f]")
 _LATIN = re.compile("(?:(?!<\\|)[\x21-\x7e\xa1-\u024f])*")

@@ -59,9 +59,13 @@ def chunks(text: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Iterat
     """(first row, end row, bytes, offsets) for runs of rows of about ``limit`` bytes; null is the empty text."""
     if isinstance(text, pa.ChunkedArray):
         text = text.combine_chunks()
-    text = pc.fill_null(text.cast(pa.large_string()), "")
-    buffers = text.buffers()
-    offsets = np.frombuffer(buffers[1], np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
+    if not (pa.types.is_string(text.type) or pa.types.is_large_string(text.type)):
+        text = text.cast(pa.string())
+    if text.null_count:
+        text = pc.fill_null(text, "")
+    buffers = text.buffers()  # read in place: a batch of long texts is not copied
+    width = np.int64 if pa.types.is_large_string(text.type) else np.int32
+    offsets = np.frombuffer(buffers[1], width)[text.offset : text.offset + len(text) + 1].astype(np.int64) if len(text) else np.zeros(1, np.int64)
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < len(text):
