@@ -37,7 +37,7 @@ COMMON_SETS = 48
 #: Bound of the list of common tokens sent to the tasks (8 MB).
 COMMON_TOKENS = 1 << 20
 _LEVELS = 8
-_FLUSH_TOKENS = 2 << 20
+_FLUSH_TOKENS = 1 << 20
 
 
 def _needed(n: np.ndarray | int, percent: int):
