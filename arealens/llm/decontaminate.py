@@ -1,8 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, units of measure and names (capitalised words inside a sentence) become typed placeholders, so
-a question with other values has the same template. Windows of the templates are joined by hash. The
-windows of one occurrence lie on one diagonal; the slot values met on it must map each benchmark value to
+a question with other values has the same template. Windows of the templates and windows of the
+lower-cased words are joined by hash, and a position is met by either. The windows of one occurrence lie on one diagonal; the slot values met on it must map each benchmark value to
 one value of the document. Everything is DataFrame operations.
 """
 
@@ -31,7 +31,9 @@ UNITS = (
 )
 _NUMBER = r"\d+(?:[.,]\d+)*"
 _WORDS = _NUMBER + r"|\p{L}+"
-_NAME = r"(?<=[\p{Ll}0,;:] {1,2})\p{Lu}\p{Ll}+(?!\p{L})"
+#: In a text with single blanks.
+_NAME = r"\p{Lu}(?<=[\p{Ll}0,;:] \p{Lu})\p{Ll}+(?!\p{L})"
+_CAPITALISED = r"^\p{Lu}\p{Ll}+$"
 
 
 def raw_words(text: Column) -> Column:
@@ -41,33 +43,56 @@ def raw_words(text: Column) -> Column:
 
 def template_words(text: Column) -> Column:
     """The same words lower-cased, with 0 for a number, 1 for a name, 2 for a unit."""
-    named = F.regexp_replace(F.regexp_replace(text, _NUMBER, " 0 "), _NAME, " 1 ")
+    folded = F.regexp_replace(F.regexp_replace(text, _NUMBER, " 0 "), r"[\s\p{Z}]+", " ")
+    named = F.regexp_replace(folded, _NAME, " 1 ")
     units = F.regexp_replace(F.lower(named), r"(?<= 0 ) ?(?:" + "|".join(UNITS) + r")(?!\p{L})", "2")
     return F.regexp_extract_all(units, F.lit(r"[012]|\p{L}+"), F.lit(0))
 
 
-def _windows(words: str, size: int) -> Column:
+def _codes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _lowered(raw: Column) -> Column:
+    return F.transform(raw, lambda w: F.lower(w))
+
+
+def _hash(codes: Column, exact: Column) -> Column:
+    """One value of a window's word codes; ``exact`` tells windows of lower-cased words from those of templates."""
+    return F.xxhash64(exact, codes)
+
+
+def _windows(codes: Column, size: Column, exact: Column) -> Column:
     """Hashes of all runs of ``size`` words."""
-    last = F.size(words) - size
-    hashes = F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.xxhash64(F.slice(words, i, size)))
+    last = F.size(codes) - size
+    hashes = F.transform(F.sequence(F.lit(1), last + 1), lambda i: _hash(F.slice(codes, i, size), exact))
     return F.when(last >= 0, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
 def _benchmark(items: DataFrame) -> DataFrame:
-    """(item_id, size, n_windows, at, loose, hash, window, item_raw): windows of the items; loose ones match by template."""
+    """(item_id, size, n_windows, at, exact, opening, hash, window, item_raw): windows of the items.
+
+    Each window is there by its lower-cased words (``exact``) and, with enough literals, by its template.
+    The first word of an item may look like a name where a text leads up to it: ``opening`` windows have
+    a name in its place and match where the word is the same.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     words = items.select(F.col("item_id").cast("long").alias("item_id"), raw_words(text).alias("raw"), template_words(text).alias("words"))
     sized = words.withColumn("size", F.least(F.size("words"), F.lit(WINDOW))).where(F.col("size") >= LEAST_WORDS)
     each = sized.select("item_id", "size", "raw", "words", (F.size("words") - F.col("size") + 1).alias("n_windows"), F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)).alias("at"))
     window, raw = F.slice("words", F.col("at"), F.col("size")), F.slice("raw", F.col("at"), F.col("size"))
-    literals = F.size(F.array_distinct(F.filter(window, lambda w: ~w.isin("0", "1", "2"))))
-    loose = literals >= F.least(F.lit(LEAST_LITERALS), F.col("size") - 1)
-    hashed = F.when(loose, F.xxhash64(window)).otherwise(F.xxhash64(_lowered(raw)))
-    return each.select("item_id", "size", "n_windows", "at", loose.alias("loose"), hashed.alias("hash"), window.alias("window"), raw.alias("item_raw")).distinct()
+    opened = F.transform(window, lambda w, i: F.when(i == 0, F.lit("1")).otherwise(w))
 
+    def loose(template: Column) -> Column:
+        return F.size(F.array_distinct(F.filter(template, lambda w: ~w.isin("0", "1", "2")))) >= LEAST_LITERALS
 
-def _lowered(raw: Column) -> Column:
-    return F.transform(raw, lambda w: F.lower(w))
+    def form(words: Column, exact: bool, opening: bool, given: Column) -> Column:
+        return F.when(given, F.struct(F.lit(exact).alias("exact"), F.lit(opening).alias("opening"), _hash(_codes(words), F.lit(exact)).alias("hash")))
+
+    first = (F.col("at") == 1) & F.get(raw, 0).rlike(_CAPITALISED) & loose(opened)
+    forms = F.array(form(_lowered(raw), True, False, F.lit(True)), form(window, False, False, loose(window)), form(opened, False, True, first))
+    rows = each.select("item_id", "size", "n_windows", "at", window.alias("window"), raw.alias("item_raw"), F.explode(F.filter(forms, lambda f: f.isNotNull())).alias("form"))
+    return rows.select("item_id", "size", "n_windows", "at", "form.exact", "form.opening", "form.hash", "window", "item_raw").distinct()
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -78,23 +103,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     windows = materialize(_benchmark(benchmark), "benchmark")
     few = windows.count() <= BROADCAST_WINDOWS
-    kinds = sorted((r["size"], r["loose"]) for r in windows.select("size", "loose").distinct().collect())
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), raw_words(text).alias("raw"), template_words(text).alias("words"))
-    found = None
-    for size, loose in kinds:
-        own = windows.where((F.col("size") == size) & (F.col("loose") == loose))
-        read = given if loose else given.withColumn("words", _lowered(F.col("raw")))
-        each = read.select("doc_id", "print", "raw", F.posexplode(_windows("words", size)).alias("pos", "hash"))
-        hit = each.join(F.broadcast(own) if few else own, "hash").select(
-            "doc_id", "print", "item_id", "at", "n_windows", "window", "item_raw", (F.col("pos") + 1).alias("pos"), F.slice("raw", F.col("pos") + 1, size).alias("doc_raw"), F.lit(size).alias("size")
-        )
-        found = hit if found is None else found.unionByName(hit)
-    if found is None:
+    kinds = sorted((r["size"], r["exact"]) for r in windows.select("size", "exact").distinct().collect())
+    if not kinds:
         return docs.where("false").select(
             F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("print"), F.lit(0).cast("long").alias("item_id"), F.lit(0).alias("start"),
             F.lit(0).alias("n_words"), F.lit(0.0).alias("coverage"), F.lit(True).alias("same_values"),
         )
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), raw_words(text).alias("raw"), template_words(text).alias("words"))
+    coded = given.select("doc_id", "print", "raw", _codes(F.col("words")).alias("template"), _codes(_lowered(F.col("raw"))).alias("lowered"))
+    forms = F.array(*[F.struct(F.lit(size).alias("size"), F.lit(exact).alias("exact")) for size, exact in kinds])
+    each = coded.withColumn("form", F.explode(forms)).select("doc_id", "print", "raw", F.posexplode(_windows(F.when(F.col("form.exact"), F.col("lowered")).otherwise(F.col("template")), F.col("form.size"), F.col("form.exact"))).alias("pos", "hash"))
+    found = each.join(F.broadcast(windows) if few else windows, "hash").select(
+        "doc_id", "print", "item_id", "at", "n_windows", "size", "opening", "window", "item_raw", (F.col("pos") + 1).alias("pos"), _lowered(F.slice("raw", F.col("pos") + 1, F.col("size"))).alias("doc_raw")
+    )
+    found = found.withColumn("item_raw", _lowered(F.col("item_raw"))).where(~F.col("opening") | (F.get("item_raw", F.lit(0)) == F.get("doc_raw", F.lit(0))))
     zipped = F.filter(F.arrays_zip("window", "item_raw", "doc_raw"), lambda z: z["window"].isin("0", "1", "2"))
     slots = F.transform(zipped, lambda z: F.struct(F.concat(z["window"], z["item_raw"]).alias("asked"), z["doc_raw"].alias("got")))
     runs = found.select("doc_id", "print", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "at", "n_windows", "size", slots.alias("slots"))

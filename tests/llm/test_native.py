@@ -73,6 +73,18 @@ def test_url_ratios_equal_direct_computation(spark):
 ITEM = "A train leaves Bern at 9.30 with 120 kg of mail and meets Anna after 45 minutes on the bridge"
 
 
+def test_verbatim_leaks_in_other_dress(spark):
+    short = "What is the capital of Peru?"
+    long = "The farmer Anna sold 250 kg of apples to Peter in Lima and then drove 12 miles home with Maria before the sun went down"
+    texts = [f"Question: {short}", "question: Which is it, and what is the capital of Chile?", f"So: {short.replace('Peru', 'Chile')}", "So: Lima is the capital of Peru"]
+    texts += [long.lower(), long.upper(), long.replace(" ", "\n"), long.replace(" ", "\t \u00a0 "), long.replace("Peter", "Jonas").replace(" ", "\n"), "nothing " + prose(3, 40)]
+    benchmark = spark.createDataFrame([(1, short), (2, long)], "item_id long, text string")
+    rows = [r["items"] for r in mark_leaks(documents(spark, texts), benchmark).orderBy("doc_id").collect()]
+    assert rows == ["1", "1", "1", "", "2", "2", "2", "2", "2", ""]
+    copies = {r.doc_id: r.same_values for r in find_leaks(documents(spark, texts), benchmark).collect()}
+    assert [i for i, same in sorted(copies.items()) if same] == [0, 4, 5, 6, 7]
+
+
 def test_leaks(spark):
     items = [(1, ITEM), (2, prose(7, 30)), (3, "too short"), (4, "Which rivers cross town"), (5, None), (6, ITEM)]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
