@@ -1,7 +1,7 @@
 """License scans: phrase counts, and ordered signature rules with interval suppression.
 
-A rule is a regular expression with a keyword and a priority. Sentences without the keyword never meet
-the expression. Where detections of a sentence overlap so that one interval contains the other, the one
+A rule is a regular expression with keywords and a priority. Sentences without a keyword that every match
+of the expression has never meet it. Where detections of a sentence overlap so that one interval contains the other, the one
 with the higher priority stays (then the longer, then the earlier rule). Everything is DataFrame
 operations inside the row: no join, no shuffle.
 """
@@ -9,6 +9,8 @@ operations inside the row: no join, no shuffle.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_, or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -23,91 +25,95 @@ PHRASES = (("mit", ("mit", "license")), ("apache", ("apache", "license")), ("gpl
 
 class Rule(NamedTuple):
     label: str
-    keyword: str
+    #: Every match holds one keyword of each group.
+    keywords: tuple[tuple[str, ...], ...]
     pattern: str
     priority: int
 
 
-#: (label, name as written, keyword, home page) of licenses; the rules for each are built below.
+#: (label, name as written, keywords one of which every name holds, home page) of licenses; the rules for each are built below.
 FAMILIES = (
-    ("mit", r"mit|expat|x11", "mit", "opensource.org/licenses/mit"),
-    ("apache-2.0", r"apache(?: software)?(?: license)?,? ?(?:version|v)? ?2(?:\.0)?", "apache", "apache.org/licenses/license-2.0"),
-    ("apache-1.1", r"apache(?: software)?(?: license)?,? ?(?:version|v)? ?1\.1", "apache", "apache.org/licenses/license-1.1"),
-    ("gpl-2.0", r"(?:gnu )?(?:general public license|gpl),? ?(?:version|v)? ?2(?:\.0)?", "g", "gnu.org/licenses/gpl-2.0"),
-    ("gpl-3.0", r"(?:gnu )?(?:general public license|gpl),? ?(?:version|v)? ?3(?:\.0)?", "g", "gnu.org/licenses/gpl-3.0"),
-    ("lgpl-2.1", r"(?:gnu )?(?:lesser general public license|lgpl),? ?(?:version|v)? ?2\.1", "l", "gnu.org/licenses/lgpl-2.1"),
-    ("lgpl-3.0", r"(?:gnu )?(?:lesser general public license|lgpl),? ?(?:version|v)? ?3(?:\.0)?", "l", "gnu.org/licenses/lgpl-3.0"),
-    ("agpl-3.0", r"(?:gnu )?(?:affero general public license|agpl),? ?(?:version|v)? ?3(?:\.0)?", "a", "gnu.org/licenses/agpl-3.0"),
-    ("bsd-2-clause", r"(?:bsd 2-clause|2-clause bsd|simplified bsd|freebsd)", "bsd", "opensource.org/licenses/bsd-2-clause"),
-    ("bsd-3-clause", r"(?:bsd 3-clause|3-clause bsd|new bsd|modified bsd)", "bsd", "opensource.org/licenses/bsd-3-clause"),
-    ("0bsd", r"(?:zero-clause bsd|bsd zero clause|0bsd)", "bsd", "opensource.org/licenses/0bsd"),
-    ("mpl-1.1", r"(?:mozilla public license|mpl),? ?(?:version|v)? ?1\.1", "m", "mozilla.org/mpl/1.1"),
-    ("mpl-2.0", r"(?:mozilla public license|mpl),? ?(?:version|v)? ?2(?:\.0)?", "m", "mozilla.org/mpl/2.0"),
-    ("epl-1.0", r"(?:eclipse public license|epl),? ?(?:version|v)? ?1(?:\.0)?", "e", "eclipse.org/legal/epl-v10"),
-    ("epl-2.0", r"(?:eclipse public license|epl),? ?(?:version|v)? ?2(?:\.0)?", "e", "eclipse.org/legal/epl-2.0"),
-    ("cddl-1.0", r"(?:common development and distribution license|cddl)", "d", "opensource.org/licenses/cddl-1.0"),
-    ("cpl-1.0", r"common public license", "common", "opensource.org/licenses/cpl1.0"),
-    ("artistic-2.0", r"artistic(?: license)?,? ?(?:version|v)? ?2(?:\.0)?", "artistic", "opensource.org/licenses/artistic-2.0"),
-    ("isc", r"isc", "isc", "opensource.org/licenses/isc"),
-    ("zlib", r"(?:zlib|zlib/libpng)", "zlib", "opensource.org/licenses/zlib"),
-    ("bsl-1.0", r"boost software", "boost", "boost.org/license_1_0"),
-    ("unlicense", r"unlicense", "unlicense", "unlicense.org"),
-    ("wtfpl", r"(?:wtfpl|do what the fuck you want to public)", "wtf", "wtfpl.net"),
-    ("postgresql", r"postgresql", "postgresql", "opensource.org/licenses/postgresql"),
-    ("python-2.0", r"(?:psf|python software foundation)", "p", "docs.python.org/3/license"),
-    ("ruby", r"ruby", "ruby", "ruby-lang.org/en/about/license"),
-    ("php-3.01", r"php(?: license)?,? ?(?:version|v)? ?3\.01", "php", "php.net/license/3_01"),
-    ("openssl", r"openssl", "openssl", "openssl.org/source/license"),
-    ("ncsa", r"(?:ncsa|university of illinois/ncsa)", "ncsa", "opensource.org/licenses/ncsa"),
-    ("ms-pl", r"(?:microsoft public|ms-pl)", "m", "opensource.org/licenses/ms-pl"),
-    ("eupl-1.2", r"(?:european union public|eupl)", "e", "joinup.ec.europa.eu/software/page/eupl"),
-    ("ofl-1.1", r"(?:sil )?open font", "open font", "scripts.sil.org/ofl"),
-    ("cc0-1.0", r"(?:cc0|creative commons zero)", "c", "creativecommons.org/publicdomain/zero"),
-    ("cc-by", r"(?:cc[ -]by|creative commons attribution)(?![ -](?:nc|nd|sa|non|no|share))", "c", "creativecommons.org/licenses/by/"),
-    ("cc-by-sa", r"(?:cc[ -]by-sa|creative commons attribution[ -]sharealike)", "c", "creativecommons.org/licenses/by-sa/"),
-    ("cc-by-nd", r"(?:cc[ -]by-nd|creative commons attribution[ -]noderiv\w*)", "c", "creativecommons.org/licenses/by-nd/"),
-    ("cc-by-nc", r"(?:cc[ -]by-nc|creative commons attribution[ -]noncommercial)(?![ -](?:nd|sa|no|share))", "c", "creativecommons.org/licenses/by-nc/"),
-    ("cc-by-nc-sa", r"(?:cc[ -]by-nc-sa|creative commons attribution[ -]noncommercial[ -]sharealike)", "c", "creativecommons.org/licenses/by-nc-sa/"),
-    ("cc-by-nc-nd", r"(?:cc[ -]by-nc-nd|creative commons attribution[ -]noncommercial[ -]noderiv\w*)", "c", "creativecommons.org/licenses/by-nc-nd/"),
-    ("odbl-1.0", r"(?:open database|odbl)", "o", "opendatacommons.org/licenses/odbl"),
+    ("mit", r"mit|expat|x11", ("mit", "expat", "x11"), "opensource.org/licenses/mit"),
+    ("apache-2.0", r"apache(?: software)?(?: license)?,?[ -]?(?:version|v)? ?2(?:\.0)?", ("apache",), "apache.org/licenses/license-2.0"),
+    ("apache-1.1", r"apache(?: software)?(?: license)?,?[ -]?(?:version|v)? ?1\.1", ("apache",), "apache.org/licenses/license-1.1"),
+    ("gpl-2.0", r"(?:gnu )?(?:general public license|gpl),?[ -]?(?:version|v)? ?2(?:\.0)?", ("general public license", "gpl"), "gnu.org/licenses/gpl-2.0"),
+    ("gpl-3.0", r"(?:gnu )?(?:general public license|gpl),?[ -]?(?:version|v)? ?3(?:\.0)?", ("general public license", "gpl"), "gnu.org/licenses/gpl-3.0"),
+    ("lgpl-2.1", r"(?:gnu )?(?:lesser general public license|lgpl),?[ -]?(?:version|v)? ?2\.1", ("lesser general public license", "lgpl"), "gnu.org/licenses/lgpl-2.1"),
+    ("lgpl-3.0", r"(?:gnu )?(?:lesser general public license|lgpl),?[ -]?(?:version|v)? ?3(?:\.0)?", ("lesser general public license", "lgpl"), "gnu.org/licenses/lgpl-3.0"),
+    ("agpl-3.0", r"(?:gnu )?(?:affero general public license|agpl),?[ -]?(?:version|v)? ?3(?:\.0)?", ("affero general public license", "agpl"), "gnu.org/licenses/agpl-3.0"),
+    ("bsd-2-clause", r"(?:bsd 2-clause|2-clause bsd|simplified bsd|freebsd)", ("bsd",), "opensource.org/licenses/bsd-2-clause"),
+    ("bsd-3-clause", r"(?:bsd 3-clause|3-clause bsd|new bsd|modified bsd)", ("bsd",), "opensource.org/licenses/bsd-3-clause"),
+    ("0bsd", r"(?:zero-clause bsd|bsd zero clause|0bsd)", ("bsd",), "opensource.org/licenses/0bsd"),
+    ("mpl-1.1", r"(?:mozilla public license|mpl),?[ -]?(?:version|v)? ?1\.1", ("mozilla public license", "mpl"), "mozilla.org/mpl/1.1"),
+    ("mpl-2.0", r"(?:mozilla public license|mpl),?[ -]?(?:version|v)? ?2(?:\.0)?", ("mozilla public license", "mpl"), "mozilla.org/mpl/2.0"),
+    ("epl-1.0", r"(?:eclipse public license|epl),?[ -]?(?:version|v)? ?1(?:\.0)?", ("eclipse public license", "epl"), "eclipse.org/legal/epl-v10"),
+    ("epl-2.0", r"(?:eclipse public license|epl),?[ -]?(?:version|v)? ?2(?:\.0)?", ("eclipse public license", "epl"), "eclipse.org/legal/epl-2.0"),
+    ("cddl-1.0", r"(?:common development and distribution license|cddl)", ("common development and distribution license", "cddl"), "opensource.org/licenses/cddl-1.0"),
+    ("cpl-1.0", r"common public license", ("common public license",), "opensource.org/licenses/cpl1.0"),
+    ("artistic-2.0", r"artistic(?: license)?,?[ -]?(?:version|v)? ?2(?:\.0)?", ("artistic",), "opensource.org/licenses/artistic-2.0"),
+    ("isc", r"isc", ("isc",), "opensource.org/licenses/isc"),
+    ("zlib", r"(?:zlib|zlib/libpng)", ("zlib",), "opensource.org/licenses/zlib"),
+    ("bsl-1.0", r"boost software", ("boost software",), "boost.org/license_1_0"),
+    ("unlicense", r"unlicense", ("unlicense",), "unlicense.org"),
+    ("wtfpl", r"(?:wtfpl|do what the fuck you want to public)", ("wtfpl", "do what the fuck"), "wtfpl.net"),
+    ("postgresql", r"postgresql", ("postgresql",), "opensource.org/licenses/postgresql"),
+    ("python-2.0", r"(?:psf|python software foundation)", ("psf", "python software foundation"), "docs.python.org/3/license"),
+    ("ruby", r"ruby", ("ruby",), "ruby-lang.org/en/about/license"),
+    ("php-3.01", r"php(?: license)?,?[ -]?(?:version|v)? ?3\.01", ("php",), "php.net/license/3_01"),
+    ("openssl", r"openssl", ("openssl",), "openssl.org/source/license"),
+    ("ncsa", r"(?:ncsa|university of illinois/ncsa)", ("ncsa",), "opensource.org/licenses/ncsa"),
+    ("ms-pl", r"(?:microsoft public|ms-pl)", ("microsoft public", "ms-pl"), "opensource.org/licenses/ms-pl"),
+    ("eupl-1.2", r"(?:european union public|eupl)", ("european union public", "eupl"), "joinup.ec.europa.eu/software/page/eupl"),
+    ("ofl-1.1", r"(?:sil )?open font", ("open font",), "scripts.sil.org/ofl"),
+    ("cc0-1.0", r"(?:cc0|creative commons zero)", ("cc0", "creative commons zero"), "creativecommons.org/publicdomain/zero"),
+    ("cc-by", r"(?:cc[ -]by|creative commons attribution)(?![ -](?:nc|nd|sa|non|no|share))", ("cc by", "cc-by", "creative commons attribution"), "creativecommons.org/licenses/by/"),
+    ("cc-by-sa", r"(?:cc[ -]by-sa|creative commons attribution[ -]sharealike)", ("cc by", "cc-by", "creative commons attribution"), "creativecommons.org/licenses/by-sa/"),
+    ("cc-by-nd", r"(?:cc[ -]by-nd|creative commons attribution[ -]noderiv\w*)", ("cc by", "cc-by", "creative commons attribution"), "creativecommons.org/licenses/by-nd/"),
+    ("cc-by-nc", r"(?:cc[ -]by-nc|creative commons attribution[ -]noncommercial)(?![ -](?:nd|sa|no|share))", ("cc by", "cc-by", "creative commons attribution"), "creativecommons.org/licenses/by-nc/"),
+    ("cc-by-nc-sa", r"(?:cc[ -]by-nc-sa|creative commons attribution[ -]noncommercial[ -]sharealike)", ("cc by", "cc-by", "creative commons attribution"), "creativecommons.org/licenses/by-nc-sa/"),
+    ("cc-by-nc-nd", r"(?:cc[ -]by-nc-nd|creative commons attribution[ -]noncommercial[ -]noderiv\w*)", ("cc by", "cc-by", "creative commons attribution"), "creativecommons.org/licenses/by-nc-nd/"),
+    ("odbl-1.0", r"(?:open database|odbl)", ("open database", "odbl"), "opendatacommons.org/licenses/odbl"),
 )
 
-#: (priority, pattern around a family's name {n}, home page {u} or label {l}, keyword where the family's is short; None: the home page).
+#: What may follow a name: version, country of a version, later versions.
+_TAIL = r"(?:-\d+(?:\.\d+)+(?:-[a-z]{2,3})?)?(?:-only|-or-later|\+)?"
+#: (priority, pattern around a family's name {n}, home page {u} or label {l}, keywords one of which the shape itself holds).
 SHAPES = (
-    (100, r"spdx-license-identifier:\s*{l}(?![\w.-])", "spdx"),
-    (95, r"{u}", None),
-    (90, r"(?:licensed|released|distributed|published|available|redistributed) under (?:the )?(?:terms of )?(?:the )?(?:{n})(?![\w-])(?:,? licen[sc]e)?", "under"),
-    (80, r"licen[sc]e\s*[:=]\s*\W?(?:{n})(?![\w-])", "licen"),
-    (70, r"(?<![\w-])(?:{n})(?:['’]s)? (?:public )?licen[sc]e(?!\w)", "licen"),
-    (60, r"(?:subject to|terms of|covered by|governed by|conditions of) (?:the )?(?:{n})(?![\w-])", "the"),
+    (100, r"spdx-license-identifier:\s*{l}{t}(?![\w+-]|\.\w)", ("spdx",)),
+    (95, r"{u}", ()),
+    (90, r"(?:licensed|released|distributed|published|available|redistributed) under (?:the )?(?:terms of )?(?:the )?(?:{n}){t}(?![\w-])(?:,? licen[sc]e)?", ("under",)),
+    (80, r"licen[sc]e\s*[:=]\s*\W?(?:{n}){t}(?![\w-])", ("licen",)),
+    (70, r"(?<![\w-])(?:{n}){t}(?:['’]s)? (?:public )?licen[sc]e(?!\w)", ("licen",)),
+    (60, r"(?:subject to|terms of|covered by|governed by|conditions of) (?:the )?(?:{n}){t}(?![\w-])", ("subject to", "terms of", "covered by", "governed by", "conditions of")),
 )
 
 #: Wording of license texts and notices without a family's name.
 WORDINGS = (
-    Rule("mit", "permission is hereby granted", r"permission is hereby granted, free of charge, to any person obtaining a copy", 85),
-    Rule("isc", "permission to use", r"permission to use, copy, modify, and(?:/or)? distribute this software", 85),
-    Rule("bsd-3-clause", "neither the name", r"neither the name of .{1,80} nor the names of (?:its )?contributors", 86),
-    Rule("bsd-2-clause", "redistribution and use", r"redistribution and use in source and binary forms", 84),
-    Rule("gpl-family", "general public licen", r"(?:gnu )?general public licen[sc]e", 50),
-    Rule("gpl-family", "free software", r"this program is free software[:;] you can redistribute it", 55),
-    Rule("zlib", "as-is", r"this software is provided 'as-is', without any express or implied warranty", 85),
-    Rule("unlicense", "unencumbered", r"free and unencumbered software released into the public domain", 85),
-    Rule("public-domain", "public domain", r"(?:in|into|to) the public domain", 40),
-    Rule("proprietary", "rights reserved", r"all rights reserved", 30),
-    Rule("proprietary", "confidential", r"confidential and proprietary", 35),
-    Rule("copyright", "copyright", r"copyright (?:\(c\)|©)? ?(?:19|20)\d\d", 20),
-    Rule("copyright", "©", r"© ?(?:19|20)\d\d", 20),
-    Rule("unknown-license", "licen", r"licen[sc]ed under ", 10),
+    Rule("mit", (("permission is hereby granted",),), r"permission is hereby granted, free of charge, to any person obtaining a copy", 85),
+    Rule("isc", (("permission to use",),), r"permission to use, copy, modify, and(?:/or)? distribute this software", 85),
+    Rule("bsd-3-clause", (("neither the name",),), r"neither the name of .{1,80} nor the names of (?:its )?contributors", 86),
+    Rule("bsd-2-clause", (("redistribution and use",),), r"redistribution and use in source and binary forms", 84),
+    Rule("gpl-family", (("general public licen",),), r"(?:gnu )?general public licen[sc]e", 50),
+    Rule("gpl-family", (("free software",),), r"this program is free software[:;] you can redistribute it", 55),
+    Rule("zlib", (("as-is",),), r"this software is provided 'as-is', without any express or implied warranty", 85),
+    Rule("unlicense", (("unencumbered",),), r"free and unencumbered software released into the public domain", 85),
+    Rule("public-domain", (("public domain",),), r"(?:in|into|to) the public domain", 40),
+    Rule("proprietary", (("rights reserved",),), r"all rights reserved", 30),
+    Rule("proprietary", (("confidential",),), r"confidential and proprietary", 35),
+    Rule("copyright", (("copyright",),), r"copyright (?:\(c\)|©)? ?(?:19|20)\d\d", 20),
+    Rule("copyright", (("©",),), r"© ?(?:19|20)\d\d", 20),
+    Rule("unknown-license", (("licen",),), r"licen[sc]ed under ", 10),
 )
 
 
 def build_rules() -> tuple[Rule, ...]:
     """All rules in order: every shape for every family, then the wordings."""
     made = []
-    for label, name, keyword, home in FAMILIES:
-        for priority, shape, instead in SHAPES:
-            pattern = shape.replace("{n}", name).replace("{u}", re.escape(home)).replace("{l}", re.escape(label))
-            made.append(Rule(label, home if instead is None else keyword if len(keyword) > 2 else instead, pattern, priority))
+    for label, name, keywords, home in FAMILIES:
+        for priority, shape, held in SHAPES:
+            pattern = shape.replace("{n}", name).replace("{u}", re.escape(home)).replace("{l}", re.escape(label)).replace("{t}", _TAIL)
+            groups = ((home,),) if "{u}" in shape else (keywords, held) if "{n}" in shape else (held,)
+            made.append(Rule(label, groups, pattern, priority))
     return (*made, *WORDINGS)
 
 
@@ -125,7 +131,8 @@ def _detections(sentence: Column, rules: tuple[Rule, ...]) -> Column:
         hit = F.struct(
             F.lit(rule.label).alias("label"), F.lit(rule.priority).alias("priority"), F.lit(order).alias("rule"), start.alias("start"), (start + length).alias("end")
         )
-        found.append(F.when(sentence.contains(rule.keyword), F.when(start > 0, hit)))
+        held = [reduce(or_, [sentence.contains(k) for k in group]) for group in rule.keywords]
+        found.append(F.when(reduce(and_, held), F.when(start > 0, hit)))
     return F.filter(F.array(*found), lambda d: d.isNotNull())
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arealens.llm.chat_format import digest_conversations, format_conversations, parse_formatted
 from arealens.llm.decontaminate import drop_leaks, find_leaks, mark_leaks
-from arealens.llm.licenses import PHRASES, RULES, scan_licenses
+from arealens.llm.licenses import PHRASES, RULES, _detections, scan_licenses
 from arealens.llm.url_filter import ORDER, fit_ratios, judge_urls
 from tests.llm.helpers import ODD_TEXTS, UPPER, documents, prose
 
@@ -150,3 +150,42 @@ def test_license_rules_suppress_contained_intervals(spark):
     assert len(RULES) > 200 and len({r.label for r in RULES}) > 40
     for rule in RULES:
         re.compile(rule.pattern)
+
+
+def _samples(parsed, k):
+    """A text of a parsed expression, with the k-th way at each choice."""
+    out = ""
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "BRANCH":
+            out += _samples(arg[1][k % len(arg[1])], k)
+        elif name == "SUBPATTERN":
+            out += _samples(arg[-1], k)
+        elif name == "MAX_REPEAT":
+            least, _, inner = arg
+            out += _samples(inner, k) * (least or k // 7 % 2)
+        elif name == "IN":
+            kind, value = arg[k % len(arg)]
+            out += {"CATEGORY_DIGIT": "4", "CATEGORY_SPACE": " ", "CATEGORY_WORD": "w", "CATEGORY_NOT_WORD": "'"}[str(value)] if str(kind) == "CATEGORY" else chr(value if str(kind) == "LITERAL" else value[0])
+        elif name == "ANY":
+            out += "x"
+        else:
+            assert name in ("ASSERT", "ASSERT_NOT")
+    return out
+
+
+def test_license_rules_find_a_sample_of_every_alternative(spark):
+    rows = {(order, _samples(re._parser.parse(rule.pattern), k)) for order, rule in enumerate(RULES) for k in range(14)}
+    df = spark.createDataFrame(sorted(rows), "expected int, s string")
+    missed = [(r.expected, r.s) for r in df.withColumn("got", F.transform(_detections(F.col("s"), RULES), lambda d: d["rule"])).collect() if r.expected not in r.got]
+    assert len(rows) > 1500 and missed == []
+    forms = {"mit": ["Released under the Expat license", "X11 License"], "bsl-1.0": ["SPDX-License-Identifier: BSL-1.0"], "cpl-1.0": ["SPDX-License-Identifier: CPL-1.0"], "ofl-1.1": ["SPDX-License-Identifier: OFL-1.1"]}
+    forms |= {"gpl-2.0": ["SPDX-License-Identifier: GPL-2.0-only"], "gpl-3.0": ["SPDX-License-Identifier: GPL-3.0-or-later", "Licensed under GPL-3.0-or-later"], "lgpl-2.1": ["SPDX-License-Identifier: LGPL-2.1-only"]}
+    forms |= {"cc-by": ["SPDX-License-Identifier: CC-BY-4.0"], "wtfpl": ["Licensed under the Do What The Fuck You Want To Public License"]}
+    pairs = [(label, text) for label, texts in forms.items() for text in texts]
+    got = scan_licenses(documents(spark, [t for _, t in pairs])).orderBy("doc_id").collect()
+    assert [(label, t) for r, (label, t) in zip(got, pairs) if label not in r.labels.split(",")] == []
+    other = scan_licenses(documents(spark, ["SPDX-License-Identifier: BSD-3-Clause-Clear", "SPDX-License-Identifier: MIT-0"])).collect()
+    assert [r.labels for r in other] == ["", ""]
