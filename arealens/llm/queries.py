@@ -1,6 +1,6 @@
 """Queries over the operators of this folder: name -> plan, and SQL where it can express the result.
 
-SQL is given for op7. The others rest on fitted models, graph closure, a tokenizer or HTML, and are
+SQL is given for op7 and op11. The others rest on fitted models, graph closure, a tokenizer or HTML, and are
 tested against brute force in tests/llm.
 """
 
@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from arealens.llm.block_names import exact_duplicates
 from arealens.llm.chat_format import digest_conversations
 from arealens.llm.decontaminate import mark_leaks
 from arealens.llm.divergence import fit_references, measure_quality
@@ -75,6 +76,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_table(spark, folder, "documents"), public_tokenizers.path(corpus_pipeline.TOKENIZER))
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Plan] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_toxicity": op2_toxicity,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Plan] = {
     "op8_license_scan": op8_license_scan,
     "op9_html_extraction": op9_html_extraction,
     "op10_packing": op10_packing,
+    "op11_exact_dedup": op11_exact_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -108,4 +114,10 @@ ORACLES: dict[str, str] = {
                CAST(sum(length('<|im_start|>') + n_role + 1 + n_text + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
         FROM sized GROUP BY conv_id
     """,
+    "op11_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+               sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """,
 }
