@@ -21,8 +21,10 @@ from arealens.llm.importance import resample
 from arealens.llm.jaccard_join import jaccard_components
 from arealens.llm.licenses import scan_licenses
 from arealens.llm.packing import pack_documents
+from arealens.llm.token_align import align_tokenizers
 from arealens.llm.toxicity import fit_toxicity, score_toxicity
 from arealens.llm.url_filter import judge_urls
+from arealens.llm.whitening import whiten
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +82,15 @@ def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(_table(spark, folder, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align_tokenizers(_table(spark, folder, "documents"), *paths)
+
+
 QUERIES: dict[str, Plan] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_toxicity": op2_toxicity,
@@ -92,6 +103,8 @@ QUERIES: dict[str, Plan] = {
     "op9_html_extraction": op9_html_extraction,
     "op10_packing": op10_packing,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
