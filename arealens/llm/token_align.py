@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealens.llm.token_units import Pool, ragged, safe_places
+from arealens.llm.token_units import Pool, crosses_blank, ragged, safe_places
 from arealens.operators.materialize import materialize
 
 #: Bytes of a range. Longer documents are shared out over tasks; results do not depend on it.
@@ -106,9 +106,8 @@ class _Codec:
             piece = self.b.id_to_piece(i)
             special = self.b.is_unknown(i) or self.b.is_control(i)
             self.b_bytes.append(b"" if special else bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
-        for token in [*self.a_bytes, *self.b_bytes]:
-            if b" " in token.lstrip(b" "):
-                raise ValueError("tokens may hold blanks in front only, or nothing but blanks")
+        if any(crosses_blank(token) for token in [*self.a_bytes, *self.b_bytes]):
+            raise ValueError("a token must not hold a blank after what is no white space")
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << 16:
             raise ValueError("ids must be below 65536")
         self.text_of = _digits(max(len(self.a_bytes), len(self.b_bytes)))

@@ -1,7 +1,7 @@
 """Whole texts to token ids, each distinct stretch between safe blanks encoded once.
 
-A blank between two characters that are no white space is a safe place to cut for a tokenizer whose tokens
-hold a blank only in front or only blanks: encoding the parts gives the tokens of the whole. The stretches of
+A blank between two characters that are no white space is a safe place to cut for a tokenizer without tokens
+that hold a blank after such a character: encoding the parts gives the tokens of the whole. The stretches of
 a batch are told apart by Arrow's dictionary encoding, so Python touches only the distinct ones.
 """
 
@@ -33,6 +33,11 @@ def safe_places(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero((data[1:-1] == 0x20) & _BEFORE[data[:-2]] & _AFTER[data[2:]]) + 1
 
 
+def crosses_blank(token: bytes) -> bool:
+    """Whether a token holds a blank after a character that is no white space."""
+    return any(token[p] == 0x20 and _BEFORE[token[p - 1]] for p in range(1, len(token)))
+
+
 def ragged(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Positions first, first + 1, ... of each run, one run after the other."""
     ends = np.cumsum(counts)
