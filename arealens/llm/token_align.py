@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealens.llm.token_units import Pool, crosses_blank, ragged, safe_places
+from arealens.llm.token_units import Pool, crosses_blank, may_follow, ragged, safe_places
 from arealens.operators.materialize import materialize
 
 #: Bytes of a range. Longer documents are shared out over tasks; results do not depend on it.
@@ -115,15 +115,42 @@ class _Codec:
         self.pool = Pool(self._encode)
 
     def _encode(self, stretches: list[bytes]) -> list[np.ndarray]:
-        """Rows (tokenizer 0 or 1, id, bytes) of each stretch, which begins with a blank; none where its bytes change."""
-        texts = [s.decode() for s in stretches]
+        """Rows (tokenizer 0 or 1, id, bytes) of each stretch, which begins with a blank; none where its bytes change.
+
+        Stretches that end and go on without white space are encoded as one text, whose tokens end where they do.
+        """
+        plain = [may_follow(s) for s in stretches]
+        out: list[np.ndarray | None] = [None] * len(stretches)
+        joined = [s for s, p in zip(stretches, plain) if p]
+        if joined:
+            rows = self._rows(b"".join(joined))
+            if rows is not None:
+                bounds = np.append(0, np.cumsum([len(s) for s in joined]))
+                sides = []
+                for side in rows:
+                    cuts = np.searchsorted(np.cumsum(side[:, 2]), bounds, "left") + 1
+                    cuts[0] = 0
+                    sides.append((side, cuts.tolist()))
+                (a, a_cuts), (b, b_cuts) = sides
+                found = iter([np.concatenate([a[p:q], b[r:t]]) for p, q, r, t in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:])])
+                out = [next(found) if p else None for p in plain]
+        nothing = np.zeros((0, 3), np.int32)
+        for at, stretch in enumerate(stretches):
+            if out[at] is None:
+                rows = self._rows(stretch)
+                out[at] = nothing if rows is None else np.concatenate(rows)
+        return out
+
+    def _rows(self, stretch: bytes) -> list[np.ndarray] | None:
+        text = stretch.decode()
         out = []
-        for stretch, a, b in zip(stretches, self.a.encode_batch(texts, add_special_tokens=False), self.b.encode([t[1:] for t in texts], num_threads=1)):
-            ids = [a.ids, b]
-            parts = [[self.a_bytes[i] for i in a.ids], [self.b_bytes[i] for i in b]]
-            sound = all(b"".join(p) == stretch and b"" not in p for p in parts)
-            rows = [(k, i, len(p)) for k in (0, 1) for i, p in zip(ids[k], parts[k])] if sound else []
-            out.append(np.array(rows, np.int32).reshape(-1, 3))
+        for k, ids, table in ((0, self.a.encode(text, add_special_tokens=False).ids, self.a_bytes), (1, self.b.encode(text[1:]), self.b_bytes)):
+            parts = list(map(table.__getitem__, ids))
+            if b"".join(parts) != stretch or b"" in parts:
+                return None
+            rows = np.empty((len(ids), 3), np.int32)
+            rows[:, 0], rows[:, 1], rows[:, 2] = k, ids, list(map(len, parts))
+            out.append(rows)
         return out
 
     def tokens(self, data: np.ndarray, starts: np.ndarray) -> tuple[Tokens, np.ndarray]:
@@ -131,7 +158,9 @@ class _Codec:
 
         The ends count the bytes of sound texts only.
         """
-        bounds = np.union1d(np.append(starts, len(data)), safe_places(data)).astype(np.int64)
+        marks = np.zeros(len(data) + 1, bool)
+        marks[starts], marks[safe_places(data)], marks[-1] = True, True, True
+        bounds = np.flatnonzero(marks)
         units = self.pool.look_up(data, bounds)
         first, counts = self.pool.first[units], self.pool.counts[units]
         text_of_unit = np.searchsorted(starts, bounds[:-1], "right") - 1

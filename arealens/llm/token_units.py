@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 #: Distinct stretches, and bytes of them, that a worker remembers before it starts anew.
-REMEMBERED = 300_000
-REMEMBERED_BYTES = 16 << 20
+REMEMBERED = 400_000
+REMEMBERED_BYTES = 24 << 20
 
 _BEFORE = np.zeros(256, bool)
 _BEFORE[0x21:0x7F] = True
@@ -33,6 +33,11 @@ def safe_places(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero((data[1:-1] == 0x20) & _BEFORE[data[:-2]] & _AFTER[data[2:]]) + 1
 
 
+def may_follow(stretch: bytes) -> bool:
+    """Whether a stretch, which begins with a blank, leaves a safe place before and behind it among others of its kind."""
+    return len(stretch) > 1 and bool(_AFTER[stretch[1]] and _BEFORE[stretch[-1]])
+
+
 def crosses_blank(token: bytes) -> bool:
     """Whether a token holds a blank after a character that is no white space."""
     return any(token[p] == 0x20 and _BEFORE[token[p - 1]] for p in range(1, len(token)))
@@ -65,7 +70,8 @@ class Pool:
         buffers = [None, pa.py_buffer(np.ascontiguousarray(bounds, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
         found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode()
         distinct = found.dictionary.to_pylist()
-        new = [s for s in distinct if s not in self.known]
+        numbers = list(map(self.known.get, distinct))
+        new = [s for s, n in zip(distinct, numbers) if n is None]
         if new:
             rows = self.encode(new)
             counts = np.array([len(r) for r in rows], np.int64)
@@ -75,4 +81,5 @@ class Pool:
             self.tokens = np.concatenate([*([] if self.tokens is None else [self.tokens]), *rows])
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             self.size += sum(map(len, new))
-        return np.array([self.known[s] for s in distinct], np.int64)[found.indices.to_numpy(zero_copy_only=False)]
+            numbers = list(map(self.known.get, distinct))
+        return np.array(numbers, np.int64)[found.indices.to_numpy(zero_copy_only=False)]
