@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,12 +59,28 @@ def _text_or_null(value: Column) -> Column:
     return bind(strip_blanks(as_text(value)), kept)
 
 
+def format_shape(pattern: str) -> str:
+    """What texts of a date format look like: ``0`` for a run of digits, ``A`` for one of letters, marks as they are."""
+    letters = re.sub(r"M{3,}|a", "\0", pattern)
+    return re.sub(r"[A-Za-z]+", "0", letters).replace("\0", "A")
+
+
 def parse_text_time(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """ISO first, then each format; NULL when nothing fits."""
+    """ISO first, then the first fitting of the formats that have the shape of the text; NULL when nothing fits."""
+    shapes: dict[str, list[str]] = {}
+    for fmt in formats:
+        shapes.setdefault(format_shape(fmt), []).append(fmt)
 
     def tried(t: Column) -> Column:
+        def of_shape(shape: Column) -> Column:
+            out = F.when(F.lit(False), F.lit(None).cast("timestamp_ntz"))
+            for look, fitting in shapes.items():
+                out = out.when(shape == look, F.coalesce(*[F.try_to_timestamp(t, F.lit(fmt)).cast("timestamp_ntz") for fmt in fitting]))
+            return out
+
         iso = F.when(t.rlike(r"^[0-9]{4}(-|$)"), t.try_cast("timestamp_ntz"))
-        return F.coalesce(iso, *[F.try_to_timestamp(t, F.lit(fmt)).cast("timestamp_ntz") for fmt in formats])
+        shape = F.regexp_replace(F.regexp_replace(t, "[A-Za-z]+", "A"), "[0-9]+", "0")
+        return F.coalesce(iso, bind(shape, of_shape))
 
     return bind(text, tried)
 

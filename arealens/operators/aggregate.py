@@ -96,12 +96,21 @@ def monthly_aggregates(
     multiplier: float = RATE_MULTIPLIER,
     include_population_only: bool = False,
 ) -> DataFrame:
-    """Twelve dense months per area and year against the annual population."""
-    counts = count_by_group(incidents, [AREA, "occurred_year", "occurred_month"]).withColumnsRenamed(
-        {"occurred_year": YEAR, "occurred_month": "month"}
-    )
-    spine = _universe(population, counts, include_population_only).withColumn(
-        "month", F.explode(F.sequence(F.lit(1), F.lit(12)))
+    """Twelve dense months per area and year against the annual population.
+
+    Incidents are counted once; the months of an area and year, twelve at most, are gathered and spread again.
+    """
+    counts = count_by_group(incidents, [AREA, "occurred_year", "occurred_month"]).withColumnRenamed("occurred_year", YEAR)
+    named = F.col("occurred_month").isNotNull()
+    months = F.map_from_entries(F.collect_list(F.when(named, F.struct("occurred_month", F.struct(*COUNT_COLUMNS)))))
+    areas = counts.groupBy(AREA, YEAR).agg(months.alias("_months"))
+    known = population.select(AREA, YEAR, POPULATION).distinct()
+    if include_population_only:
+        every = areas.select(AREA, YEAR).unionByName(known.select(AREA, YEAR)).distinct()
+        areas = every.join(areas, [AREA, YEAR], "left")
+    spread = areas.join(known, [AREA, YEAR], "left").select(
+        AREA, YEAR, POPULATION, "_months", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month")
     )
-    joined = spine.join(counts, [AREA, YEAR, "month"], "left")
+    cell = F.col("_months")[F.col("month")]
+    joined = spread.select(AREA, YEAR, POPULATION, "month", *[cell[c].alias(c) for c in COUNT_COLUMNS])
     return add_rates(_filled(joined), multiplier).select(*MONTHLY_COLUMNS)

@@ -18,7 +18,8 @@ from arealens.constants import (
 )
 from arealens.functions.rates import confidence_grade, coverage_score, round_half_even
 from arealens.functions.text import append_note
-from arealens.operators.assign import join_assignments
+from arealens.operators.assign import join_assignments, one_assignment_per_id
+from arealens.operators.materialize import materialize
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -181,46 +182,59 @@ def _rate(part: Column, whole: Column) -> Column:
     return round_half_even(_share(part, whole), 4)
 
 
-def completeness(incidents: DataFrame, assignments: DataFrame, annual: DataFrame) -> DataFrame:
-    """The seven completeness rates as (metric, value) rows."""
-    n = F.coalesce(F.col("incident_count"), F.lit(1))
+MEASURES = {
+    "date_completeness_rate": "dated",
+    "coordinate_completeness_rate": "located",
+    "zip_completeness_rate": "keyed",
+    "zcta_assignment_rate": "assigned",
+    "spatial_assignment_rate": "spatial",
+    "offense_classification_rate": "classified",
+}
 
-    def total(cond: Column) -> Column:
-        return F.sum(F.when(cond, n).otherwise(F.lit(0)))
 
-    own = incidents.agg(
-        F.sum(n).alias("_all"),
-        total(F.col("occurred_date").isNotNull()).alias("_dated"),
-        total(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).alias("_located"),
-        total(F.col("zcta_from_zip").isNotNull()).alias("_keyed"),
-        total(F.col("offense_group") != "unknown").alias("_classified"),
-    )
-    joined = join_assignments(incidents, assignments)
-    m = F.col("incident_count")
-    placed = joined.agg(
-        F.sum(F.when(F.col("zcta").isNotNull(), m).otherwise(F.lit(0))).alias("_assigned"),
-        F.sum(F.when(F.col("assignment_method") == "spatial_join", m).otherwise(F.lit(0))).alias("_spatial"),
-    )
-    covered = annual.agg(F.count(F.lit(1)).alias("_areas"), F.count(POPULATION).alias("_with_population"))
-    # Three single-row aggregates, brought into one row as named values.
-    values = [
-        df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("long").alias("v")) for c in df.columns])).alias("_v"))
-        for df in (own, placed, covered)
-    ]
-    named = values[0].unionByName(values[1]).unionByName(values[2])
-    row = named.agg(*[F.max(F.when(F.col("_v.k") == c, F.col("_v.v"))).alias(c) for df in (own, placed, covered) for c in df.columns])
-    whole = F.col("_all")
-    metrics = {
-        "date_completeness_rate": _rate(F.col("_dated"), whole),
-        "coordinate_completeness_rate": _rate(F.col("_located"), whole),
-        "zip_completeness_rate": _rate(F.col("_keyed"), whole),
-        "zcta_assignment_rate": _rate(F.col("_assigned"), whole),
-        "spatial_assignment_rate": _rate(F.col("_spatial"), whole),
-        "offense_classification_rate": _rate(F.col("_classified"), whole),
-        "population_coverage_rate": _rate(F.col("_with_population"), F.col("_areas")),
+def placed_incidents(incidents: DataFrame, assignments: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Incidents counted per id, ``extra`` columns and flags (``weight`` incidents in ``rows`` rows), with what their assignment says.
+
+    Everything the completeness measures and the report count is in these rows.
+    """
+    n = F.coalesce(F.col("incident_count"), F.lit(1))
+    flags = {
+        "dated": F.col("occurred_date").isNotNull(),
+        "located": F.col("latitude").isNotNull() & F.col("longitude").isNotNull(),
+        "keyed": F.col("zcta_from_zip").isNotNull(),
+        "classified": F.col("offense_group") != "unknown",
     }
-    cells = F.array(*[F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in metrics.items()])
-    return row.select(F.explode(cells).alias("_c")).select("_c.metric", "_c.value")
+    counted = (
+        incidents.select("incident_id", *(extra or []), n.alias("weight"), *[c.alias(f) for f, c in flags.items()])
+        .groupBy("incident_id", *(extra or []), *flags)
+        .agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("rows"))
+    )
+    joined = counted.join(one_assignment_per_id(assignments), "incident_id", "left")
+    return joined.withColumns({"assigned": F.col("zcta").isNotNull(), "spatial": F.col("assignment_method") == "spatial_join"}).drop("zcta")
+
+
+def _measured() -> list[Column]:
+    """Weighted sums of every flag, and of all rows."""
+    sums = [F.sum(F.when(F.col(f), F.col("weight")).otherwise(F.lit(0))).alias(f) for f in MEASURES.values()]
+    return [F.sum("rows").alias("rows"), F.sum("weight").alias("weight"), *sums]
+
+
+def _cells(values: dict[str, Column], section: str | None = None) -> Column:
+    """An array of (section,) metric and value."""
+    head = [F.lit(section).alias("section")] if section else []
+    return F.array(*[F.struct(*head, F.lit(k).alias("metric"), v.cast("double").alias("value")) for k, v in values.items()])
+
+
+def _population_rate(annual: DataFrame) -> DataFrame:
+    return annual.agg(_rate(F.count(POPULATION), F.count(F.lit(1))).alias("rate"))
+
+
+def completeness(incidents: DataFrame, assignments: DataFrame, annual: DataFrame) -> DataFrame:
+    """The seven completeness rates as (metric, value) rows; one pass over each table."""
+    sums = placed_incidents(incidents, assignments).agg(*_measured())
+    rates = sums.select(F.explode(_cells({m: _rate(F.col(f), F.col("weight")) for m, f in MEASURES.items()})).alias("c"))
+    people = _population_rate(annual).select(F.explode(_cells({"population_coverage_rate": F.col("rate")})).alias("c"))
+    return rates.unionByName(people).select("c.metric", "c.value")
 
 
 def duplicate_metrics(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -240,32 +254,67 @@ def top_records(df: DataFrame, column: str, limit: int = 20, tie: list[str] | No
     return df.select(*shown).orderBy(F.col(column).desc_nulls_last(), *ties).limit(limit)
 
 
-def quality_report(incidents: DataFrame, assignments: DataFrame, annual: DataFrame, index: DataFrame) -> DataFrame:
-    """The whole report as (section, metric, value) rows."""
+def _grouped(df: DataFrame, sets: list[list[str]], columns: list[str], values: list[Column]) -> DataFrame:
+    """All grouping sets in one pass; ``grouping`` tells them apart by their position in ``sets``."""
+    width = len(columns)
+    number = [sum(1 << (width - 1 - columns.index(c)) for c in columns if c not in keys) for keys in sets]
+    grouping = F.element_at(F.create_map(*[F.lit(v) for pair in ((n, i) for i, n in enumerate(number)) for v in pair]), F.grouping_id().cast("int"))
+    return df.groupingSets(sets, *columns).agg(grouping.alias("grouping"), *values)
+
 
-    def section(df: DataFrame, name: str, keys: list[str], value: str) -> DataFrame:
-        metric = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-        return df.select(F.lit(name).alias("section"), metric.alias("metric"), F.col(value).cast("double").alias("value"))
+def _section(name: str, keys: list[str], value: str, missing: str | None = None) -> Column:
+    """One report row; where a key is NULL it reads ``missing``, or the row is left out."""
+    texts = [F.col(k).cast("string") for k in keys]
+    metric = F.concat_ws("|", *[F.coalesce(t, F.lit(missing)) if missing else t for t in texts])
+    row = F.array(F.struct(F.lit(name).alias("section"), metric.alias("metric"), F.col(value).cast("double").alias("value")))
+    return row if missing else F.when(reduce(lambda a, b: a & b, [t.isNotNull() for t in texts]), row)
 
-    placed = join_assignments(incidents, assignments)
-    duplicates = duplicate_metrics(incidents, ["incident_id"])
+
+def quality_report(incidents: DataFrame, assignments: DataFrame, annual: DataFrame, index: DataFrame) -> DataFrame:
+    """The whole report as (section, metric, value) rows.
+
+    Each table is read once: what is counted of incidents is stored per id, and counted for all sections by
+    grouping sets; the columns that the report shows of the other tables are stored too.
+    """
+    assigned = materialize(assignments.select("incident_id", "zcta", "assignment_method"), "assigned")
+    placed = materialize(placed_incidents(incidents, assigned, ["source_name", "occurred_year", "offense_group"]), "placed")
+    areas = materialize(annual.select(AREA, YEAR, POPULATION, "total_rate_per_1000", "violent_rate_per_1000"), "areas")
+    graded = ["comparison_scope", "data_source_type", "is_modeled", "confidence_grade"]
+    scores = materialize(index.select(AREA, YEAR, *graded, "overall_incident_score_0_100"), "scores")
+
+    facts = _grouped(
+        placed,
+        [[], ["assignment_method"], ["offense_group"], ["source_name", "occurred_year"]],
+        ["assignment_method", "offense_group", "source_name", "occurred_year"],
+        _measured(),
+    )
+    methods, groups = ["assignment_method"], ["offense_group"]
+    rates = _cells({m: _rate(F.col(f), F.col("weight")) for m, f in MEASURES.items()}, "completeness")
+    of_facts = F.when(F.col("grouping") == 0, rates)
+    of_facts = of_facts.when(F.col("grouping") == 1, _section("assignment_method_incident_counts", methods, "weight", "null"))
+    of_facts = of_facts.when(
+        F.col("grouping") == 2,
+        F.concat(_section("offense_group_counts", groups, "rows", "null"), _section("offense_group_incident_counts", groups, "weight", "null")),
+    ).otherwise(_section("year_coverage", ["source_name", "occurred_year"], "rows"))
+    sums = _grouped(scores, [graded[:3], graded[3:], [graded[0], graded[3]]], graded, [F.count(F.lit(1)).alias("rows")])
+    of_scores = F.when(F.col("grouping") == 0, _section("index_scope_counts", graded[:3], "rows"))
+    of_scores = of_scores.when(F.col("grouping") == 1, _section("confidence_grade_counts", graded[3:], "rows", "null"))
+    of_scores = of_scores.otherwise(_section("confidence_grade_counts_by_scope", [graded[0], graded[3]], "rows"))
+    per_id = placed.groupBy("incident_id").agg(F.sum("rows").alias("rows")).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("ids"))
+    extra = F.coalesce(F.col("rows") - F.col("ids"), F.lit(0))
+    copies = {"duplicate_incident_id_count": extra, "duplicate_rate": _rate(extra, F.coalesce("rows", F.lit(0)))}
     parts = [
-        section(completeness(incidents, assignments, annual), "completeness", ["metric"], "value"),
-        section(duplicates.withColumn("m", F.lit("duplicate_incident_id_count")), "duplicates", ["m"], "duplicate_incident_id_count"),
-        section(duplicates.withColumn("m", F.lit("duplicate_rate")), "duplicates", ["m"], "duplicate_rate"),
-        section(value_counts(assignments, "assignment_method"), "assignment_method_counts", ["assignment_method"], "row_count"),
-        section(weighted_value_counts(placed, "assignment_method"), "assignment_method_incident_counts", ["assignment_method"], "incident_total"),
-        section(value_counts(incidents, "offense_group"), "offense_group_counts", ["offense_group"], "row_count"),
-        section(weighted_value_counts(incidents, "offense_group"), "offense_group_incident_counts", ["offense_group"], "incident_total"),
-        section(key_counts(incidents, ["source_name", "occurred_year"]), "year_coverage", ["source_name", "occurred_year"], "row_count"),
-        section(key_counts(index, ["comparison_scope", "data_source_type", "is_modeled"]), "index_scope_counts", ["comparison_scope", "data_source_type", "is_modeled"], "row_count"),
-        section(value_counts(index, "confidence_grade"), "confidence_grade_counts", ["confidence_grade"], "row_count"),
-        section(key_counts(index, ["comparison_scope", "confidence_grade"]), "confidence_grade_counts_by_scope", ["comparison_scope", "confidence_grade"], "row_count"),
+        facts.select(F.explode(of_facts).alias("r")),
+        sums.select(F.explode(of_scores).alias("r")),
+        _population_rate(areas).select(F.explode(_cells({"population_coverage_rate": F.col("rate")}, "completeness")).alias("r")),
+        per_id.select(F.explode(_cells(copies, "duplicates")).alias("r")),
+        value_counts(assigned, "assignment_method").select(F.explode(_section("assignment_method_counts", methods, "row_count")).alias("r")),
     ]
     for name, df, column in (
-        ("top_total_rate_outliers", annual, "total_rate_per_1000"),
-        ("top_violent_rate_outliers", annual, "violent_rate_per_1000"),
-        ("top_overall_scores", index, "overall_incident_score_0_100"),
+        ("top_total_rate_outliers", areas, "total_rate_per_1000"),
+        ("top_violent_rate_outliers", areas, "violent_rate_per_1000"),
+        ("top_overall_scores", scores, "overall_incident_score_0_100"),
     ):
-        parts.append(section(top_records(df, column), name, [AREA, YEAR], column))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        metric = F.concat_ws("|", F.col(AREA), F.col(YEAR).cast("string"))
+        parts.append(top_records(df, column).select(F.struct(F.lit(name).alias("section"), metric.alias("metric"), F.col(column).cast("double").alias("value")).alias("r")))
+    return reduce(lambda a, b: a.unionByName(b), parts).select("r.section", "r.metric", "r.value")

@@ -159,6 +159,27 @@ def attach_outcomes(df: DataFrame, outcomes: DataFrame, columns: list[str], grou
     return out.select(*kept, *[names[i] for i in range(len(columns)) for names in outputs.values()])
 
 
+def fixed_domain_percentiles(df: DataFrame, column: str, name: str, groups: list[str], digits: int = 1) -> DataFrame:
+    """Average-rank percentiles of a column of few possible values: numbers of ``digits`` decimals in a fixed range.
+
+    As in :func:`value_outcomes`, but a group has no more distinct values than the range has, so they are counted and summed
+    up in their order without any splitting of ranges.
+    """
+    df = materialize(df, "rows")
+    place = F.rint(F.col(column).cast("double") * 10.0**digits).cast("long")
+    counted = df.where(F.col(column).isNotNull()).groupBy(*groups, place.alias("_place")).agg(F.count(F.lit(1)).alias("cnt"))
+    group = Window.partitionBy(*groups)
+    n, low, high = F.sum("cnt").over(group), F.min("_place").over(group), F.max("_place").over(group)
+    before = F.coalesce(F.sum("cnt").over(group.orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rank = before.cast("double") + (F.col("cnt").cast("double") + 1.0) / 2.0
+    percentile = F.when((low == high) & (low == 0), F.lit(0.0)).when(n == 1, F.lit(0.5)).otherwise((rank - 1.0) / (n.cast("double") - 1.0))
+    lookup = counted.select(*[F.col(k).alias(f"_g_{k}") for k in groups], "_place", percentile.alias(name))
+    match = place == F.col("_place")
+    for k in groups:
+        match = match & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    return df.join(lookup, match, "left").select(*[c for c in df.columns if c != name], name)
+
+
 def global_row_number(df: DataFrame, order: list, name: str) -> DataFrame:
     """1..n in the given total order, without one global sort task."""
     parts = ranged(df, order, "ranked")

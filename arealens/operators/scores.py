@@ -36,7 +36,7 @@ from arealens.functions.rates import (
 )
 from arealens.operators.aggregate import add_rates
 from arealens.operators.materialize import materialize
-from arealens.operators.ranking import attach_outcomes, value_outcomes
+from arealens.operators.ranking import attach_outcomes, fixed_domain_percentiles, value_outcomes
 
 
 def winsorize(
@@ -156,7 +156,8 @@ def score_rates(
 
 
 def add_overall_percentile(df: DataFrame, groups: list[str] | None = None) -> DataFrame:
-    ranked = percentile_ranks(df, {OVERALL_SCORE: "overall_percentile"}, groups or SCOPE_COLUMNS)
+    """Percentile of the composite, which has one decimal between 0 and 100."""
+    ranked = fixed_domain_percentiles(df, OVERALL_SCORE, "overall_percentile", groups or SCOPE_COLUMNS)
     return ranked.withColumn("percentile_rank", F.col("overall_percentile"))
 
 

@@ -147,19 +147,15 @@ def annual_counts(spark, folder):
     return part_annual(spark, folder).select("zcta", "year", "population_total", *COUNT_COLUMNS)
 
 
-EMPTY_INC = "few AS (SELECT * FROM inc WHERE cat = 'violent')"
-
-
 @query("annual_with_empty", f"""
-WITH {INC}, {POP}, {EMPTY_INC},
-cnt AS (SELECT zcta, year, {counts()} FROM few GROUP BY zcta, year),
+WITH {INC}, {POP},
+cnt AS (SELECT zcta, year, {counts()} FROM inc GROUP BY zcta, year),
 uni AS (SELECT zcta, year FROM pop UNION SELECT zcta, year FROM cnt),
 ann AS (SELECT u.zcta, u.year, p.population_total, {", ".join(f"coalesce(c.{c}, 0) AS {c}" for c in ["total_incident_count", *[f"{x}_incident_count" for x in CATS]])}
         FROM uni u LEFT JOIN cnt c USING (zcta, year) LEFT JOIN pop p USING (zcta, year))
 SELECT *, {rates()} FROM ann""")
 def annual_with_empty(spark, folder):
-    few = line_incidents(spark, folder).where(F.col("offense_group") == "violent")
-    return annual_aggregates(few, part_population(spark, folder), include_population_only=True)
+    return part_annual(spark, folder, include_population_only=True)
 
 
 @query("monthly_counts", f"""
@@ -174,11 +170,10 @@ def monthly_counts(spark, folder):
 
 
 @query("safe_rates", f"""{BASE},
-pc AS (SELECT zcta, year, {COUNTS}, population_total // 2 AS population_total FROM ann WHERE population_total IS NULL OR population_total <> 200)
+pc AS (SELECT zcta, year, {COUNTS}, population_total // 2 AS population_total FROM ann)
 SELECT zcta, year, population_total AS adults, {rates()} FROM pc""")
 def safe_rates(spark, folder):
-    annual = part_annual(spark, folder).where(F.col("population_total").isNull() | (F.col("population_total") != 200))
-    halved = annual.select("zcta", "year", *COUNT_COLUMNS, F.expr("population_total div 2").alias("adults"))
+    halved = part_annual(spark, folder).select("zcta", "year", *COUNT_COLUMNS, F.expr("population_total div 2").alias("adults"))
     return add_rates(halved, population="adults").select("zcta", "year", "adults", *RATE_COLUMNS)
 
 

@@ -40,20 +40,17 @@ def line_incidents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def line_years(spark: SparkSession, folder: str):
-    """Generator of the years that order lines have."""
-    years = table(spark, folder, "lineitem").select(F.year("l_shipdate").alias("y")).where("y is not null").distinct().collect()
-    return F.explode(F.array(*[F.lit(r["y"]) for r in sorted(years)]).cast("array<int>"))
+def each_line_year(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
+    """``rows`` once for each ``year`` that order lines have; the years are one row, found by the query itself."""
+    years = table(spark, folder, "lineitem").agg(F.collect_set(F.year("l_shipdate")).alias("_years"))
+    return rows.join(F.broadcast(years)).withColumn("year", F.explode("_years")).drop("_years")
 
 
 def part_population(spark: SparkSession, folder: str) -> DataFrame:
     """Residents per part and year of the order lines; some are zero, some unknown."""
     people = F.expr("CASE WHEN p_size = 50 THEN 0 WHEN p_size < 49 THEN p_size * 100 END").cast("long")
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").cast("string").alias("zcta"),
-        line_years(spark, folder).alias("year"),
-        people.alias("population_total"),
-    )
+    parts = table(spark, folder, "part").select(F.col("p_partkey").cast("string").alias("zcta"), people.alias("population_total"))
+    return each_line_year(spark, folder, parts).select("zcta", "year", "population_total")
 
 
 def part_annual(spark: SparkSession, folder: str, include_population_only: bool = False) -> DataFrame:
@@ -150,12 +147,12 @@ def part_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def agency_offenses(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines as agency table rows of their supplier's county; suppliers 5, 14, 23, ... report nothing."""
-    li = table(spark, folder, "lineitem").where(F.expr("l_suppkey % 9 <> 5"))
+    """Order lines as agency table rows of their supplier's county; those of suppliers 5, 14, 23, ... lie in counties without people."""
+    li = table(spark, folder, "lineitem")
     sup = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     number = F.expr("CASE l_returnflag WHEN 'A' THEN '8' WHEN 'N' THEN '10' ELSE '11' END")
     return li.join(sup, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("l_suppkey").cast("string").alias("county_fips"),
+        F.expr("concat(CASE WHEN l_suppkey % 9 = 5 THEN 'X' ELSE '' END, l_suppkey)").alias("county_fips"),
         F.col("s_name").alias("county_name"),
         F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("state_code"),
         F.lit("").alias("state_name"),

@@ -13,7 +13,7 @@ from arealens.operators.incidents import (
     stage_sources,
 )
 from arealens.plans.bindings import scratch, supplier_polygons
-from arealens.plans.checks import digest_sql
+from arealens.plans.checks import SHAPES, digest_sql
 from arealens.plans.registry import query, table
 from arealens.sinks.writers import export_table
 from arealens.sources.lineage import content_fingerprint, file_lineage, raw_payloads, row_digest, source_profile, typed_records
@@ -119,11 +119,12 @@ def source_profiles(spark, folder):
 WITH f AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders WHERE o_orderstatus = 'F')
 SELECT sha256('orders_feed|orders.parquet|' || CAST(n AS VARCHAR)) AS raw_record_id, 'orders.parquet' AS raw_file_id,
   'orders_feed' AS source_name, n AS source_row_number,
-  '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"F","o_orderpriority":"' || o_orderpriority || '"}' AS raw_payload_json
+  '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"F","o_totalprice":' || o_totalprice || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000') ||
+  '","o_orderpriority":"' || o_orderpriority || '"}' AS raw_payload_json
 FROM f""")
 def raw_payload_archive(spark, folder):
     orders = table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
+        "*",
         F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_position"),
     )
     kept = apply_row_filters(orders, {"include": [{"column": "o_orderstatus", "values": ["F"]}]})
@@ -379,10 +380,16 @@ def json_feeds(spark, folder):
     return read_tabular(spark, path).select("doc_id", "text").unionByName(read_tabular(spark, other).select("doc_id", "text"))
 
 
-@query("geometry_parquet", """
-SELECT lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS zcta, CASE s_nationkey % 4 WHEN 1 THEN '32' WHEN 2 THEN NULL ELSE '06' END AS state_fips,
-  'POLYGON (' AS kind, CAST(2021 AS INTEGER) AS source_year FROM supplier WHERE s_suppkey < 100000""")
+@query("geometry_parquet", f"""WITH {SHAPES},
+k AS (SELECT *, CAST(zcta AS BIGINT) % 100000 AS id, row_number() OVER (PARTITION BY CAST(zcta AS BIGINT) % 100000 ORDER BY zcta DESC) AS rn FROM shp)
+SELECT lpad(CAST(id AS VARCHAR), 5, '0') AS zcta, state_fips, 1 + CASE kind WHEN 0 THEN 4 WHEN 1 THEN 9 ELSE 3 END AS positions, x AS first_lon, y AS first_lat, CAST(2021 AS INTEGER) AS source_year
+FROM k WHERE rn = 1""")
 def geometry_parquet(spark, folder):
+    """Polygons of all suppliers; of those that share the last five digits the one with the largest key stays."""
     path = scratch(spark, "polygons") + ".parquet"
-    supplier_polygons(spark, folder).where("length(ltrim('0', zcta)) <= 5").selectExpr("right(zcta, 5) AS GEOID", "state_fips AS STATEFP", "geom_wkt").write.parquet(path)
-    return read_geometries(spark, path, 2021).select("zcta", "state_fips", F.substring("geom_wkt", 1, 9).alias("kind"), "source_year")
+    supplier_polygons(spark, folder).selectExpr("right(zcta, 5) AS GEOID", "state_fips AS STATEFP", "geom_wkt", "cast(zcta AS bigint) AS position").write.parquet(path)
+    shape = F.regexp_extract("geom_wkt", r"\(\(([-0-9.]+) ([-0-9.]+)", 1).cast("double"), F.regexp_extract("geom_wkt", r"\(\(([-0-9.]+) ([-0-9.]+)", 2).cast("double")
+    positions = F.regexp_count("geom_wkt", F.lit("[0-9] -?[0-9]")).cast("long")
+    return read_geometries(spark, path, 2021, "position").select(
+        "zcta", "state_fips", positions.alias("positions"), shape[0].alias("first_lon"), shape[1].alias("first_lat"), "source_year"
+    )

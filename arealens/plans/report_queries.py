@@ -24,6 +24,7 @@ from arealens.operators.groups import (
     missing_members,
     requested_members,
 )
+from arealens.operators.materialize import materialize
 from arealens.operators.quality import (
     completeness,
     duplicate_metrics,
@@ -54,7 +55,8 @@ from arealens.sinks.bundle import (
     status_histogram,
     write_documents,
 )
-from arealens.sinks.writers import append_aligned, consumer_view, export_table, replace_partitions, replace_sources
+from arealens.sinks.slices import append_slices, read_slices, replace_slices
+from arealens.sinks.writers import append_aligned, consumer_view, export_table, replace_sources
 
 # --- crosswalk files and names --------------------------------------------------
 
@@ -216,7 +218,7 @@ def name_county_resolution(spark, folder):
 
 UNIVERSE = """uni AS (SELECT CAST(p_partkey AS VARCHAR) AS zcta, CAST(CASE WHEN p_size = 50 THEN 0 ELSE p_size * 2000 END AS BIGINT) AS population_total FROM part),
 ob AS (SELECT CAST(l_partkey AS VARCHAR) AS zcta, CASE WHEN l_quantity < 2 THEN 'observed' WHEN l_quantity < 3 THEN NULL ELSE 'partial_observed' END AS coverage_status
-       FROM lineitem WHERE l_quantity < 4),
+       FROM lineitem),
 seen AS (SELECT DISTINCT zcta FROM ob WHERE coalesce(coverage_status, 'observed') = 'observed'),
 b AS (SELECT u.*, s.zcta IS NOT NULL AS seen, u.population_total > 0 AS ok FROM uni u LEFT JOIN seen s USING (zcta))"""
 
@@ -228,7 +230,7 @@ def _universe(spark, folder):
 
 
 def _observed(spark, folder):
-    return table(spark, folder, "lineitem").where("l_quantity < 4").selectExpr(
+    return table(spark, folder, "lineitem").selectExpr(
         "cast(l_partkey AS string) AS zcta",
         "CASE WHEN l_quantity < 2 THEN 'observed' WHEN l_quantity < 3 THEN NULL ELSE 'partial_observed' END AS coverage_status",
     )
@@ -321,9 +323,9 @@ def outliers(spark, folder):
     return top.withColumn("total_rate_per_1000", F.round("total_rate_per_1000", 9))
 
 
-def _plain_index(spark, folder):
+def _plain_index(annual):
     """Annual rows with the descriptive columns a finished index has."""
-    return part_annual(spark, folder).selectExpr(
+    return annual.selectExpr(
         "*", "CASE WHEN year < 1998 THEN 'source_universe' ELSE 'state' END AS comparison_scope", "CASE WHEN population_total > 0 THEN 'observed' ELSE 'modeled' END AS data_source_type",
         "total_incident_count > 150 AS is_modeled", "CASE WHEN population_total >= 1000 THEN 'B' WHEN population_total > 0 THEN 'C' END AS confidence_grade",
         "round(total_rate_per_1000 / 100, 6) AS overall_incident_score_0_100",
@@ -349,9 +351,8 @@ UNION ALL (SELECT 'top_violent_rate_outliers', zcta || '|' || CAST(year AS VARCH
 UNION ALL (SELECT 'top_overall_scores', zcta || '|' || CAST(year AS VARCHAR), round(total_rate_per_1000 / 100, 6) FROM ann ORDER BY round(total_rate_per_1000 / 100, 6) DESC NULLS LAST, zcta, year LIMIT 20))
 SELECT section, metric, round(CAST(value AS DOUBLE), 6) AS value FROM allrows""")
 def report(spark, folder):
-    out = quality_report(
-        undated_lines(spark, folder), part_assignments(spark, folder), part_annual(spark, folder), _plain_index(spark, folder)
-    )
+    annual = materialize(part_annual(spark, folder), "annual")
+    out = quality_report(undated_lines(spark, folder), part_assignments(spark, folder), annual, _plain_index(annual))
     return out.withColumn("value", F.round("value", 6))
 
 
@@ -508,13 +509,15 @@ def geojson_rows(spark, folder):
 
 
 @query("replace_by_key", """
-SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS prio, CAST(o_orderkey + CASE WHEN year(o_orderdate) = 1997 THEN 1000000 ELSE 0 END AS BIGINT) AS k FROM orders""")
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS prio, CAST(o_orderkey + CASE WHEN year(o_orderdate) = 1997 THEN 1000000 ELSE 0 END AS BIGINT) AS k
+FROM orders WHERE year(o_orderdate) <> 1995""")
 def replace_by_key(spark, folder):
+    """All years, then a year with new rows and one without any."""
     orders = table(spark, folder, "orders").selectExpr("o_orderkey AS k", "o_orderpriority AS prio", "year(o_orderdate) AS year")
     path = scratch(spark, "by-year")
-    replace_partitions(orders, path, ["year"])
-    replace_partitions(orders.where("year = 1997").withColumn("k", F.col("k") + 1_000_000), path, ["year"])
-    return spark.read.parquet(path).select("k", "prio", "year")
+    replace_slices(orders, path, ["year"])
+    replace_slices(orders.where("year = 1997").withColumn("k", F.col("k") + 1_000_000), path, ["year"], [(1997,), (1995,)])
+    return read_slices(spark, path).select("k", "prio", "year")
 
 
 @query("replace_source", """
@@ -524,7 +527,20 @@ def replace_source(spark, folder):
     path = scratch(spark, "by-source")
     replace_sources(events, path)
     replace_sources(events.where("source_name = 'feed_view'").withColumn("value", F.col("value") * 2), path)
-    return spark.read.parquet(path).select("source_name", "event_id", "value")
+    return read_slices(spark, path).select("source_name", "event_id", "value")
+
+
+@query("earlier_state", """
+SELECT o_orderstatus AS status, 2 AS state, count(*) AS row_count, sum(o_orderkey) AS keys FROM orders GROUP BY 1
+UNION ALL SELECT o_orderstatus, 1, count(*), sum(o_orderkey) + count(*) FROM orders GROUP BY 1""")
+def earlier_state(spark, folder):
+    """A committed table after and before a rewrite."""
+    orders = table(spark, folder, "orders").selectExpr("o_orderstatus AS status", "o_orderkey AS k")
+    path = scratch(spark, "states")
+    replace_slices(orders.withColumn("k", F.col("k") + 1), path, ["status"])
+    replace_slices(orders, path, ["status"])
+    both = read_slices(spark, path).withColumn("state", F.lit(2)).unionByName(read_slices(spark, path, 1).withColumn("state", F.lit(1)))
+    return both.groupBy("status", "state").agg(F.count(F.lit(1)).alias("row_count"), F.sum("k").alias("keys"))
 
 
 @query("aligned_append", """
@@ -536,6 +552,19 @@ def aligned_append(spark, folder):
     return append_aligned(events, orders)
 
 
+@query("stored_append", """
+SELECT CAST(event_id AS VARCHAR) AS id, event_type AS kind, value AS amount FROM events
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), NULL, o_totalprice FROM orders""")
+def stored_append(spark, folder):
+    """The same append into a stored table."""
+    events = table(spark, folder, "events").selectExpr("cast(event_id AS string) AS id", "event_type AS kind", "value AS amount")
+    orders = table(spark, folder, "orders").selectExpr("o_orderstatus AS extra", "o_totalprice AS amount", "cast(o_orderkey AS string) AS id")
+    path = scratch(spark, "appended")
+    append_slices(events, path, [])
+    append_slices(orders, path, [])
+    return read_slices(spark, path)
+
+
 @query("export_roundtrip", f"""{BASE} SELECT zcta, CAST(year AS VARCHAR) AS year, CAST(total_incident_count AS VARCHAR) AS total_incident_count, CAST(population_total AS VARCHAR) AS population_total FROM ann""")
 def export_roundtrip(spark, folder):
     path = scratch(spark, "export") + ".csv"

@@ -35,7 +35,7 @@ from arealens.operators.scores import (
 )
 from arealens.plans.area_queries import AREA_COVERAGE, DATED, RATIOS
 from arealens.plans.bindings import (
-    line_years,
+    each_line_year,
     agency_offenses,
     brand_states,
     line_incidents,
@@ -217,9 +217,9 @@ COUNTY_POP = """cpop AS (
   FROM xw JOIN pop USING (zcta) GROUP BY 1, 2, 3, 4, 5)"""
 
 COUNTY_ANN = """off AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS county_fips, year(l_shipdate) AS year, CASE WHEN l_quantity < 49 THEN l_quantity ELSE 0 END AS v,
+  SELECT CASE WHEN l_suppkey % 9 = 5 THEN 'X' ELSE '' END || CAST(l_suppkey AS VARCHAR) AS county_fips, year(l_shipdate) AS year, CASE WHEN l_quantity < 49 THEN l_quantity ELSE 0 END AS v,
     l_linenumber * 2 AS p, CASE l_returnflag WHEN 'A' THEN '8' WHEN 'N' THEN '10' ELSE '11' END AS tn, l_linenumber < 6 AS labelled
-  FROM lineitem WHERE l_suppkey % 9 <> 5),
+  FROM lineitem),
 cagg AS (SELECT county_fips, CAST(year AS INTEGER) AS year, CAST(sum(v) AS BIGINT) AS violent_incident_count, CAST(sum(p) AS BIGINT) AS property_incident_count,
     CAST(sum(v) + sum(p) AS BIGINT) AS total_incident_count, count(*) FILTER (labelled) AS agency_count, count(*) FILTER (tn = '8') AS city_agency_count,
     count(*) FILTER (tn = '10') AS county_agency_count, string_agg(DISTINCT 'Table ' || tn, '|' ORDER BY 'Table ' || tn) AS source_names
@@ -228,7 +228,7 @@ cann AS (SELECT a.*, p.population_total, s.s_name AS county_name, 'N' || CAST(s.
     CASE WHEN p.population_total > 0 THEN a.total_incident_count::DOUBLE / p.population_total * 1000 END AS total_rate_per_1000,
     CASE WHEN p.population_total > 0 THEN a.violent_incident_count::DOUBLE / p.population_total * 1000 END AS violent_rate_per_1000,
     CASE WHEN p.population_total > 0 THEN a.property_incident_count::DOUBLE / p.population_total * 1000 END AS property_rate_per_1000
-  FROM cagg a LEFT JOIN cpop p USING (county_fips, year) JOIN supplier s ON CAST(s.s_suppkey AS VARCHAR) = a.county_fips)"""
+  FROM cagg a LEFT JOIN cpop p USING (county_fips, year) JOIN supplier s ON CAST(s.s_suppkey AS VARCHAR) = ltrim(a.county_fips, 'X'))"""
 
 ALLOCATION = """al0 AS (
   SELECT x.zcta, p.year, x.county_fips, c.county_name, c.state_code, x.allocation_weight AS w0, p.population_total AS zpop, c.population_total AS cp,
@@ -379,10 +379,11 @@ SELECT p.zcta, p.year, p.population_total,
 FROM pop p LEFT JOIN cov c USING (zcta, year) LEFT JOIN cty t USING (zcta)""")
 def coverage_cascade(spark, folder):
     by_area = area_coverage(counted_incidents(undated_lines(spark, folder), part_assignments(spark, folder)))
-    county = table(spark, folder, "part").where("p_size < 30").select(
-        F.col("p_partkey").cast("string").alias("zcta"), line_years(spark, folder).alias("year"),
-        F.when(F.col("p_size") > 5, F.col("p_size")).alias("county_count"), F.lit(None).cast("string").alias("source_names"),
-        F.lit("county_observed_allocated").alias("coverage_status"),
+    county = table(spark, folder, "part").select(
+        F.col("p_partkey").cast("string").alias("zcta"), F.when(F.col("p_size") > 5, F.col("p_size")).alias("county_count"),
+        F.lit(None).cast("string").alias("source_names"),
+        F.when(F.col("p_size") < 30, "county_observed_allocated").otherwise("national_modeled").alias("coverage_status"),
     )
+    county = each_line_year(spark, folder, county)
     return national_coverage(part_population(spark, folder), by_area, county, "tables", "from counties", "no source")
 

@@ -1,44 +1,17 @@
-"""Replace-by-key writes and exports."""
+"""Replaced sources, aligned rows and exports."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealens.constants import AREA, CONSUMER_COLUMNS
+from arealens.sinks.slices import replace_slices
 
 
-def replace_partitions(df: DataFrame, path: str, keys: list[str], values: list[tuple] | None = None) -> None:
-    """Idempotent write: only the key values present in ``df`` are replaced, others stay.
-
-    ``values`` names the key values to replace (one tuple per slice); those without rows in ``df`` are cleared.
-    """
-    for value in values or []:
-        _clear_partition(df.sparkSession, path, dict(zip(keys, value)))
-    (
-        df.repartition(*keys, F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys]), F.lit(_spread(df))))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
-
-
-def _clear_partition(spark: SparkSession, path: str, value: dict) -> None:
-    """Remove the folder of one key value through the file system that holds the table."""
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    target = spark._jvm.org.apache.hadoop.fs.Path("/".join([path, *[f"{k}={escape(str(v))}" for k, v in value.items()]]))
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def _spread(df: DataFrame) -> int:
-    """Files per key value: a hot source is written by many tasks."""
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")) // 8)
-
-
-def replace_sources(df: DataFrame, path: str, sources: list[str] | None = None) -> None:
+def replace_sources(df: DataFrame, path: str, sources: list[str] | None = None) -> int:
     """Re-ingest the sources in ``df`` and keep all others; of ``sources``, those now without rows are emptied."""
-    replace_partitions(df, path, ["source_name"], [(s,) for s in sources or []])
+    return replace_slices(df, path, ["source_name"], [(s,) for s in sources or []])
 
 
 def align_columns(df: DataFrame, target: list[str]) -> DataFrame:

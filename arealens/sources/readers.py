@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealens.functions.geo import point_wkt
+from arealens.functions.geo import point_wkt, polygon_wkt
+from arealens.sources.framed import BYTEWISE, feature_records, land_json_lines, quoted_rows
 
 BYTE_ORDER_MARK = chr(0xFEFF)
 FEATURE = "properties:map<string,string>,geometry:struct<type:string,coordinates:string>"
@@ -35,22 +36,27 @@ def read_csv_text(
     """All columns as text (the header line fixes the schema), cast later by expressions.
 
     A quote inside a quoted field is doubled. ``multi_line`` admits line ends inside quotes; such a file
-    cannot be split among tasks. Fields equal to a word of ``missing`` are NULL.
+    is split by :func:`quoted_rows`, unless its encoding is not bytewise. Fields equal to a word of ``missing`` are NULL.
     """
+    if multi_line and (encoding or "utf-8").lower() in BYTEWISE:
+        rows = quoted_rows(spark, path, sep, encoding, skip_bad_lines)
+        return _without_words(rows, missing)
     reader = spark.read.option("header", True).option("inferSchema", False).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
     if encoding:
         reader = reader.option("encoding", {"latin1": "ISO-8859-1"}.get(encoding.lower(), encoding))
     if skip_bad_lines:
         reader = reader.option("mode", "DROPMALFORMED")
-    rows = reader.csv(path)
+    return _without_words(reader.csv(path), missing)
+
+
+def _without_words(rows: DataFrame, missing: tuple[str, ...]) -> DataFrame:
     return rows.select(*[F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in rows.columns]) if missing else rows
 
 
 def read_tabular(spark: SparkSession, path: str, options: dict | None = None, fmt: str | None = None) -> DataFrame:
-    """CSV, JSON array, JSON lines, GeoJSON (array file or one feature per line) or Parquet.
+    """CSV, JSON array, JSON lines, GeoJSON (collection or one feature per line) or Parquet.
 
-    Single-document JSON and GeoJSON files are read by one task each; land large feeds as
-    lines or Parquet so that they split.
+    Single documents are split too (:mod:`arealens.sources.framed`), at the price of two passes over their text.
     """
     options, kind = options or {}, fmt or file_format(path)
     if kind == "csv":
@@ -59,7 +65,7 @@ def read_tabular(spark: SparkSession, path: str, options: dict | None = None, fm
             bool(options.get("multi_line")), tuple(options.get("missing", MISSING_WORDS)),
         )
     if kind == "json":
-        return spark.read.option("multiLine", True).json(path)
+        return spark.read.json(land_json_lines(spark, path))
     if kind == "jsonl":
         return spark.read.json(path)
     if kind == "parquet":
@@ -71,12 +77,12 @@ def read_features(spark: SparkSession, path: str, lines: bool = False) -> DataFr
     """GeoJSON features: ``properties`` (map) and ``geometry`` (type, coordinates as JSON text)."""
     if lines:
         return spark.read.schema(FEATURE.replace(":map", " map").replace("geometry:", "geometry ")).json(path)
-    collections = spark.read.option("multiLine", True).schema(f"features array<struct<{FEATURE}>>").json(path)
-    return collections.select(F.explode("features").alias("f")).select("f.properties", "f.geometry")
+    found = feature_records(spark, path).select(F.from_json("record", f"struct<type:string,{FEATURE}>").alias("f"))
+    return found.where("coalesce(f.type, 'Feature') = 'Feature' AND (f.type IS NOT NULL OR f.geometry IS NOT NULL)").select("f.properties", "f.geometry")
 
 
 def feature_points(features: DataFrame) -> DataFrame:
-    """Point features with ``longitude``, ``latitude`` and ``geometry_wkt`` beside the properties map."""
+    """Features with ``geometry_wkt`` (points and polygons) and, of points, ``longitude`` and ``latitude`` beside the properties map."""
     xy = F.from_json("geometry.coordinates", "array<double>")
     is_point = F.col("geometry.type") == "Point"
     lon, lat = F.when(is_point, F.get(xy, F.lit(0))), F.when(is_point, F.get(xy, F.lit(1)))
@@ -84,7 +90,10 @@ def feature_points(features: DataFrame) -> DataFrame:
         "properties",
         lon.alias("longitude"),
         lat.alias("latitude"),
-        point_wkt(lat, lon, lat.isNotNull() & lon.isNotNull()).alias("geometry_wkt"),
+        F.coalesce(
+            point_wkt(lat, lon, lat.isNotNull() & lon.isNotNull()),
+            polygon_wkt(F.col("geometry.type"), F.col("geometry.coordinates")),
+        ).alias("geometry_wkt"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealens.constants import AREA, AREA_ID_COLUMNS, YEAR
-from arealens.functions.geo import centroid, edges_from_wkt
+from arealens.functions.geo import centroid, edges_from_wkt, polygon_wkt
 from arealens.functions.text import clean_text, five_digit_key, to_double
 from arealens.operators.crosswalk import normalize_crosswalk
 from arealens.sources.readers import BYTE_ORDER_MARK, file_format, read_csv_text, read_features, read_tabular, sniff_separator
@@ -74,28 +74,6 @@ def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
     return normalize_crosswalk(raw, path)
 
 
-def polygon_wkt(kind: Column, coordinates: Column) -> Column:
-    """WKT from GeoJSON polygon coordinates kept as JSON text."""
-    polygon = "array<array<array<double>>>"
-    parts = F.when(kind == "Polygon", F.array(F.from_json(coordinates, polygon))).when(
-        kind == "MultiPolygon", F.from_json(coordinates, f"array<{polygon}>")
-    )
-
-    def point(p: Column) -> Column:
-        return F.concat_ws(" ", F.get(p, F.lit(0)).cast("string"), F.get(p, F.lit(1)).cast("string"))
-
-    def ring(r: Column) -> Column:
-        return F.concat(F.lit("("), F.array_join(F.transform(r, point), ", "), F.lit(")"))
-
-    def part(p: Column) -> Column:
-        return F.concat(F.lit("("), F.array_join(F.transform(p, ring), ", "), F.lit(")"))
-
-    text = F.array_join(F.transform(parts, part), ", ")
-    return F.when(kind == "Polygon", F.concat(F.lit("POLYGON "), text)).when(
-        kind == "MultiPolygon", F.concat(F.lit("MULTIPOLYGON ("), text, F.lit(")"))
-    )
-
-
 def normalize_geometries(
     features: DataFrame, source: str, year: int, id_columns: list[str] | None = None, order: Column | None = None
 ) -> DataFrame:
@@ -135,17 +113,17 @@ def normalize_geometries(
     return keep_last(rows, [AREA], F.col("_order")).drop("_order")
 
 
-def read_geometries(spark: SparkSession, path: str, year: int) -> DataFrame:
+def read_geometries(spark: SparkSession, path: str, year: int, position: str | None = None) -> DataFrame:
     """GeoJSON file(s), as one collection or one feature per line, or Parquet with a ``geom_wkt`` column.
 
-    Parquet is the form that splits; its other columns are the attributes.
+    The other columns of Parquet are the attributes; ``position`` may name one that tells which of the rows of an area is last.
     """
     if file_format(path) == "parquet":
         table = spark.read.parquet(path)
         names = [c for c in table.columns if c != "geom_wkt"]
         entries = [F.struct(F.lit(c).alias("k"), F.col(f"`{c}`").cast("string").alias("v")) for c in names]
-        shaped = table.select(F.map_from_entries(F.array(*entries)).alias("properties"), "geom_wkt")
-        return normalize_geometries(shaped.where(F.col("geom_wkt").isNotNull()), path, year)
+        shaped = table.select(F.map_from_entries(F.array(*entries)).alias("properties"), "geom_wkt", *([F.col(position).alias("_position")] if position else []))
+        return normalize_geometries(shaped.where(F.col("geom_wkt").isNotNull()), path, year, order=F.col("_position") if position else None)
     raw = read_features(spark, path, lines=file_format(path) == "geojsonl")
     shaped = raw.select("properties", polygon_wkt(F.col("geometry.type"), F.col("geometry.coordinates")).alias("geom_wkt"))
     return normalize_geometries(shaped.where(F.col("geom_wkt").isNotNull()), path, year)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealens.operators.incidents import apply_row_filters, number_copies, number_file_rows, stage_feed, stage_sources
+from arealens.sinks.slices import read_slices
 from arealens.sinks.writers import replace_sources
 from arealens.session import checkpoint_dir
 from arealens.sources.lineage import content_fingerprint, row_digest
@@ -76,7 +77,7 @@ def test_sources_are_replaced_and_emptied(spark, tmp_path):
     replace_sources(stage_sources({"north": feed("1"), "south": feed("1", "2"), "west": feed("4")}, configs), path)
     again = stage_sources({"north": feed("1"), "south": feed("3", "5", "6")}, configs, only=["south"])
     replace_sources(again, path, ["south", "west"])
-    counts = {r.source_name: r["count"] for r in spark.read.parquet(path).groupBy("source_name").count().collect()}
+    counts = {r.source_name: r["count"] for r in read_slices(spark, path).groupBy("source_name").count().collect()}
     assert counts == {"north": 1, "south": 3}
 
 
