@@ -21,6 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from arealens.llm.token_units import Pool, ragged
+from arealens.llm.words import chunks
 from arealens.operators.materialize import materialize
 
 SEQUENCE = 2048
@@ -31,8 +33,8 @@ END_ID = 1
 GAIN = 1e-3
 MAX_COLUMNS = 2000
 _CACHE_ENTRIES = 400_000
-_ASCII_BLANKS = re.compile(r"[ \t\n\v\f\r]+")
-_ODD_CONTROLS = re.compile(r"[\x1c-\x1f]")
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _LATIN = re.compile("(?:(?!<\\|)[\x21-\x7e\xa1-\u024f])*")
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|\n|[^\s\p{L}\p{N}]+")
 _BREAK = np.array(0xFFFFFFFF, "<u4")
@@ -41,7 +43,7 @@ _BREAK = np.array(0xFFFFFFFF, "<u4")
 
 
 class _Encoder:
-    """Token ids of texts as little-endian bytes; blank-separated strings are encoded once and remembered.
+    """Token ids of texts; blank-separated strings are encoded once and remembered.
 
     Sound for a tokenizer that lower-cases, drops white space, lets no token cross the pieces of
     ``_PIECES`` and ends each piece with a token marked by ``</w>``. New pieces are encoded many at a
@@ -57,24 +59,46 @@ class _Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        self.pool = Pool(self._words)
         self.pieces: dict[str, bytes] = {}
 
-    def _learn(self, new: list[str]) -> None:
-        if not _LATIN.fullmatch("".join(new)):
-            for text in [t for t in new if not _LATIN.fullmatch(t)]:
-                self.known[text] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            new = [t for t in new if _LATIN.fullmatch(t)]
-        if not new:
-            return
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of strings without ASCII white space: how many each has, and all of them."""
+        texts = [w.decode() for w in words]
+        latin = np.ones(len(texts), bool)
+        if not _LATIN.fullmatch("".join(texts)):
+            latin = np.fromiter((_LATIN.fullmatch(t) is not None for t in texts), bool, len(texts))
+        counts = np.zeros(len(texts), np.int64)
+        others = [self._ids(texts[i]) for i in np.flatnonzero(~latin)]
+        counts[~latin] = [len(o) for o in others]
+        found = self._latin_ids([t for t, ok in zip(texts, latin) if ok] if others else texts)
+        breaks = np.flatnonzero(found == _BREAK)
+        if len(breaks) != int(latin.sum()):
+            raise ValueError("the tokenizer does not mark the ends of words")
+        counts[latin] = np.diff(breaks, prepend=-1) - 1
+        ids = np.empty(int(counts.sum()), "<u4")
+        if others:
+            mine = np.repeat(latin, counts)
+            ids[mine], ids[~mine] = found[found != _BREAK], np.concatenate(others)
+        else:
+            ids[:] = found[found != _BREAK]
+        return counts, ids
+
+    def _latin_ids(self, texts: list[str]) -> np.ndarray:
+        """Ids of the texts, a break behind each."""
+        if not texts:
+            return np.zeros(0, "<u4")
         if len(self.pieces) > _CACHE_ENTRIES:
             self.pieces = {k: v for k, v in self.pieces.items() if len(k) <= 6}  # short strings come again
         self.pieces["\n"] = _BREAK.tobytes()
-        found = _PIECES.findall("\n".join(new).lower())
+        found = _PIECES.findall("\n".join(texts).lower() + "\n")
         missing = list(set(found) - self.pieces.keys())
-        for lo in range(0, len(missing), 2000):
-            some = missing[lo : lo + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+        for lo in range(0, len(missing), 20_000):
+            some = missing[lo : lo + 20_000]
+            ids = self._ids(" ".join(some))
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) != len(some):
                 raise ValueError("the tokenizer does not mark the ends of words")
@@ -82,21 +106,23 @@ class _Encoder:
             for piece, end in zip(some, (4 * last).tolist()):
                 self.pieces[piece] = data[start:end]
                 start = end
-        data, start = b"".join(map(self.pieces.__getitem__, found)), 0
-        ends = np.flatnonzero(np.frombuffer(data, "<u4") == _BREAK)
-        for text, end in zip(new, [*(4 * ends).tolist(), len(data)]):
-            self.known[text] = data[start:end]
-            start = end + 4
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_ASCII_BLANKS.split(t) if _ODD_CONTROLS.search(t) else t.split() for t in texts]
-        words = set().union(*split)
-        new = words - self.known.keys()
-        if len(self.known) + len(new) > _CACHE_ENTRIES:
-            self.known = {k: v for k, v in self.known.items() if len(k) <= 6}  # short strings come again
-            new = words - self.known.keys()
-        self._learn(list(new))
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, found)), "<u4")
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts data[offsets[i] : offsets[i + 1]], and where those of each begin (one more entry than texts)."""
+        inside = ~_BLANK[data]
+        before = np.zeros(len(data), bool)
+        before[1:] = inside[:-1]
+        first = offsets[:-1]
+        before[first[first < len(data)]] = False
+        starts = np.flatnonzero(inside & ~before)
+        if not len(starts):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        places = np.cumsum(inside)  # words stand side by side once the blanks are gone
+        words = self.pool.look_up(data[inside], np.append(places[starts] - 1, places[-1]))
+        counts = self.pool.counts[words]
+        totals = np.append(0, np.cumsum(counts))
+        return self.pool.tokens[ragged(self.pool.first[words], counts)], totals[np.searchsorted(starts, offsets)]
 
 
 _encoders: dict[str, _Encoder] = {}
@@ -108,30 +134,27 @@ def _pieces(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.setdefault(path, _Encoder(path)) if path not in _encoders else _encoders[path]
         task = TaskContext.get().partitionId()
-        end = np.array([END_ID], "<u4").tobytes()
         ranks = [0] * (SEQUENCE // UNIT + 1)
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text")
-            lo = 0
-            while lo < batch.num_rows:  # texts of about a megabyte at a time
-                part, hi, size = [], lo, 0
-                while hi < batch.num_rows and (hi == lo or size < 1 << 20):
-                    part.append(texts[hi].as_py() or "")
-                    size += len(part[-1])
-                    hi += 1
+            ids = batch.column("doc_id")
+            for lo, hi, data, offsets in chunks(batch.column("text")):
+                tokens, firsts = encoder.encode(data, offsets)
+                # the end id behind each text
+                sizes = np.diff(firsts)
+                bounds = np.append(0, np.cumsum(sizes + 1))
+                whole = np.full(int(bounds[-1]), END_ID, "<u4")
+                whole[ragged(bounds[:-1], sizes)] = tokens
+                view = memoryview(whole).cast("B")
                 rows: list[tuple] = []
-                for at, found in enumerate(encoder.encode(part)):
-                    data = memoryview(found + end)
-                    total = len(data) // 4
-                    for start in range(0, total, SEQUENCE):
-                        length = min(SEQUENCE, total - start)
+                for at, (begin, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+                    for start in range(begin, end, SEQUENCE):
+                        length = min(SEQUENCE, end - start)
                         unit = 0 if length == SEQUENCE else -(-length // UNIT)
-                        rows.append((lo + at, start, length, zlib.crc32(data[4 * start : 4 * (start + length)]), total, unit, ranks[unit]))
+                        rows.append((lo + at, start - begin, length, zlib.crc32(view[4 * start : 4 * (start + length)]), end - begin, unit, ranks[unit]))
                         ranks[unit] += 1
                 row, *values = zip(*rows)
                 columns = [pa.array(v, pa.int64()) for v in values]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), *columns, pa.array([task] * len(rows), pa.int64())], names=names)
-                lo = hi
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "unit", "rank", "task"]
     return run

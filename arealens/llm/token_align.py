@@ -110,46 +110,46 @@ class _Codec:
             raise ValueError("a token must not hold a blank after what is no white space")
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << 16:
             raise ValueError("ids must be below 65536")
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, table)), np.int32) for table in (self.a_bytes, self.b_bytes))
         self.text_of = _digits(max(len(self.a_bytes), len(self.b_bytes)))
         self.text_size = (self.text_of[0] > 0).sum(axis=1)
         self.pool = Pool(self._encode)
 
-    def _encode(self, stretches: list[bytes]) -> list[np.ndarray]:
+    def _encode(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Rows (tokenizer 0 or 1, id, bytes) of each stretch, which begins with a blank; none where its bytes change.
 
         Stretches that end and go on without white space are encoded as one text, whose tokens end where they do.
         """
-        plain = [may_follow(s) for s in stretches]
-        out: list[np.ndarray | None] = [None] * len(stretches)
-        joined = [s for s, p in zip(stretches, plain) if p]
-        if joined:
-            rows = self._rows(b"".join(joined))
-            if rows is not None:
-                bounds = np.append(0, np.cumsum([len(s) for s in joined]))
-                sides = []
-                for side in rows:
-                    cuts = np.searchsorted(np.cumsum(side[:, 2]), bounds, "left") + 1
-                    cuts[0] = 0
-                    sides.append((side, cuts.tolist()))
-                (a, a_cuts), (b, b_cuts) = sides
-                found = iter([np.concatenate([a[p:q], b[r:t]]) for p, q, r, t in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:])])
-                out = [next(found) if p else None for p in plain]
-        nothing = np.zeros((0, 3), np.int32)
-        for at, stretch in enumerate(stretches):
-            if out[at] is None:
-                rows = self._rows(stretch)
-                out[at] = nothing if rows is None else np.concatenate(rows)
-        return out
+        plain = np.fromiter(map(may_follow, stretches), bool, len(stretches))
+        together = np.flatnonzero(plain)
+        parts, owners = [], []
+        rows = self._rows(b"".join([stretches[i] for i in together])) if len(together) else None
+        if rows is None:
+            plain[:] = False
+        else:
+            ends = np.cumsum([len(stretches[i]) for i in together])
+            for side in rows:
+                parts.append(side)
+                owners.append(together[np.searchsorted(ends, np.cumsum(side[:, 2]), "left")])
+        for i in np.flatnonzero(~plain):
+            for side in self._rows(stretches[i]) or []:
+                parts.append(side)
+                owners.append(np.full(len(side), i))
+        if not parts:
+            return np.zeros(len(stretches), np.int64), np.zeros((0, 3), np.int32)
+        owner, found = np.concatenate(owners), np.concatenate(parts)
+        return np.bincount(owner, minlength=len(stretches)), found[np.argsort(2 * owner + found[:, 0], kind="stable")]
 
     def _rows(self, stretch: bytes) -> list[np.ndarray] | None:
+        """Rows of both tokenizers, None where one of them changes the bytes."""
         text = stretch.decode()
         out = []
-        for k, ids, table in ((0, self.a.encode(text, add_special_tokens=False).ids, self.a_bytes), (1, self.b.encode(text[1:]), self.b_bytes)):
-            parts = list(map(table.__getitem__, ids))
-            if b"".join(parts) != stretch or b"" in parts:
-                return None
+        for k, ids, table, sizes in ((0, self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.a_bytes, self.a_sizes), (1, self.b.encode(text[1:]), self.b_bytes, self.b_sizes)):
             rows = np.empty((len(ids), 3), np.int32)
-            rows[:, 0], rows[:, 1], rows[:, 2] = k, ids, list(map(len, parts))
+            rows[:, 0], rows[:, 1] = k, ids
+            rows[:, 2] = sizes[rows[:, 1]]
+            if (rows[:, 2] == 0).any() or b"".join(map(table.__getitem__, ids)) != stretch:
+                return None
             out.append(rows)
         return out
 

@@ -51,9 +51,12 @@ def ragged(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class Pool:
-    """Rows of a fixed width for each token of each remembered stretch."""
+    """Rows for each token of each remembered stretch.
 
-    def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]]):
+    ``encode`` gives, for a list of stretches, how many tokens each has and the rows of all, one after the other.
+    """
+
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
         self._clear()
 
@@ -69,16 +72,15 @@ class Pool:
             self._clear()
         buffers = [None, pa.py_buffer(np.ascontiguousarray(bounds, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
         found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode()
-        distinct = found.dictionary.to_pylist()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
         numbers = list(map(self.known.get, distinct))
         new = [s for s, n in zip(distinct, numbers) if n is None]
         if new:
-            rows = self.encode(new)
-            counts = np.array([len(r) for r in rows], np.int64)
+            counts, rows = self.encode(new)
             held = 0 if self.tokens is None else len(self.tokens)
             self.first = np.concatenate([self.first, held + np.cumsum(counts) - counts])
             self.counts = np.concatenate([self.counts, counts])
-            self.tokens = np.concatenate([*([] if self.tokens is None else [self.tokens]), *rows])
+            self.tokens = rows if self.tokens is None else np.concatenate([self.tokens, rows])
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             self.size += sum(map(len, new))
             numbers = list(map(self.known.get, distinct))
