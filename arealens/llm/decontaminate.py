@@ -1,28 +1,34 @@
 """Benchmark decontamination by template canonicalisation.
 
-Numbers, units of measure and names (capitalised words inside a sentence) become typed placeholders, so
-a question with other values has the same template. Windows of the templates and windows of the
-lower-cased words are joined by hash, and a position is met by either. The windows of one occurrence lie on one diagonal; the slot values met on it must map each benchmark value to
-one value of the document. Everything is DataFrame operations.
+Numbers, units of measure and names become typed placeholders, so a question with other values has the same template.
+Windows of an item are looked for in three readings: its lower-cased words, its template (names are capitalised words
+inside a sentence), and a collapsed template, in which every capitalised word stands for a name and a run of placeholders
+is one slot, so that values may change their number of words, and names may begin sentences. In each, the windows of one
+occurrence lie on one diagonal; the slot values met on it must map each benchmark value to one value of the document. Of
+a slot of the collapsed template, words that begin a sentence and are nowhere in the item a name must stay.
+
+Every window is anchored at its rarest word (fewest benchmark items, then longest), so windows are hashed only where that
+word occurs. An occurrence holds ``COVERAGE`` of the windows of an item; so one of the best anchored windows, a few more than
+the rest, is among them, and texts without any of their anchors are passed over. Nothing is lost by either.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arealens.operators.materialize import materialize
 
+#: Items of fewer words are one window.
 WINDOW = 8
-#: Items of fewer words identify nothing and are passed over; items of fewer than ``WINDOW`` words are one window.
-LEAST_WORDS = 4
-#: Windows of fewer different words beside the placeholders match only with the same values.
+#: Windows of fewer different words beside the placeholders match only with the same values; so do items of so few words.
 LEAST_LITERALS = 3
 #: Share of an item's windows that an occurrence must hold.
 COVERAGE = 0.5
-#: Benchmark windows up to which they are broadcast (about 100 MB); above, the join is shuffled.
+#: Benchmark windows up to which they are broadcast (about 150 MB); above, the join is shuffled.
 BROADCAST_WINDOWS = 1_000_000
 BROADCAST_HITS = 500_000
+SLOTS = ("0", "1", "2", "#")
 #: Units after a number.
 UNITS = (
     "kg", "g", "mg", "lb", "lbs", "oz", "km", "m", "cm", "mm", "mi", "ft", "inches", "meters", "metres", "kilometers", "kilometres", "miles", "feet", "yards",
@@ -33,6 +39,7 @@ _NUMBER = r"\d+(?:[.,]\d+)*"
 _WORDS = _NUMBER + r"|\p{L}+"
 #: In a text with single blanks.
 _NAME = r"\p{Lu}(?<=[\p{Ll}0,;:] \p{Lu})\p{Ll}+(?!\p{L})"
+_ANY_NAME = r"(?<!\p{L})\p{Lu}\p{Ll}+(?!\p{L})"
 _CAPITALISED = r"^\p{Lu}\p{Ll}+$"
 
 
@@ -41,12 +48,12 @@ def raw_words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_WORDS), F.lit(0))
 
 
-def template_words(text: Column) -> Column:
+def template_words(text: Column, name: str = _NAME) -> Column:
     """The same words lower-cased, with 0 for a number, 1 for a name, 2 for a unit."""
     folded = F.regexp_replace(F.regexp_replace(text, _NUMBER, " 0 "), r"[\s\p{Z}]+", " ")
-    named = F.regexp_replace(folded, _NAME, " 1 ")
-    units = F.regexp_replace(F.lower(named), r"(?<= 0 ) ?(?:" + "|".join(UNITS) + r")(?!\p{L})", "2")
-    return F.regexp_extract_all(units, F.lit(r"[012]|\p{L}+"), F.lit(0))
+    named = F.regexp_replace(folded, name, " 1 ")
+    units = F.regexp_replace(named, r"(?i)(?<= 0 ) ?(?:" + "|".join(UNITS) + r")(?!\p{L})", "2")
+    return _lowered(F.regexp_extract_all(units, F.lit(r"[012]|\p{L}+"), F.lit(0)))
 
 
 def _codes(words: Column) -> Column:
@@ -62,75 +69,145 @@ def _hash(codes: Column, exact: Column) -> Column:
     return F.xxhash64(exact, codes)
 
 
-def _windows(codes: Column, size: Column, exact: Column) -> Column:
-    """Hashes of all runs of ``size`` words."""
-    last = F.size(codes) - size
-    hashes = F.transform(F.sequence(F.lit(1), last + 1), lambda i: _hash(F.slice(codes, i, size), exact))
-    return F.when(last >= 0, hashes).otherwise(F.array().cast("array<bigint>"))
+def _read(rows: DataFrame, text: Column, keep: list[str], item: bool = False) -> DataFrame:
+    """``keep`` and two readings a row: words, template, and ``places``, the number of the word where each begins.
+
+    In the collapsed reading a run of placeholders is one word, its words joined by blanks. Of items there is also ``fixed``:
+    those words of a run that only begin a sentence.
+    """
+    columns = rows.select(*keep, raw_words(text).alias("raw"), template_words(text).alias("template"), template_words(text, _ANY_NAME).alias("wide"))
+    columns = columns.select(*keep, _lowered(F.col("raw")).alias("words"), "raw", "template", "wide", F.size("raw").alias("n"))
+
+    def begins(i: Column) -> Column:
+        return ~F.get("wide", i).isin(*SLOTS) | (i == 0) | ~F.get("wide", i - 1).isin(*SLOTS)
+
+    numbers = F.when(F.col("n") > 0, F.sequence(F.lit(0), F.col("n") - 1)).otherwise(F.array().cast("array<int>"))
+    columns = columns.withColumn("numbers", numbers).withColumn("places", F.filter("numbers", begins))
+    after = F.concat(F.slice("places", F.lit(2), F.greatest(F.size("places"), F.lit(1))), F.array("n"))
+    spans = F.arrays_zip(F.col("places").alias("a"), after.alias("b"))
+
+    def joined(column: str) -> Column:
+        return F.transform(spans, lambda r: F.array_join(F.slice(column, r["a"] + 1, r["b"] - r["a"]), " "))
+
+    runs = joined("words")
+    codes = F.transform("places", lambda i: F.when(F.get("wide", i).isin(*SLOTS), F.lit("#")).otherwise(F.get("wide", i)))
+    fixed = [F.lit(None).cast("array<string>")] * 2
+    if item:
+        names = F.transform(F.filter(F.arrays_zip("words", "template"), lambda z: z["template"] == "1"), lambda z: z["words"])
+        columns = columns.withColumn("names", names)
+        only_first = F.transform(
+            F.arrays_zip("words", "template", "wide"),
+            lambda z: F.when((z["wide"] == "1") & (z["template"] != "1") & ~F.array_contains("names", z["words"]), z["words"]),
+        )
+        columns = columns.withColumn("first", only_first)
+        fixed = [F.transform("words", lambda w: F.lit("")), joined("first")]
+    readings = F.array(
+        F.struct(F.lit(False).alias("collapsed"), F.col("words").alias("words"), F.col("template").alias("template"), F.col("numbers").alias("places"), fixed[0].alias("fixed")),
+        F.struct(F.lit(True).alias("collapsed"), runs.alias("words"), codes.alias("template"), F.col("places").alias("places"), fixed[1].alias("fixed")),
+    )
+    return columns.select(*keep, "n", "raw", F.explode(readings).alias("r")).select(*keep, "n", "raw", "r.*")
 
 
 def _benchmark(items: DataFrame) -> DataFrame:
-    """(item_id, size, n_windows, at, exact, opening, hash, window, item_raw): windows of the items.
+    """(item_id, collapsed, size, n_windows, at, exact, opening, hash, window, item_words, anchor, offset, seed): windows of the items.
 
     Each window is there by its lower-cased words (``exact``) and, with enough literals, by its template.
     The first word of an item may look like a name where a text leads up to it: ``opening`` windows have
-    a name in its place and match where the word is the same.
+    a name in its place and match where the word is the same. Anchors of ``seed`` windows are enough to find the texts.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    words = items.select(F.col("item_id").cast("long").alias("item_id"), raw_words(text).alias("raw"), template_words(text).alias("words"))
-    sized = words.withColumn("size", F.least(F.size("words"), F.lit(WINDOW))).where(F.col("size") >= LEAST_WORDS)
-    each = sized.select("item_id", "size", "raw", "words", (F.size("words") - F.col("size") + 1).alias("n_windows"), F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)).alias("at"))
-    window, raw = F.slice("words", F.col("at"), F.col("size")), F.slice("raw", F.col("at"), F.col("size"))
+    given = items.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"))
+    sized = _read(given, F.col("text"), ["item_id"], item=True).withColumn("size", F.least(F.size("words"), F.lit(WINDOW))).where("size > 0")
+    sized = sized.withColumn("n_windows", F.size("words") - F.col("size") + 1)
+    each = sized.select("*", F.explode(F.sequence(F.lit(1), F.col("n_windows"))).alias("at"))
+    window, words = F.slice("template", F.col("at"), F.col("size")), F.slice("words", F.col("at"), F.col("size"))
     opened = F.transform(window, lambda w, i: F.when(i == 0, F.lit("1")).otherwise(w))
+    literal = F.transform(words, lambda w: F.lit("w"))
 
     def loose(template: Column) -> Column:
-        return F.size(F.array_distinct(F.filter(template, lambda w: ~w.isin("0", "1", "2")))) >= LEAST_LITERALS
-
-    def form(words: Column, exact: bool, opening: bool, given: Column) -> Column:
-        return F.when(given, F.struct(F.lit(exact).alias("exact"), F.lit(opening).alias("opening"), _hash(_codes(words), F.lit(exact)).alias("hash")))
-
-    first = (F.col("at") == 1) & F.get(raw, 0).rlike(_CAPITALISED) & loose(opened)
-    forms = F.array(form(_lowered(raw), True, False, F.lit(True)), form(window, False, False, loose(window)), form(opened, False, True, first))
-    rows = each.select("item_id", "size", "n_windows", "at", window.alias("window"), raw.alias("item_raw"), F.explode(F.filter(forms, lambda f: f.isNotNull())).alias("form"))
-    return rows.select("item_id", "size", "n_windows", "at", "form.exact", "form.opening", "form.hash", "window", "item_raw").distinct()
+        return F.size(F.array_distinct(F.filter(template, lambda w: ~w.isin(*SLOTS)))) >= LEAST_LITERALS
+
+    def form(codes: Column, shown: Column, exact: bool, opening: bool, taken: Column) -> Column:
+        return F.when(taken, F.struct(F.lit(exact).alias("exact"), F.lit(opening).alias("opening"), _hash(_codes(codes), F.lit(exact)).alias("hash"), shown.alias("shown")))
+
+    plain = ~F.col("collapsed")
+    first = plain & (F.col("at") == 1) & F.get("raw", F.lit(0)).rlike(_CAPITALISED) & loose(opened)
+    forms = F.array(form(words, literal, True, False, plain), form(window, window, False, False, loose(window)), form(opened, opened, False, True, first))
+    names = ["item_id", "collapsed", "size", "n_windows", "at", "exact", "opening", "hash", "window", "item_words", "fixed"]
+    kept = F.slice("fixed", F.col("at"), F.col("size"))
+    rows = each.select("item_id", "collapsed", "size", "n_windows", "at", window.alias("window"), words.alias("item_words"), kept.alias("fixed"), F.explode(F.filter(forms, lambda f: f.isNotNull())).alias("form"))
+    rows = rows.select("item_id", "collapsed", "size", "n_windows", "at", "form.*", "window", "item_words", "fixed")
+    # a word may be an anchor where the form holds it as it is
+    spread = rows.select(*names, F.posexplode(F.arrays_zip("shown", "item_words")).alias("offset", "z")).where(~F.col("z.shown").isin(*SLOTS))
+    spread = spread.select(*names, "offset", F.col("z.item_words").alias("word"))
+    items_of = spread.groupBy("word").agg(F.countDistinct("item_id").alias("items"))
+    rarity = F.struct("items", (-F.length("word")).alias("long"), "word", "offset")
+    best = spread.join(items_of, "word").groupBy(*names).agg(F.min(rarity).alias("best"))
+    # all forms of so many positions that an occurrence, which holds COVERAGE of them, cannot miss them all
+    order = Window.partitionBy("item_id", "collapsed").orderBy("worst", "at")
+    places = best.groupBy("item_id", "collapsed", "at", "n_windows").agg(F.max("best").alias("worst")).withColumn("rank", F.row_number().over(order))
+    seeds = places.where(F.col("rank") <= F.col("n_windows") - F.ceil(F.col("n_windows") * COVERAGE) + 1)
+    flagged = best.join(seeds.select("item_id", "collapsed", "at", "n_windows", F.lit(True).alias("seed")), ["item_id", "collapsed", "at", "n_windows"], "left")
+    return flagged.select(*names, F.xxhash64("best.word").alias("anchor"), F.col("best.offset").alias("offset"), F.coalesce("seed", F.lit(False)).alias("seed"))
+
+
+def _candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """(doc_id, print) of the texts that hold an anchor of a seed window."""
+    seeds = materialize(windows.where("seed").select("anchor").distinct(), "seeds")
+    seeds = F.broadcast(seeds) if seeds.count() <= BROADCAST_WINDOWS else seeds
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), F.explode(raw_words(text)).alias("word"))
+    hit = words.select("doc_id", "print", F.xxhash64(F.lower("word")).alias("anchor")).join(seeds, "anchor", "left_semi")
+    return materialize(hit.select("doc_id", "print").distinct(), "candidates")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Occurrences (doc_id, print, item_id, start, n_words, coverage, same_values) of benchmark items in ``docs``.
 
     ``print`` is a hash of the text: repeated rows share their occurrences. ``same_values`` tells a copy
-    from a question with other values. Null and empty texts have no words.
+    from a question with other values. Null and empty texts, and such items, have no words; items of one or two
+    words are found as they are, in any case of letters.
     """
     windows = materialize(_benchmark(benchmark), "benchmark")
     few = windows.count() <= BROADCAST_WINDOWS
-    kinds = sorted((r["size"], r["exact"]) for r in windows.select("size", "exact").distinct().collect())
-    if not kinds:
-        return docs.where("false").select(
-            F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("print"), F.lit(0).cast("long").alias("item_id"), F.lit(0).alias("start"),
-            F.lit(0).alias("n_words"), F.lit(0.0).alias("coverage"), F.lit(True).alias("same_values"),
-        )
+    candidates = _candidates(docs, windows)
+    listed = F.broadcast(candidates) if candidates.count() <= BROADCAST_HITS else candidates
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), raw_words(text).alias("raw"), template_words(text).alias("words"))
-    coded = given.select("doc_id", "print", "raw", _codes(F.col("words")).alias("template"), _codes(_lowered(F.col("raw"))).alias("lowered"))
-    forms = F.array(*[F.struct(F.lit(size).alias("size"), F.lit(exact).alias("exact")) for size, exact in kinds])
-    each = coded.withColumn("form", F.explode(forms)).select("doc_id", "print", "raw", F.posexplode(_windows(F.when(F.col("form.exact"), F.col("lowered")).otherwise(F.col("template")), F.col("form.size"), F.col("form.exact"))).alias("pos", "hash"))
-    found = each.join(F.broadcast(windows) if few else windows, "hash").select(
-        "doc_id", "print", "item_id", "at", "n_windows", "size", "opening", "window", "item_raw", (F.col("pos") + 1).alias("pos"), _lowered(F.slice("raw", F.col("pos") + 1, F.col("size"))).alias("doc_raw")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text")).distinct()
+    listed = listed.withColumnsRenamed({"doc_id": "hit_id", "print": "hit_print"})
+    given = given.join(listed, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("print") == F.col("hit_print")), "left_semi")
+    read = _read(given, F.col("text"), ["doc_id", "print"]).drop("raw", "fixed")
+    coded = read.select("doc_id", "print", "n", "collapsed", "words", "places", _codes(F.col("words")).alias("lowered"), _codes(F.col("template")).alias("template"))
+    each = coded.select("*", F.posexplode("lowered").alias("pos", "anchor"))
+    joined = each.join(F.broadcast(windows) if few else windows, ["anchor", "collapsed"]).withColumn("begin", F.col("pos") - F.col("offset"))
+    joined = joined.where((F.col("begin") >= 0) & (F.col("begin") + F.col("size") <= F.size("words")))
+    first = F.greatest(F.col("begin"), F.lit(0)) + 1  # conditions are not evaluated in order
+    codes = F.slice(F.when(F.col("exact"), F.col("lowered")).otherwise(F.col("template")), first, F.col("size"))
+    found = joined.where(_hash(codes, F.col("exact")) == F.col("hash")).select(
+        "doc_id", "print", "item_id", "collapsed", "at", "n_windows", "opening", "window", "item_words", "fixed", "begin",
+        F.get("places", F.col("begin")).alias("from"), F.coalesce(F.get("places", F.col("begin") + F.col("size")), F.col("n")).alias("to"),
+        F.slice("words", first, F.col("size")).alias("doc_words"),
     )
-    found = found.withColumn("item_raw", _lowered(F.col("item_raw"))).where(~F.col("opening") | (F.get("item_raw", F.lit(0)) == F.get("doc_raw", F.lit(0))))
-    zipped = F.filter(F.arrays_zip("window", "item_raw", "doc_raw"), lambda z: z["window"].isin("0", "1", "2"))
-    slots = F.transform(zipped, lambda z: F.struct(F.concat(z["window"], z["item_raw"]).alias("asked"), z["doc_raw"].alias("got")))
-    runs = found.select("doc_id", "print", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "at", "n_windows", "size", slots.alias("slots"))
+    stays = F.forall(
+        F.arrays_zip("fixed", "doc_words"),
+        lambda z: (z["fixed"] == "") | F.forall(F.split(z["fixed"], " "), lambda w: F.array_contains(F.split(z["doc_words"], " "), w)),
+    )
+    found = found.where(stays & (~F.col("opening") | (F.get("item_words", F.lit(0)) == F.get("doc_words", F.lit(0)))))
+    zipped = F.filter(F.arrays_zip("window", "item_words", "doc_words"), lambda z: z["window"].isin(*SLOTS))
+    slots = F.transform(zipped, lambda z: F.struct(F.concat(z["window"], z["item_words"]).alias("asked"), z["doc_words"].alias("got")))
+    runs = found.select("doc_id", "print", "item_id", "collapsed", (F.col("begin") - F.col("at")).alias("shift"), "at", "n_windows", "from", "to", slots.alias("slots"))
     # an occurrence has at most as many windows as the item has words
-    runs = runs.groupBy("doc_id", "print", "item_id", "shift").agg(
-        F.size(F.collect_set("at")).alias("windows"), F.max("n_windows").alias("n_windows"), F.min("at").alias("first"), F.max("at").alias("last"), F.max("size").alias("size"),
+    runs = runs.groupBy("doc_id", "print", "item_id", "collapsed", "shift").agg(
+        F.size(F.collect_set("at")).alias("windows"), F.max("n_windows").alias("n_windows"), F.min("from").alias("from"), F.max("to").alias("to"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
     consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["asked"])))
     coverage = F.col("windows") / F.col("n_windows")
     same = F.forall("slots", lambda s: F.substring(s["asked"], 2, 1 << 30) == s["got"])
-    return runs.where(consistent & (coverage >= COVERAGE)).select(
-        "doc_id", "print", "item_id", (F.col("shift") + F.col("first") - 1).alias("start"), (F.col("last") - F.col("first") + F.col("size")).alias("n_words"), coverage.alias("coverage"), same.alias("same_values")
+    kept = runs.where(consistent & (coverage >= COVERAGE)).withColumn("plain", F.bool_or(~F.col("collapsed")).over(Window.partitionBy("doc_id", "print", "item_id")))
+    # the collapsed reading only where the other found nothing
+    return kept.where(~F.col("collapsed") | ~F.col("plain")).select(
+        "doc_id", "print", "item_id", F.col("from").alias("start"), (F.col("to") - F.col("from")).alias("n_words"), coverage.alias("coverage"), same.alias("same_values")
     )
 
 
@@ -138,7 +215,8 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, contaminated, n_items, items (ids, sorted, comma-joined).
 
     A row is contaminated by an item (item_id, text) when some occurrence holds ``COVERAGE`` of the
-    item's template windows with consistent slots. Null and empty texts are clean; repeated rows share
+    item's windows with consistent slots; an item of one or two words by its words in a row, in any case of
+    letters. Null and empty texts are clean, whole texts are read however long; repeated rows share
     their result; further columns are ignored; an empty table gives no rows, an empty benchmark no item.
     """
     hits = find_leaks(docs, benchmark).groupBy("doc_id", "print").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
@@ -157,7 +235,10 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with their columns."""
-    hits = materialize(find_leaks(docs, benchmark).select(F.col("doc_id").alias("_hit_id"), F.col("print").alias("_hit_print")).distinct(), "leaks")
+    hits = materialize(find_leaks(docs, benchmark).select("doc_id", "print").distinct(), "leaks")
     listed = F.broadcast(hits) if hits.count() <= BROADCAST_HITS else hits
-    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    return docs.join(listed, docs["doc_id"].cast("long").eqNullSafe(F.col("_hit_id")) & (F.xxhash64(text) == F.col("_hit_print")), "left_anti")
+    listed = listed.select(F.struct(F.col("doc_id").alias("id"), "print").alias("hit"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    row = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("print")).alias("key")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row)
+    return keyed.join(listed, F.col("key") == F.col("hit"), "left_anti").select("row.*")

@@ -189,3 +189,65 @@ def test_license_rules_find_a_sample_of_every_alternative(spark):
     assert [(label, t) for r, (label, t) in zip(got, pairs) if label not in r.labels.split(",")] == []
     other = scan_licenses(documents(spark, ["SPDX-License-Identifier: BSD-3-Clause-Clear", "SPDX-License-Identifier: MIT-0"])).collect()
     assert [r.labels for r in other] == ["", ""]
+
+
+def test_leaks_with_values_of_other_lengths(spark):
+    mary = "Mary has 5 apples. Mary gives 3 to Tom. How many apples does Mary have left?"
+    benchmark = spark.createDataFrame([(1, mary), (2, ITEM), (3, "Name Peru capital"), (4, "zyx")], "item_id long, text string")
+    texts = [
+        "Anna Maria has 7 apples. Anna Maria gives 2 to Old Peter. How many apples does Anna Maria have left?",
+        mary.replace("Mary", "John").replace("Tom", "Sue"),
+        "She wrote: " + mary.replace("Mary", "John").replace("5", "1 200"),
+        ITEM.replace("Anna", "Anna Maria").replace("120 kg", "1 200").replace("Bern", "New York"),
+        "İstanbul. " + ITEM.replace("Anna", "Peter"),
+        "İİ " + mary.replace("Mary", "İnci"),
+        "please name PERU capital now",
+        "zyx",
+        "Mary has 5 pears. Tom gives 3 to Mary. How few apples did Mary have?",
+        "Anna has 5 apples. Peter gives 3 to Tom. How many apples does Sue have left?",
+        prose(5, 50),
+    ]
+    got = [r["items"] for r in mark_leaks(documents(spark, texts), benchmark).orderBy("doc_id").collect()]
+    assert got == ["1", "1", "1", "2", "2", "1", "3", "4", "", "", ""]
+
+
+def test_leaks_do_not_depend_on_the_anchors(spark, monkeypatch):
+    import random
+
+    from arealens.llm import decontaminate
+
+    rng = random.Random(4)
+    items = [(i, prose(50 + i, 6 + 5 * i, 60)) for i in range(8)] + [(9, ITEM)]
+    texts = []
+    for _, text in items:
+        words = text.split()
+        for share in (0.05, 0.2, 0.4):
+            noisy = [w if rng.random() > share else "other" for w in words]
+            texts.append(prose(rng.randrange(999), 30, 60) + " " + " ".join(noisy))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark, texts)
+    rows = sorted(map(tuple, find_leaks(docs, benchmark).drop("print").collect()))
+    # every window at every place, compared as word lists
+    want = set()
+    for d, text in enumerate(texts):
+        words = re.findall(r"\d+(?:[.,]\d+)*|[^\W\d_]+", text.lower())
+        for item, given in items:
+            asked = re.findall(r"\d+(?:[.,]\d+)*|[^\W\d_]+", given.lower())
+            size = min(8, len(asked))
+            at = {tuple(words[p : p + size]): p for p in range(len(words) - size + 1)}
+            shifts = Counter()
+            for k in range(len(asked) - size + 1):
+                for p in [p for p in range(len(words) - size + 1) if words[p : p + size] == asked[k : k + size]] if tuple(asked[k : k + size]) in at else []:
+                    shifts[p - k] += 1
+            if any(2 * n >= len(asked) - size + 1 for n in shifts.values()):
+                want.add((d, item))
+    assert want <= {(r[0], r[1]) for r in rows} and len(want) > 5
+    monkeypatch.setattr(decontaminate, "_candidates", lambda docs, windows: docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("print")))
+    assert sorted(map(tuple, find_leaks(docs, benchmark).drop("print").collect())) == rows
+
+
+def test_drop_leaks_takes_any_column_names(spark):
+    df = spark.createDataFrame([(1, "zyx here", 1, 2, "a"), (None, "zyx", 1, 2, "b"), (3, None, 3, 4, "c")], "doc_id long, text string, _hit_id int, print int, key string")
+    benchmark = spark.createDataFrame([(4, "zyx")], "item_id long, text string")
+    left = drop_leaks(df, benchmark)
+    assert left.columns == df.columns and [r.key for r in left.collect()] == ["c"]
