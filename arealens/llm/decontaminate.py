@@ -7,16 +7,19 @@ is one slot, so that values may change their number of words, and names may begi
 occurrence lie on one diagonal; the slot values met on it must map each benchmark value to one value of the document. Of
 a slot of the collapsed template, words that begin a sentence and are nowhere in the item a name must stay.
 
-Every window is anchored at its rarest word (fewest benchmark items, then longest), so windows are hashed only where that
-word occurs. An occurrence holds ``COVERAGE`` of the windows of an item; so one of the best anchored windows, a few more than
-the rest, is among them, and texts without any of their anchors are passed over. Nothing is lost by either.
+Every window has an anchor, its rarest pair of neighbouring words (in fewest benchmark items, then longest). An occurrence
+holds ``COVERAGE`` of the windows of an item; so one of the best anchored windows, one more than the others, is among them,
+and only texts with an anchor of those have their windows hashed. Nothing is lost by that.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arealens.functions.bind import bind
 from arealens.operators.materialize import materialize
 
 #: Items of fewer words are one window.
@@ -69,47 +72,59 @@ def _hash(codes: Column, exact: Column) -> Column:
     return F.xxhash64(exact, codes)
 
 
+def _windows(codes: Column, size: Column, exact: Column) -> Column:
+    """Hashes of all runs of ``size`` words."""
+    last = F.size(codes) - size
+    hashes = F.transform(F.sequence(F.lit(1), last + 1), lambda i: _hash(F.slice(codes, i, size), exact))
+    return F.when(last >= 0, hashes).otherwise(F.array().cast("array<bigint>"))
+
+
 def _read(rows: DataFrame, text: Column, keep: list[str], item: bool = False) -> DataFrame:
     """``keep`` and two readings a row: words, template, and ``places``, the number of the word where each begins.
 
     In the collapsed reading a run of placeholders is one word, its words joined by blanks. Of items there is also ``fixed``:
-    those words of a run that only begin a sentence.
+    those words of a run that only begin a sentence. Arrays are bound once, not built anew for each of their elements.
     """
-    columns = rows.select(*keep, raw_words(text).alias("raw"), template_words(text).alias("template"), template_words(text, _ANY_NAME).alias("wide"))
-    columns = columns.select(*keep, _lowered(F.col("raw")).alias("words"), "raw", "template", "wide", F.size("raw").alias("n"))
-
-    def begins(i: Column) -> Column:
-        return ~F.get("wide", i).isin(*SLOTS) | (i == 0) | ~F.get("wide", i - 1).isin(*SLOTS)
-
-    numbers = F.when(F.col("n") > 0, F.sequence(F.lit(0), F.col("n") - 1)).otherwise(F.array().cast("array<int>"))
-    columns = columns.withColumn("numbers", numbers).withColumn("places", F.filter("numbers", begins))
-    after = F.concat(F.slice("places", F.lit(2), F.greatest(F.size("places"), F.lit(1))), F.array("n"))
-    spans = F.arrays_zip(F.col("places").alias("a"), after.alias("b"))
-
-    def joined(column: str) -> Column:
-        return F.transform(spans, lambda r: F.array_join(F.slice(column, r["a"] + 1, r["b"] - r["a"]), " "))
-
-    runs = joined("words")
-    codes = F.transform("places", lambda i: F.when(F.get("wide", i).isin(*SLOTS), F.lit("#")).otherwise(F.get("wide", i)))
-    fixed = [F.lit(None).cast("array<string>")] * 2
-    if item:
-        names = F.transform(F.filter(F.arrays_zip("words", "template"), lambda z: z["template"] == "1"), lambda z: z["words"])
-        columns = columns.withColumn("names", names)
-        only_first = F.transform(
-            F.arrays_zip("words", "template", "wide"),
-            lambda z: F.when((z["wide"] == "1") & (z["template"] != "1") & ~F.array_contains("names", z["words"]), z["words"]),
+
+    def fixed_words(t: Column, names: Column) -> Column:
+        def kept(w: Column, i: Column) -> Column:
+            begins = (F.get(t["wide"], i) == "1") & (F.get(t["template"], i) != "1") & ~F.array_contains(names, w)
+            return F.when(begins, w)
+
+        return F.transform(t["words"], kept)
+
+    def runs(words: Column, places: Column, n: Column) -> Column:
+        return F.transform(places, lambda p, k: F.array_join(F.slice(words, p + 1, F.coalesce(F.get(places, k + 1), n) - p), " "))
+
+    def of_places(t: Column, numbers: Column, places: Column) -> Column:
+        codes = F.transform(places, lambda i: F.when(F.get(t["wide"], i).isin(*SLOTS), F.lit("#")).otherwise(F.get(t["wide"], i)))
+        fixed = [F.lit(None).cast("array<string>")] * 2
+        if item:
+            names = F.filter(t["words"], lambda w, i: F.get(t["template"], i) == "1")
+            fixed = [F.transform(t["words"], lambda w: F.lit("")), bind(bind(names, lambda found: fixed_words(t, found)), lambda f: runs(f, places, t["n"]))]
+        return F.array(
+            F.struct(F.lit(False).alias("collapsed"), t["words"].alias("words"), t["template"].alias("template"), numbers.alias("places"), fixed[0].alias("fixed")),
+            F.struct(F.lit(True).alias("collapsed"), runs(t["words"], places, t["n"]).alias("words"), codes.alias("template"), places.alias("places"), fixed[1].alias("fixed")),
         )
-        columns = columns.withColumn("first", only_first)
-        fixed = [F.transform("words", lambda w: F.lit("")), joined("first")]
-    readings = F.array(
-        F.struct(F.lit(False).alias("collapsed"), F.col("words").alias("words"), F.col("template").alias("template"), F.col("numbers").alias("places"), fixed[0].alias("fixed")),
-        F.struct(F.lit(True).alias("collapsed"), runs.alias("words"), codes.alias("template"), F.col("places").alias("places"), fixed[1].alias("fixed")),
+
+    def of_words(t: Column) -> Column:
+        numbers = F.when(t["n"] > 0, F.sequence(F.lit(0), t["n"] - 1)).otherwise(F.array().cast("array<int>"))
+
+        def begins(i: Column) -> Column:
+            return ~F.get(t["wide"], i).isin(*SLOTS) | (i == 0) | ~F.get(t["wide"], i - 1).isin(*SLOTS)
+
+        return bind(F.filter(numbers, begins), lambda places: of_places(t, numbers, places))
+
+    given = F.struct(raw_words(text).alias("raw"), template_words(text).alias("template"), template_words(text, _ANY_NAME).alias("wide"))
+    words = F.struct(
+        _lowered(F.col("s.raw")).alias("words"), F.col("s.template").alias("template"), F.col("s.wide").alias("wide"), F.size("s.raw").alias("n")
     )
-    return columns.select(*keep, "n", "raw", F.explode(readings).alias("r")).select(*keep, "n", "raw", "r.*")
+    columns = rows.select(*keep, F.explode(F.array(given)).alias("s")).select(*keep, F.size("s.raw").alias("n"), F.get("s.raw", F.lit(0)).alias("opener"), bind(words, of_words).alias("readings"))
+    return columns.select(*keep, "n", "opener", F.explode("readings").alias("r")).select(*keep, "n", "opener", "r.*")
 
 
 def _benchmark(items: DataFrame) -> DataFrame:
-    """(item_id, collapsed, size, n_windows, at, exact, opening, hash, window, item_words, anchor, offset, seed): windows of the items.
+    """(item_id, collapsed, size, n_windows, at, exact, opening, hash, window, item_words, fixed, anchor, seed): windows of the items.
 
     Each window is there by its lower-cased words (``exact``) and, with enough literals, by its template.
     The first word of an item may look like a name where a text leads up to it: ``opening`` windows have
@@ -131,34 +146,50 @@ def _benchmark(items: DataFrame) -> DataFrame:
         return F.when(taken, F.struct(F.lit(exact).alias("exact"), F.lit(opening).alias("opening"), _hash(_codes(codes), F.lit(exact)).alias("hash"), shown.alias("shown")))
 
     plain = ~F.col("collapsed")
-    first = plain & (F.col("at") == 1) & F.get("raw", F.lit(0)).rlike(_CAPITALISED) & loose(opened)
+    first = plain & (F.col("at") == 1) & F.col("opener").rlike(_CAPITALISED) & loose(opened)
     forms = F.array(form(words, literal, True, False, plain), form(window, window, False, False, loose(window)), form(opened, opened, False, True, first))
     names = ["item_id", "collapsed", "size", "n_windows", "at", "exact", "opening", "hash", "window", "item_words", "fixed"]
     kept = F.slice("fixed", F.col("at"), F.col("size"))
     rows = each.select("item_id", "collapsed", "size", "n_windows", "at", window.alias("window"), words.alias("item_words"), kept.alias("fixed"), F.explode(F.filter(forms, lambda f: f.isNotNull())).alias("form"))
     rows = rows.select("item_id", "collapsed", "size", "n_windows", "at", "form.*", "window", "item_words", "fixed")
-    # a word may be an anchor where the form holds it as it is
-    spread = rows.select(*names, F.posexplode(F.arrays_zip("shown", "item_words")).alias("offset", "z")).where(~F.col("z.shown").isin(*SLOTS))
-    spread = spread.select(*names, "offset", F.col("z.item_words").alias("word"))
-    items_of = spread.groupBy("word").agg(F.countDistinct("item_id").alias("items"))
-    rarity = F.struct("items", (-F.length("word")).alias("long"), "word", "offset")
-    best = spread.join(items_of, "word").groupBy(*names).agg(F.min(rarity).alias("best"))
+    # two neighbouring words, or one, may be an anchor where the form holds them as they are
+    def literal_at(i: Column) -> Column:
+        return ~F.get("shown", i).isin(*SLOTS)
+
+    singles = F.transform(F.filter(F.sequence(F.lit(0), F.col("size") - 1), literal_at), lambda i: F.array(F.get("item_words", i)))
+    pairs = F.transform(
+        F.filter(F.sequence(F.lit(0), F.greatest(F.col("size") - 2, F.lit(0))), lambda i: (i + 1 < F.col("size")) & literal_at(i) & literal_at(i + 1)),
+        lambda i: F.array(F.get("item_words", i), F.get("item_words", i + 1)),
+    )
+    spread = rows.select(*names, F.explode(F.when(F.size(pairs) > 0, pairs).otherwise(singles)).alias("words"))
+    items_of = spread.groupBy("words").agg(F.countDistinct("item_id").alias("items"))
+    rarity = F.struct("items", (-F.length(F.array_join("words", ""))).alias("long"), "words")
+    best = spread.join(items_of, "words").groupBy(*names).agg(F.min(rarity).alias("best"))
     # all forms of so many positions that an occurrence, which holds COVERAGE of them, cannot miss them all
     order = Window.partitionBy("item_id", "collapsed").orderBy("worst", "at")
     places = best.groupBy("item_id", "collapsed", "at", "n_windows").agg(F.max("best").alias("worst")).withColumn("rank", F.row_number().over(order))
     seeds = places.where(F.col("rank") <= F.col("n_windows") - F.ceil(F.col("n_windows") * COVERAGE) + 1)
     flagged = best.join(seeds.select("item_id", "collapsed", "at", "n_windows", F.lit(True).alias("seed")), ["item_id", "collapsed", "at", "n_windows"], "left")
-    return flagged.select(*names, F.xxhash64("best.word").alias("anchor"), F.col("best.offset").alias("offset"), F.coalesce("seed", F.lit(False)).alias("seed"))
+    return flagged.select(*names, F.col("best.words").alias("anchor"), F.coalesce("seed", F.lit(False)).alias("seed"))
 
 
 def _candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """(doc_id, print) of the texts that hold an anchor of a seed window."""
-    seeds = materialize(windows.where("seed").select("anchor").distinct(), "seeds")
-    seeds = F.broadcast(seeds) if seeds.count() <= BROADCAST_WINDOWS else seeds
+    seeds = materialize(windows.where("seed").select(F.size("anchor").alias("size"), F.xxhash64("anchor").alias("seed")).distinct(), "seeds")
+    counts = {r["size"]: r["n"] for r in seeds.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # sizes 1 and 2
+    listed = seeds.select("seed")
+    listed = F.broadcast(listed) if sum(counts.values()) <= BROADCAST_WINDOWS else listed
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), F.explode(raw_words(text)).alias("word"))
-    hit = words.select("doc_id", "print", F.xxhash64(F.lower("word")).alias("anchor")).join(seeds, "anchor", "left_semi")
-    return materialize(hit.select("doc_id", "print").distinct(), "candidates")
+    words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), F.explode(F.array(raw_words(text))).alias("raw"))
+    words = words.select("doc_id", "print", "raw", F.slice("raw", F.lit(2), F.greatest(F.size("raw"), F.lit(1))).alias("next"))
+    words = words.select("doc_id", "print", F.explode(F.arrays_zip("raw", "next")).alias("z"))
+    own = F.lower("z.raw")
+    hashes = {1: F.xxhash64(F.array(own)), 2: F.xxhash64(F.array(own, F.lower("z.next")))}
+    found = [hashes[size].alias("seed") for size in counts]
+    hits = [words.select("doc_id", "print", h).join(listed, "seed", "left_semi").select("doc_id", "print") for h in found]
+    if not hits:
+        return materialize(words.where("false").select("doc_id", "print"), "candidates")
+    return materialize(reduce(lambda a, b: a.unionByName(b), hits).distinct(), "candidates")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -172,22 +203,30 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     few = windows.count() <= BROADCAST_WINDOWS
     candidates = _candidates(docs, windows)
     listed = F.broadcast(candidates) if candidates.count() <= BROADCAST_HITS else candidates
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text")).distinct()
     listed = listed.withColumnsRenamed({"doc_id": "hit_id", "print": "hit_print"})
+    kinds = [(r["collapsed"], r["size"], r["exact"]) for r in windows.select("collapsed", "size", "exact").distinct().collect()]  # at most 24
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text"))
     given = given.join(listed, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("print") == F.col("hit_print")), "left_semi")
-    read = _read(given, F.col("text"), ["doc_id", "print"]).drop("raw", "fixed")
-    coded = read.select("doc_id", "print", "n", "collapsed", "words", "places", _codes(F.col("words")).alias("lowered"), _codes(F.col("template")).alias("template"))
-    each = coded.select("*", F.posexplode("lowered").alias("pos", "anchor"))
-    joined = each.join(F.broadcast(windows) if few else windows, ["anchor", "collapsed"]).withColumn("begin", F.col("pos") - F.col("offset"))
-    joined = joined.where((F.col("begin") >= 0) & (F.col("begin") + F.col("size") <= F.size("words")))
-    first = F.greatest(F.col("begin"), F.lit(0)) + 1  # conditions are not evaluated in order
-    codes = F.slice(F.when(F.col("exact"), F.col("lowered")).otherwise(F.col("template")), first, F.col("size"))
-    found = joined.where(_hash(codes, F.col("exact")) == F.col("hash")).select(
-        "doc_id", "print", "item_id", "collapsed", "at", "n_windows", "opening", "window", "item_words", "fixed", "begin",
-        F.get("places", F.col("begin")).alias("from"), F.coalesce(F.get("places", F.col("begin") + F.col("size")), F.col("n")).alias("to"),
-        F.slice("words", first, F.col("size")).alias("doc_words"),
-    )
+    read = materialize(_read(given, F.col("text"), ["doc_id", "print"]).drop("opener", "fixed"), "read")
+    coded = read.select("doc_id", "print", "collapsed", _codes(F.col("words")).alias("lowered"), _codes(F.col("template")).alias("template"))
+    forms = F.array(*[F.struct(F.lit(c).alias("of"), F.lit(size).alias("size"), F.lit(exact).alias("exact")) for c, size, exact in kinds or [(False, 1, True)]])
+    each = coded.withColumn("form", F.explode(forms)).where(F.col("form.of") == F.col("collapsed"))
+    codes = F.when(F.col("form.exact"), F.col("lowered")).otherwise(F.col("template"))
+    # only numbers are spread out; the words of what is found are fetched below
+    each = each.select("doc_id", "print", "collapsed", F.posexplode(_windows(codes, F.col("form.size"), F.col("form.exact"))).alias("begin", "hash"))
+    targets = windows.drop("anchor", "seed")
+    met = each.join(F.broadcast(targets) if few else targets, ["hash", "collapsed"]).withColumnsRenamed({"doc_id": "m_id", "print": "m_print", "collapsed": "m_collapsed"})
+    columns = ["item_id", "at", "n_windows", "opening", "window", "item_words", "fixed", "begin", "size"]
+    met = met.groupBy("m_id", "m_print", "m_collapsed").agg(F.collect_set(F.struct(*columns)).alias("met"))
+    same_row = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("print") == F.col("m_print")) & (F.col("collapsed") == F.col("m_collapsed"))
+    fetched = read.dropDuplicates(["doc_id", "print", "collapsed"]).join(met, same_row)
+
+    def with_words(m: Column) -> Column:
+        begin, end = F.get("places", m["begin"]), F.coalesce(F.get("places", m["begin"] + m["size"]), F.col("n"))
+        return F.struct(*[m[c].alias(c) for c in columns], begin.alias("from"), end.alias("to"), F.slice("words", m["begin"] + 1, m["size"]).alias("doc_words"))
+
+    found = fetched.select("doc_id", "print", "collapsed", F.explode(F.transform("met", with_words)).alias("m")).select("doc_id", "print", "collapsed", "m.*")
     stays = F.forall(
         F.arrays_zip("fixed", "doc_words"),
         lambda z: (z["fixed"] == "") | F.forall(F.split(z["fixed"], " "), lambda w: F.array_contains(F.split(z["doc_words"], " "), w)),
