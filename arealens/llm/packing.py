@@ -32,7 +32,7 @@ END_ID = 1
 #: Columns are priced until none saves this share of a sequence, or so many were.
 GAIN = 1e-3
 MAX_COLUMNS = 2000
-_CACHE_ENTRIES = 400_000
+_CACHE_ENTRIES = 200_000
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _LATIN = re.compile("(?:(?!<\\|)[\x21-\x7e\xa1-\u024f])*")
@@ -59,7 +59,7 @@ class _Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.pool = Pool(self._words)
+        self.pool = Pool(self._words, 1_200_000)
         self.pieces: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:

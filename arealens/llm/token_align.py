@@ -113,7 +113,7 @@ class _Codec:
         self.a_sizes, self.b_sizes = (np.array(list(map(len, table)), np.int32) for table in (self.a_bytes, self.b_bytes))
         self.text_of = _digits(max(len(self.a_bytes), len(self.b_bytes)))
         self.text_size = (self.text_of[0] > 0).sum(axis=1)
-        self.pool = Pool(self._encode)
+        self.pool = Pool(self._encode, 700_000)
 
     def _encode(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Rows (tokenizer 0 or 1, id, bytes) of each stretch, which begins with a blank; none where its bytes change.

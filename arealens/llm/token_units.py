@@ -12,9 +12,8 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-#: Distinct stretches, and bytes of them, that a worker remembers before it starts anew.
-REMEMBERED = 400_000
-REMEMBERED_BYTES = 24 << 20
+#: Bytes of distinct stretches that a worker remembers at most.
+REMEMBERED_BYTES = 32 << 20
 
 _BEFORE = np.zeros(256, bool)
 _BEFORE[0x21:0x7F] = True
@@ -53,11 +52,12 @@ def ragged(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
 class Pool:
     """Rows for each token of each remembered stretch.
 
-    ``encode`` gives, for a list of stretches, how many tokens each has and the rows of all, one after the other.
+    ``encode`` gives, for a list of stretches, how many tokens each has and the rows of all, one after the other. After
+    ``entries`` stretches (about 200 bytes each) all are forgotten.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], entries: int):
+        self.encode, self.entries = encode, entries
         self._clear()
 
     def _clear(self) -> None:
@@ -68,7 +68,7 @@ class Pool:
 
     def look_up(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """For each stretch data[bounds[i] : bounds[i + 1]] its number in ``first`` and ``counts``."""
-        if len(self.known) > REMEMBERED or self.size > REMEMBERED_BYTES:
+        if len(self.known) > self.entries or self.size > REMEMBERED_BYTES:
             self._clear()
         buffers = [None, pa.py_buffer(np.ascontiguousarray(bounds, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
         found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode()
