@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,33 +33,76 @@ def inside_state_bounds(df: DataFrame, state: str, lat: str, lon: str, name: str
     )
 
 
+#: Polygons of a coarse cell up to which it stays whole; more crowded cells get a finer grid of their own.
+CELL_POLYGONS = 16
+#: Cells along one side of the finest grid inside a coarse cell.
+FINEST = 64
+
+
 def prepare_polygons(
     polygons: DataFrame, area: str = "zcta", wkt: str = "geom_wkt", carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Edges and bounding box per polygon; polygons without a usable ring are dropped."""
-    edged = polygons.withColumn("edges", edges_from_wkt(F.col(wkt))).where(F.size("edges") > 2)
+    """Edges and bounding box per polygon, empty where there is no usable ring."""
+    edged = polygons.withColumn("edges", edges_from_wkt(F.col(wkt)))
+    edged = edged.withColumn("edges", F.when(F.size("edges") > 2, F.col("edges")))
     box = [e.alias(n) for n, e in bounding_box(F.col("edges")).items()]
     return edged.select(F.col(area).alias("area"), *carry, "edges", *box)
 
 
-def polygon_cells(prepared: DataFrame, cell: float) -> DataFrame:
-    """One row per polygon and grid cell of its box, with the edges a test in that cell can need.
+def _within(value: Column, cell: str, size: Column) -> Column:
+    """Number of the fine cell of a coordinate along one side of its coarse cell."""
+    place = F.floor((value - F.col(cell) * size) * F.col("fine") / size)
+    return F.greatest(F.lit(0), F.least(F.col("fine") - 1, place))
+
+
+def crowded_cells(prepared: DataFrame, cell: float) -> DataFrame:
+    """(cx, cy, fine): coarse cells that hold many polygons, with the cells per side that leave few in each."""
+    spread = _coarse(prepared.where("edges IS NOT NULL"), cell).groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+    sides = F.pow(F.lit(2.0), F.ceil(F.log2(F.sqrt(F.col("n") / CELL_POLYGONS)))).cast("long")
+    return spread.where(F.col("n") > CELL_POLYGONS).select("cx", "cy", F.least(sides, F.lit(FINEST)).alias("fine"))
 
-    A ray cast towards rising longitude only meets edges that span the cell's latitudes
-    and do not end west of it.
-    """
-    size, slack = F.lit(float(cell)), F.lit(float(cell) * 1e-9)
+
+def _coarse(prepared: DataFrame, cell: float) -> DataFrame:
+    size = F.lit(float(cell))
 
     def cells(low: str, high: str) -> Column:
         return F.explode(F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size)))
 
-    gridded = prepared.withColumn("cx", cells("min_lon", "max_lon")).withColumn("cy", cells("min_lat", "max_lat"))
-    south, north, west = F.col("cy") * size - slack, (F.col("cy") + 1) * size + slack, F.col("cx") * size - slack
+    return prepared.withColumn("cx", cells("min_lon", "max_lon")).withColumn("cy", cells("min_lat", "max_lat"))
+
+
+def polygon_cells(prepared: DataFrame, cell: float, crowded: DataFrame) -> DataFrame:
+    """One row per polygon and cell that it meets: (cx, cy, fx, fy), the edges a test in that cell can need, ``whole``.
+
+    A ray cast towards rising longitude only meets edges that span the cell's latitudes and do not end west
+    of it. Cells without any edge inside them lie outside the polygon, and are left out, or inside it: ``whole``, no test.
+    """
+    size = F.lit(float(cell))
+    coarse = _coarse(prepared.where("edges IS NOT NULL"), cell).join(crowded, ["cx", "cy"], "left").withColumn("fine", F.coalesce("fine", F.lit(1).cast("long")))
+
+    def cells(low: str, high: str, side: str) -> Column:
+        return F.explode(F.sequence(_within(F.col(low), side, size), _within(F.col(high), side, size)))
+
+    gridded = coarse.withColumn("fx", cells("min_lon", "max_lon", "cx")).withColumn("fy", cells("min_lat", "max_lat", "cy"))
+    step, slack = size / F.col("fine"), size / F.col("fine") * 1e-6
+    west, south = F.col("cx") * size + F.col("fx") * step - slack, F.col("cy") * size + F.col("fy") * step - slack
+    boxed = gridded.withColumns({"west": west, "south": south, "east": west + step + 2 * slack, "north": south + step + 2 * slack})
     near = F.filter(
         "edges",
-        lambda e: (F.greatest(e.y1, e.y2) >= south) & (F.least(e.y1, e.y2) <= north) & (F.greatest(e.x1, e.x2) >= west),
+        lambda e: (F.greatest(e.y1, e.y2) >= F.col("south")) & (F.least(e.y1, e.y2) <= F.col("north")) & (F.greatest(e.x1, e.x2) >= F.col("west")),
     )
-    return gridded.withColumn("near", near).where(F.size("near") > 0).drop("edges")
+    held = boxed.withColumn("near", near).where(F.size("near") > 0).drop("edges")
+
+    def meets(e: Column) -> Column:
+        corners = [(F.col(x), F.col(y)) for x in ("west", "east") for y in ("south", "north")]
+        sides = [F.signum((e.x2 - e.x1) * (y - e.y1) - (e.y2 - e.y1) * (x - e.x1)) for x, y in corners]
+        return (F.least(e.x1, e.x2) <= F.col("east")) & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    middle = ((F.col("west") + F.col("east")) / 2, (F.col("south") + F.col("north")) / 2)
+    met = held.withColumn("whole", ~F.exists("near", meets))
+    kept = met.where(~F.col("whole") | strictly_inside(*middle, F.col("near")))
+    kept = kept.withColumn("near", F.when(~F.col("whole"), F.col("near")))
+    return kept.drop("west", "south", "east", "north", "fine")
 
 
 def locate_points(
@@ -74,37 +119,38 @@ def locate_points(
     """Containing area per distinct (lon, lat), the smallest area key where polygons overlap.
 
     Returns ``lon``, ``lat``, ``point_rows`` (rows at that point), ``area`` and the carried polygon
-    columns. Equal points are
-    tested once. The grid turns the spatial test into an equi-join. Crowded cells are
+    columns. Equal points are tested once. ``polygons`` are as given or already prepared.
+
+    The grid turns the spatial test into an equi-join. Coarse cells with many polygons have a finer grid of their
+    own, so a point meets few polygons in a dense city too; cells with many points are
     split into shares of about ``points_per_task`` points, with the cell's polygons repeated per share.
     """
+    prepared = polygons if "edges" in polygons.columns else materialize(prepare_polygons(polygons, area, wkt, carry), "polygons")
+    dense = materialize(crowded_cells(prepared, cell), "dense")
     distinct = (
         points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
         .groupBy(F.col(lon).alias("lon"), F.col(lat).alias("lat"))
         .agg(F.count(F.lit(1)).alias("point_rows"))
     )
-    size = F.lit(float(cell))
+    size, key = F.lit(float(cell)), ["cx", "cy", "fx", "fy"]
     placed = distinct.withColumn("cx", F.floor(F.col("lon") / size)).withColumn("cy", F.floor(F.col("lat") / size))
-    per_cell = placed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("_points"))
+    placed = placed.join(dense, ["cx", "cy"], "left").withColumn("fine", F.coalesce("fine", F.lit(1).cast("long")))
+    placed = placed.withColumns({"fx": _within(F.col("lon"), "cx", size), "fy": _within(F.col("lat"), "cy", size)}).drop("fine")
+    per_cell = placed.groupBy(*key).agg(F.count(F.lit(1)).alias("_points"))
     shares = F.ceil(F.col("_points") / F.lit(points_per_task)).cast("int").alias("shares")
-    crowded = per_cell.select("cx", "cy", shares).where("shares > 1")
+    crowded = per_cell.select(*key, shares).where("shares > 1")
     share_count = F.coalesce("shares", F.lit(1))
-    keyed = placed.join(crowded, ["cx", "cy"], "left").withColumn(
+    keyed = placed.join(crowded, key, "left").withColumn(
         "salt", F.pmod(F.xxhash64("lon", "lat"), share_count).cast("int")
     )
     # The test is heavy for the bytes it reads: a fixed partition count keeps small inputs from being merged
     # into few tasks, and the keys are those of the join.
-    keyed = keyed.repartition(row_salts(points), "cx", "cy", "salt")
-    cells = polygon_cells(prepare_polygons(polygons, area, wkt, carry), cell).join(crowded, ["cx", "cy"], "left")
+    keyed = keyed.repartition(row_salts(points), *key, "salt")
+    cells = polygon_cells(prepared, cell, dense).join(crowded, key, "left")
     cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), share_count - 1)))
-    hit = (
-        (keyed.cx == cells.cx)
-        & (keyed.cy == cells.cy)
-        & (keyed.salt == cells.salt)
-        & keyed.lon.between(cells.min_lon, cells.max_lon)
-        & keyed.lat.between(cells.min_lat, cells.max_lat)
-        & strictly_inside(keyed.lon, keyed.lat, cells.near)
-    )
+    hit = reduce(lambda a, b: a & b, [keyed[k] == cells[k] for k in [*key, "salt"]])
+    inside = keyed.lon.between(cells.min_lon, cells.max_lon) & keyed.lat.between(cells.min_lat, cells.max_lat) & strictly_inside(keyed.lon, keyed.lat, cells.near)
+    hit = hit & (cells.whole | F.coalesce(inside, F.lit(False)))
     # A point outside every polygon keeps an all-NULL first area.
     located = (
         keyed.join(cells, hit, "left")
@@ -177,12 +223,15 @@ def assign_areas(
     base = base.withColumn("_plon", F.when(F.col("_usable"), F.col("_lon"))).withColumn(
         "_plat", F.when(F.col("_usable"), F.col("_lat"))
     )
-    areas = known_areas(polygons, area_states)
+    has_state = "state_fips" in polygons.columns
+    read = polygons.select(
+        F.col("zcta").cast("string").alias("zcta"), (F.col("state_fips") if has_state else F.lit(None)).cast("string").alias("state_fips"), "geom_wkt"
+    )
+    prepared = materialize(prepare_polygons(read, carry=("state_fips",)), "polygons")  # the only reading of the polygons
+    areas = materialize(known_areas(prepared.select(F.col("area").alias("zcta"), "state_fips"), area_states), "areas")
     any_state = F.coalesce(areas.agg((F.count("area_state") > 0).alias("x")).scalar(), F.lit(False))
     any_area = F.coalesce(areas.agg((F.count_if("loaded") > 0).alias("x")).scalar(), F.lit(False))
-    shapes = polygons.select(F.col("zcta").cast("string").alias("zcta"), "geom_wkt").join(
-        areas.select(F.col("area").alias("zcta"), "area_state"), "zcta", "left"
-    )
+    shapes = prepared.drop("state_fips").join(areas.select("area", "area_state"), "area", "left")
     located = locate_points(base, shapes, "_plon", "_plat", cell=cell, carry=("area_state",))
     found = attach_located(base, located, "_plon", "_plat", {"area": "_found", "area_state": "_found_state"})
     keys = areas.select(

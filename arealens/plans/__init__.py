@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["text_queries", "ingest_queries", "area_queries", "score_queries", "report_queries", "file_queries"]
+MODULES = ["text_queries", "ingest_queries", "area_queries", "score_queries", "report_queries", "file_queries", "pipeline_queries"]
 
 
 def load_all() -> None:

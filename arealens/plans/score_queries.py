@@ -160,8 +160,8 @@ GRADED_COLUMNS = [
 ]
 
 
-@query("graded_index", f"""{BASE}, {ASSIGN}, {DATED}, {RATIOS}, {AREA_COVERAGE}, {scored()},
-q AS (SELECT o.zcta, o.year, o.population_total, o.total_incident_count, o.overall_incident_score_0_100, o.score_notes AS n0,
+#: From scored rows (ovr), coverage (cov) and yearly ratios (rat) to the graded index.
+GRADED = """q AS (SELECT o.zcta, o.year, o.population_total, o.total_incident_count, o.overall_incident_score_0_100, o.score_notes AS n0,
     coalesce(c.assigned_count, 0) AS a, coalesce(c.spatial_count, 0) AS s, coalesce(c.source_count, 0) AS source_count,
     coalesce(c.source_names, '') AS source_names, coalesce(c.spatial_assignment_share, r.spatial_assignment_rate) AS share,
     0.35 * r.zcta_assignment_rate AS t1, r.offense_classification_rate AS oc, r.date_completeness_rate AS dc
@@ -176,7 +176,10 @@ SELECT zcta, year, overall_incident_score_0_100,
        WHEN total_incident_count < 5 THEN 'C' WHEN share >= 0.7 AND cvr >= 0.7 AND population_total >= 500 THEN 'B' WHEN cvr >= 0.5 THEN 'C' ELSE 'D' END AS confidence_grade,
   CASE WHEN total_incident_count < 5 THEN CASE WHEN n0 IS NULL THEN 'low_incident_count' ELSE n0 || '; low_incident_count' END ELSE n0 END AS score_notes,
   false AS is_modeled
-FROM g""")
+FROM g"""
+
+
+@query("graded_index", f"{BASE}, {ASSIGN}, {DATED}, {RATIOS}, {AREA_COVERAGE}, {scored()}, {GRADED}")
 def graded_index(spark, folder):
     counted = materialize(counted_incidents(undated_lines(spark, folder), part_assignments(spark, folder)), "counted")
     index = build_index(scoped_annual(spark, folder), coverage_ratios(counted), area_coverage(counted))

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealens.constants import AREA, AREA_ID_COLUMNS, YEAR
-from arealens.functions.geo import centroid, edges_from_wkt, polygon_wkt
+from arealens.functions.geo import centroid, edges_from_rings, edges_from_wkt, polygon_wkt, rings_from_wkt
 from arealens.functions.text import clean_text, five_digit_key, to_double
+from arealens.operators.crossing import CELL_EDGES, any_cross, crossing_rows
 from arealens.operators.crosswalk import normalize_crosswalk
+from arealens.operators.materialize import materialize
 from arealens.sources.readers import BYTE_ORDER_MARK, file_format, read_csv_text, read_features, read_tabular, sniff_separator
 
 # Accepted source column names, first match wins.
@@ -132,35 +134,25 @@ def read_geometries(spark: SparkSession, path: str, year: int, position: str | N
 def geometry_summary(shapes: DataFrame, key: str, wkt: str = "geom_wkt") -> DataFrame:
     """Rows, empty, missing and invalid geometries.
 
-    Invalid: an unclosed ring, fewer than four positions, or two edges of one ring that cross.
-    Edge pairs are compared inside one geometry only.
+    Invalid: an unclosed ring, fewer than four positions, or two edges that cross. Geometries of few edges are
+    judged row by row, the edges of the others by cells.
     """
-    from arealens.functions.geo import rings_from_wkt
-
     missing = F.col(wkt).isNull()
     empty = ~missing & (F.upper(F.col(wkt)).contains("EMPTY") | (F.trim(F.col(wkt)) == ""))
-    checked = shapes.select(
-        key, missing.alias("_missing"), F.coalesce(empty, F.lit(False)).alias("_empty"), rings_from_wkt(F.col(wkt)).alias("_rings")
-    )
-    open_ring = F.exists(
-        "_rings",
-        lambda r: (F.size(r) < 4) | (F.get(r, F.lit(0)) != F.get(r, F.size(r) - 1)),
+    read = shapes.select(
+        F.monotonically_increasing_id().alias("row"), missing.alias("missing"), F.coalesce(empty, F.lit(False)).alias("empty"), rings_from_wkt(F.col(wkt)).alias("rings")
     )
-    from arealens.functions.geo import edges_from_rings
-
-    def side(a, b, px, py):
-        return F.signum((b[0] - a[0]) * (py - a[1]) - (b[1] - a[1]) * (px - a[0]))
-
-    def cross_pair(e, f):
-        a, b, c, d = (e.x1, e.y1), (e.x2, e.y2), (f.x1, f.y1), (f.x2, f.y2)
-        return (side(a, b, *c) * side(a, b, *d) < 0) & (side(c, d, *a) * side(c, d, *b) < 0)
-
-    edges = edges_from_rings(F.col("_rings"))
-    crossing = F.exists(edges, lambda e: F.exists(edges, lambda f: cross_pair(e, f)))
-    flagged = checked.withColumn("_invalid", ~F.col("_missing") & ~F.col("_empty") & (open_ring | crossing))
+    open_ring = F.exists("rings", lambda r: (F.size(r) < 4) | (F.get(r, F.lit(0)) != F.get(r, F.size(r) - 1)))
+    checked = read.select("row", "missing", "empty", F.coalesce(open_ring, F.lit(False)).alias("open"), F.coalesce(edges_from_rings(F.col("rings")), F.array()).alias("edges"))
+    checked = materialize(checked, "shapes")
+    few = F.size("edges") <= CELL_EDGES
+    large = checked.where(~few).select("row", F.explode("edges").alias("e"))
+    crossed = crossing_rows(large, "row").withColumn("crossed", F.lit(True))
+    flagged = checked.withColumn("crosses", F.when(few, any_cross(F.col("edges")))).drop("edges").join(crossed, "row", "left")
+    invalid = ~F.col("missing") & ~F.col("empty") & (F.col("open") | F.coalesce("crosses", "crossed", F.lit(False)))
     return flagged.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_if("_empty").alias("empty_geometry_count"),
-        F.count_if(F.coalesce("_invalid", F.lit(False))).alias("invalid_geometry_count"),
-        F.count_if("_missing").alias("missing_geometry_count"),
+        F.count_if("empty").alias("empty_geometry_count"),
+        F.count_if(invalid).alias("invalid_geometry_count"),
+        F.count_if("missing").alias("missing_geometry_count"),
     )

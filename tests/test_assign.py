@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from arealens.functions.geo import edges_from_wkt, strictly_inside
-from arealens.operators.assign import assign_areas, attach_located, join_assignments, locate_points
+from arealens.operators.assign import assign_areas, attach_located, crowded_cells, join_assignments, locate_points, polygon_cells, prepare_polygons
 from arealens.operators.aggregate import annual_aggregates
 from arealens.operators.quality import area_coverage, counted_incidents, coverage_ratios
 
@@ -74,6 +74,26 @@ def test_grid_join_equals_brute_force(spark):
     assert len(grid) == 600 and any(grid.values())
 
 
+def test_a_dense_city_is_split_into_fine_cells(spark):
+    """A lattice of 400 small polygons in one coarse cell, under one large one."""
+    shapes = [("z", box(-3, -3, 5, 5)), ("y", box(0.05, 0.05, 0.9, 0.9))]
+    shapes += [(f"a{x:02d}{y:02d}", box(x / 20 + 0.005, y / 20, x / 20 + 0.045, y / 20 + 0.04)) for x in range(20) for y in range(20)]
+    polygons = spark.createDataFrame(shapes, "zcta string, geom_wkt string")
+    prepared = prepare_polygons(polygons)
+    dense = crowded_cells(prepared, 1.0)
+    assert [tuple(r) for r in dense.where("cx = 0 AND cy = 0").collect()] == [(0, 0, 8)]
+    cells = polygon_cells(prepared, 1.0, dense)
+    assert cells.where("area = 'z' AND whole").count() > 60 and cells.where("whole AND near IS NOT NULL").count() == 0
+    assert max(r["count"] for r in cells.groupBy("cx", "cy", "fx", "fy").count().collect()) < 30
+    rng = random.Random(8)
+    points = [(i, rng.uniform(-0.2, 1.2), rng.uniform(-0.2, 1.2)) for i in range(500)] + [(900 + k, k / 20, k / 20) for k in range(20)] + [(950 + k, k / 8, k / 8) for k in range(9)]
+    rows = spark.createDataFrame(points, "id bigint, lon double, lat double")
+    located = attach_located(rows, locate_points(rows, polygons, "lon", "lat", cell=1.0, points_per_task=50), "lon", "lat", {"area": "area"})
+    edged = polygons.select("zcta", edges_from_wkt(F.col("geom_wkt")).alias("e"))
+    brute = rows.join(F.broadcast(edged), strictly_inside(F.col("lon"), F.col("lat"), F.col("e")), "left").groupBy("id").agg(F.min("zcta").alias("z"))
+    assert {r.id: r.area for r in located.collect()} == {r.id: r.z for r in brute.collect()}
+
+
 def test_counts_are_weighted_and_ids_do_not_fan_out(spark):
     incidents = spark.createDataFrame(
         [("a", 4, 2024, "violent"), ("b", 1, 2024, "property"), ("b", 2, 2024, "property"), ("c", 9, 2024, "drug")],
