@@ -7,7 +7,7 @@ Jensen-Shannon distance to them must stay under a limit, for texts long enough t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +22,10 @@ MAX_CLASS_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.48
 MIN_CHARS = 150
 MIN_WORDS = 50
-#: Common words of a language, and the languages with a reference of their own (by characters);
-#: texts of further languages are compared with the reference over all texts.
+#: Common words of a language, and the languages (those with most characters) whose references every task holds, about
+#: 1 KB each; the references of all others are joined to their texts.
 COMMON_WORDS = 60
-LANGUAGES = 256
+LANGUAGES = 2048
 _FLUSH_WORDS = 2 << 20
 
 _SYMBOLS = b"#*$%&|<>"
@@ -123,36 +123,83 @@ def _counted(lang: str, part: int, keys: np.ndarray, n: np.ndarray) -> pa.Record
 
 
 class References:
-    """Histograms of languages: characters by class, keys of common words with their counts, all words."""
+    """Histograms of languages: characters by class, keys of common words with their counts, all words.
 
-    def __init__(self, classes: dict[str, np.ndarray], keys: dict[str, np.ndarray], counts: dict[str, np.ndarray], total: dict[str, int]):
-        self.classes, self.keys, self.counts, self.total = classes, keys, counts, total
+    ``rest`` has the same for further languages as rows (lang, classes, keys, counts, total).
+    """
+
+    def __init__(self, classes: dict[str, np.ndarray], keys: dict[str, np.ndarray], counts: dict[str, np.ndarray], total: dict[str, int], rest: DataFrame | None = None):
+        self.classes, self.keys, self.counts, self.total, self.rest = classes, keys, counts, total, rest
 
     def of(self, lang: str | None) -> str:
         return lang if lang in self.classes else "*"
 
+    def local(self) -> References:
+        """The references that travel to the tasks."""
+        return References(self.classes, self.keys, self.counts, self.total)
+
+    def joined(self, rows: pa.StructArray) -> References:
+        """Those of the rows of a joined column, for a batch of texts of further languages."""
+        found = {r["lang"]: r for r in rows.to_pylist() if r is not None}
+        return References(
+            {x: np.array(r["classes"]) for x, r in found.items()} | {"*": self.classes["*"]},
+            {x: np.array(r["keys"], np.int64) for x, r in found.items()} | {"*": self.keys["*"]},
+            {x: np.array(r["counts"], float) for x, r in found.items()} | {"*": self.counts["*"]},
+            {x: r["total"] for x, r in found.items()} | {"*": self.total["*"]},
+        )
+
+
+def _common_words(counted: DataFrame, common: int) -> DataFrame:
+    """The words of a language with the highest counts: first of each share of its words, then of all."""
+    words = counted.where("part = 1").withColumn("share", F.pmod("key", F.lit(64)))
+    order = (F.desc("n"), "key")
+    some = words.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("rank") <= common)
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= common).select("lang", "key", "n")
+
+
+def _further_references(counted: DataFrame, common: int) -> DataFrame:
+    """References as one row for each language."""
+    cells = F.map_from_entries(F.collect_list(F.struct("key", "n")))
+    classes = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(N_CLASSES - 1).cast("long")), lambda k: F.coalesce(F.col("cells")[k], F.lit(0)).cast("double"))
+    by_class = counted.where("part = 0").groupBy("lang").agg(cells.alias("cells")).select("lang", classes.alias("classes"))
+    total = counted.where("part = 1").groupBy(F.col("lang").alias("t_lang")).agg(F.sum("n").alias("total"))
+    listed = F.sort_array(F.collect_list(F.struct("key", "n")))
+    words = _common_words(counted, common).groupBy(F.col("lang").alias("w_lang")).agg(listed.alias("words"))
+    joined = by_class.join(total, F.col("lang") == F.col("t_lang"), "left").join(words, F.col("lang") == F.col("w_lang"), "left")
+    none = F.array().cast("array<bigint>")
+    return joined.select(
+        "lang", "classes", F.coalesce("words.key", none).alias("keys"), F.coalesce("words.n", none).alias("counts"), F.coalesce("total", F.lit(0)).alias("total")
+    )
+
 
 def fit_references(docs: DataFrame, common: int = COMMON_WORDS) -> References:
-    """References over all rows of ``docs`` (lang, text); null lang counts as the language ''."""
+    """References of every language, and over all rows, of ``docs`` (lang, text); null lang counts as the language ''."""
     counted = materialize(
         docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
         .mapInArrow(_gather, "lang string, part int, key long, n long").groupBy("lang", "part", "key").agg(F.sum("n").alias("n")),
         "counts",
     )
-    chars = counted.where("part = 0").groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    langs = [r["lang"] for r in chars.collect()]
     everything = counted.groupBy("part", "key").agg(F.sum("n").alias("n")).select(F.lit("*").alias("lang"), "part", "key", "n")
-    counted = counted.where(F.col("lang").isin(langs)).unionByName(everything) if langs else everything
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "key"))
-    top = counted.where("part = 1").withColumn("rank", rank).where(F.col("rank") <= common).drop("rank").collect()
+    chars = counted.where("part = 0").groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1)
+    langs = [r["lang"] for r in chars.collect()]
+    rest = None
+    if len(langs) > LANGUAGES:
+        del langs[LANGUAGES:]
+        known = F.broadcast(docs.sparkSession.createDataFrame([(x,) for x in langs], "lang string"))
+        rest = materialize(_further_references(counted.join(known, "lang", "left_anti"), common), "references")
+        counted = counted.join(known, "lang", "left_semi")
+    counted = counted.unionByName(everything)
+    top = _common_words(counted, common).collect()
     total = {r["lang"]: r["n"] for r in counted.where("part = 1").groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     classes = {x: np.zeros(N_CLASSES) for x in [*langs, "*"]}
     for r in counted.where("part = 0").collect():
         classes[r["lang"]][r["key"]] = r["n"]
-    keys = {x: np.sort(np.array([r["key"] for r in top if r["lang"] == x], np.int64)) for x in classes}
-    by_key = {(r["lang"], r["key"]): r["n"] for r in top}
-    counts = {x: np.array([by_key[x, int(k)] for k in keys[x]], float) for x in classes}
-    return References(classes, keys, counts, {x: int(total.get(x, 0)) for x in classes})
+    found: dict[str, list[tuple[int, int]]] = {x: [] for x in classes}
+    for r in top:
+        found[r["lang"]].append((r["key"], r["n"]))
+    keys = {x: np.array([k for k, _ in sorted(v)], np.int64) for x, v in found.items()}
+    counts = {x: np.array([n for _, n in sorted(v)], float) for x, v in found.items()}
+    return References(classes, keys, counts, {x: int(total.get(x, 0)) for x in classes}, rest)
 
 
 def _judge(row: int, words: Words, lower: np.ndarray, classes: np.ndarray, lang: str | None, refs: References) -> tuple[float, float]:
@@ -203,22 +250,41 @@ def measure_quality(docs: DataFrame, refs: References) -> DataFrame:
     further columns are ignored, an empty table gives no rows.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = _measure(batch, refs)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, values)], names=names)
+    def rows(batch: pa.RecordBatch, values: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, values)], names=names)
 
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"]
     kinds = ["long"] * 6 + ["boolean"] * 2 + ["double"] * 2
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    return given.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    return _judged(given, refs, rows, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
 
 
-def keep_usual(docs: DataFrame, refs: References) -> DataFrame:
-    """The rows of ``docs`` that ``measure_quality`` keeps, with their columns."""
+def _judged(docs: DataFrame, refs: References, rows: Callable, schema) -> DataFrame:
+    """``rows(batch, values)`` of all rows; those of further languages with their references joined."""
+    held = refs.local()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_measure(batch, refs)[6]))
+            yield rows(batch, _measure(batch, held))
+
+    if refs.rest is None:
+        return docs.mapInArrow(run, schema)
+    extra = "reference"
+    while extra in docs.columns:
+        extra += "_"
+
+    def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield rows(batch.drop_columns([extra]), _measure(batch, held.joined(batch.column(extra))))
 
-    return docs.mapInArrow(run, docs.schema)
+    lang = F.coalesce(docs["lang"].cast("string"), F.lit(""))
+    known = lang.isin([x for x in held.classes if x != "*"])
+    # each of these languages has fewer characters than any of the others: no key is hot
+    table = refs.rest.select(F.struct(*refs.rest.columns).alias(extra))
+    further = docs.where(~known).join(table, lang == F.col(f"{extra}.lang"), "left")
+    return docs.where(known).mapInArrow(run, schema).unionByName(further.mapInArrow(run_joined, schema))
+
+
+def keep_usual(docs: DataFrame, refs: References) -> DataFrame:
+    """The rows of ``docs`` that ``measure_quality`` keeps, with their columns."""
+    return _judged(docs, refs, lambda batch, values: batch.filter(pa.array(values[6])), docs.schema)

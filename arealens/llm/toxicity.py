@@ -7,6 +7,7 @@ Only document labels exist, so training follows the worst window of each text.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealens.llm.words import chunks, mix, split_words
+from arealens.llm.words import Words, chunks, mix, split_words
 from arealens.operators.materialize import materialize
 
 WINDOW = 32
@@ -26,8 +27,11 @@ HIDDEN = 6
 WORD_BUCKETS = 1 << 16
 CHAR_BUCKETS = 1 << 16
 CHAR_GRAMS = (3, 4, 5)
-#: Bounds of the labelled sample: rows of each label, in the order of a hash of doc_id, and the
-#: longest text (characters) that may serve for training. Scoring has no such limit.
+#: Longer words (bytes) enter as overlapping pieces, each a word of its own, so texts without blanks are read whole.
+LONGEST_WORD = 64
+PIECE_STEP = 48
+#: Bounds of the labelled sample: rows of each label, in the order of a hash of doc_id, drawn from texts of at most so
+#: many characters. Scoring has no such limit.
 ROWS_PER_LABEL = 1000
 TRAIN_CHARS = 20_000
 EPOCHS = 3
@@ -45,10 +49,28 @@ class Vocabulary(NamedTuple):
     owner: np.ndarray
 
 
+def cut_long_words(words: Words) -> Words:
+    """Words of more than ``LONGEST_WORD`` bytes as overlapping pieces in their place."""
+    size = words.ends - words.starts
+    if not (size > LONGEST_WORD).any():
+        return words
+    pieces = np.where(size > LONGEST_WORD, -(-(size - LONGEST_WORD) // PIECE_STEP) + 1, 1)
+    owner = np.repeat(np.arange(len(size)), pieces)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    starts = words.starts[owner] + nth * PIECE_STEP
+    long = size[owner] > LONGEST_WORD
+    ends = np.where(long, np.minimum(starts + LONGEST_WORD, words.ends[owner]), words.ends[owner])
+    hashes = words.hashes[owner]
+    for at in np.flatnonzero(long):
+        hashes[at] = zlib.crc32(words.data[starts[at] : ends[at]])
+    hashes[long] = mix(hashes[long])
+    return words._replace(starts=starts, ends=ends, hashes=hashes, first=np.append(0, np.cumsum(pieces))[words.first])
+
+
 def _encode(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, Vocabulary]:
     """Index of each word among the distinct words (0 is padding), and the distinct words."""
     distinct, first, index = np.unique(hashes, return_index=True, return_inverse=True)
-    starts, ends = starts[first], np.minimum(ends[first], starts[first] + 64)
+    starts, ends = starts[first], ends[first]
     size = ends - starts
     marked = np.zeros(int((size + 2).sum()), np.uint64)
     begin = np.concatenate([[0], np.cumsum(size + 2)])
@@ -181,7 +203,7 @@ class Network:
         """Logit of the worst window of each text; empty texts have one window of padding."""
         out = np.zeros(len(texts))
         for lo, hi, data, offsets in chunks(texts, 1 << 19):
-            words = split_words(data, offsets, lower=True)
+            words = cut_long_words(split_words(data, offsets, lower=True))
             index, vocabulary = _encode(words.data, words.starts, words.ends, words.hashes)
             ids, row = _windows(index, words.first)
             inputs = self.embed(vocabulary)
@@ -215,7 +237,7 @@ def train_network(texts: list[str], labels: list[int], seed: int = 7) -> Network
     prepared = []
     for text in texts:
         _, _, data, offsets = next(chunks(pa.array([text]), 1 << 30))
-        words = split_words(data, offsets, lower=True)
+        words = cut_long_words(split_words(data, offsets, lower=True))
         index, vocabulary = _encode(words.data, words.starts, words.ends, words.hashes)
         prepared.append((vocabulary, *_windows(index, words.first)))
     _start_from_odds(net, prepared, labels)
@@ -276,14 +298,15 @@ def _held_out(column: str = "doc_id"):
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Network:
     """Train on the bounded sample of labelled rows of ``docs`` that are not held out.
 
-    A doc_id labelled both ways is left out, a repeated text counts once for each row drawn.
+    At most ``ROWS_PER_LABEL`` rows a label are drawn, from those whose text has ``TRAIN_CHARS`` characters or fewer. A doc_id labelled both ways is left out, a repeated text counts once for each row drawn.
     """
     one = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("top")).where("toxic = top")
     one = one.where(~_held_out())
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.length("text") <= TRAIN_CHARS)
+    usable = one.join(texts.select("doc_id"), "doc_id", "left_semi")
     key = F.xxhash64("doc_id")
-    parts = [one.where(F.col("toxic") == x).orderBy(key, "doc_id").limit(ROWS_PER_LABEL).select("doc_id", "toxic") for x in (0, 1)]
+    parts = [usable.where(F.col("toxic") == x).orderBy(key, "doc_id").limit(ROWS_PER_LABEL).select("doc_id", "toxic") for x in (0, 1)]
     sample = materialize(parts[0].union(parts[1]), "sample")
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.length("text") <= TRAIN_CHARS)
     found = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
     return train_network(found["text"].tolist(), found["toxic"].tolist())
 

@@ -172,3 +172,50 @@ def test_tree_fits_its_table():
     rows, labels = np.array([[0, 0], [0, 1], [1, 0], [1, 1.0]]), np.array([0, 1, 1, 1])
     tree = grow_tree(rows, labels)
     assert tree.feature is not None and TREE.feature is not None
+
+
+def test_every_language_has_its_reference(spark, monkeypatch):
+    from arealens.llm import divergence
+
+    rows = []
+    for k in range(300):
+        words = " ".join(f"q{k}x{j % 40}" for j in range(120))
+        rows += [(2 * k, words, f"l{k}", "a"), (2 * k + 1, words.replace("x", "y", 5), f"l{k}", "b")]
+    rows += [(900, rows[0][1], "l299", "c"), (901, rows[0][1], None, "d"), (902, None, "new", "e"), (903, "", None, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, reference string")
+    refs = fit_references(docs)
+    assert refs.rest is None
+    want = sorted(map(tuple, measure_quality(docs, refs).collect()))
+    monkeypatch.setattr(divergence, "LANGUAGES", 3)
+    few = fit_references(docs)
+    assert few.rest.count() == len({r[2] or "" for r in rows}) - 3
+    assert sorted(map(tuple, measure_quality(docs, few).collect())) == want
+    kept = keep_usual(docs, few)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in want if r[7]]
+    distance = {r[0]: r[9] for r in want}
+    assert distance[900] > 0.5 > 0.1 > distance[0]
+
+
+def test_long_words_are_read_to_their_end():
+    import numpy as np
+
+    from arealens.llm.toxicity import Network, cut_long_words
+    from arealens.llm.words import split_words
+
+    def cut(*texts):
+        data = [t.encode() for t in texts]
+        words = split_words(np.frombuffer(b"".join(data), np.uint8), np.append(0, np.cumsum([len(d) for d in data])), lower=True)
+        return words, cut_long_words(words)
+
+    plain, same = cut("one two", "", "three " + "x" * 64)
+    assert same is plain
+    before, after = cut("one " + "字" * 60 + " two", "", "x" * 500)
+    assert after.first.tolist() == [0, 6, 6, 17] and before.first.tolist() == [0, 3, 3, 4]
+    assert (after.ends - after.starts).max() <= 64 and after.ends[4] == before.ends[1] and after.starts[1] == before.starts[1]
+    assert (after.starts[2:5] < after.ends[1:4]).all()
+    import pyarrow as pa
+
+    net = Network()
+    a, b = net.score_texts(pa.array(["字" * 30 + "好人", "字" * 30 + "坏蛋"]))
+    assert a != b
