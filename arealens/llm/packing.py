@@ -59,7 +59,7 @@ class _Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.pool = Pool(self._words, 1_200_000)
+        self.pool = Pool(self._words, 2_000_000)
         self.pieces: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
