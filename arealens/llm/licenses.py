@@ -1,7 +1,8 @@
 """License scans: phrase counts, and ordered signature rules with interval suppression.
 
-A rule is a regular expression with keywords and a priority. Sentences without a keyword that every match
-of the expression has never meet it. Where detections of a sentence overlap so that one interval contains the other, the one
+A rule is a regular expression with keywords and a priority. Sentences, which end at stops and blank lines but not at
+other line ends, never meet a rule without a keyword that every match of its expression has. All matches of a rule count.
+Where detections of a sentence overlap so that one interval contains the other, the one
 with the higher priority stays (then the longer, then the earlier rule). Everything is DataFrame
 operations inside the row: no join, no shuffle.
 """
@@ -16,6 +17,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arealens.functions.bind import bind
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word of the phrase count; before lower-casing A-Z are word characters too.
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -79,7 +82,7 @@ FAMILIES = (
 _TAIL = r"(?:-\d+(?:\.\d+)+(?:-[a-z]{2,3})?)?(?:-only|-or-later|\+)?"
 #: (priority, pattern around a family's name {n}, home page {u} or label {l}, keywords one of which the shape itself holds).
 SHAPES = (
-    (100, r"spdx-license-identifier:\s*{l}{t}(?![\w+-]|\.\w)", ("spdx",)),
+    (100, r"spdx-license-identifier:\s*\(*{l}{t}(?![\w+-]|\.\w)", ("spdx",)),
     (95, r"{u}", ()),
     (90, r"(?:licensed|released|distributed|published|available|redistributed) under (?:the )?(?:terms of )?(?:the )?(?:{n}){t}(?![\w-])(?:,? licen[sc]e)?", ("under",)),
     (80, r"licen[sc]e\s*[:=]\s*\W?(?:{n}){t}(?![\w-])", ("licen",)),
@@ -95,6 +98,13 @@ WORDINGS = (
     Rule("bsd-2-clause", (("redistribution and use",),), r"redistribution and use in source and binary forms", 84),
     Rule("gpl-family", (("general public licen",),), r"(?:gnu )?general public licen[sc]e", 50),
     Rule("gpl-family", (("free software",),), r"this program is free software[:;] you can redistribute it", 55),
+    Rule("bsd-family", (("bsd",),), r"(?<![\w-])bsd(?:-style)? licen[sc]e", 50),
+    Rule("cc-by", (("cc by", "cc-by"),), r"(?<![\w-])cc[ -]by[ -]\d\.\d", 65),
+    Rule("cc-by-sa", (("cc by", "cc-by"),), r"(?<![\w-])cc[ -]by-sa[ -]\d\.\d", 65),
+    Rule("cc-by-nd", (("cc by", "cc-by"),), r"(?<![\w-])cc[ -]by-nd[ -]\d\.\d", 65),
+    Rule("cc-by-nc", (("cc by", "cc-by"),), r"(?<![\w-])cc[ -]by-nc[ -]\d\.\d", 65),
+    Rule("cc-by-nc-sa", (("cc by", "cc-by"),), r"(?<![\w-])cc[ -]by-nc-sa[ -]\d\.\d", 65),
+    Rule("cc-by-nc-nd", (("cc by", "cc-by"),), r"(?<![\w-])cc[ -]by-nc-nd[ -]\d\.\d", 65),
     Rule("zlib", (("as-is",),), r"this software is provided 'as-is', without any express or implied warranty", 85),
     Rule("unlicense", (("unencumbered",),), r"free and unencumbered software released into the public domain", 85),
     Rule("public-domain", (("public domain",),), r"(?:in|into|to) the public domain", 40),
@@ -119,21 +129,41 @@ def build_rules() -> tuple[Rule, ...]:
 
 RULES = build_rules()
 #: A text without any of these meets no rule.
-_GATE = r"(?i)licen[sc]|spdx|under |terms of|governed by|covered by|subject to|conditions of|permission|redistribution|contributors|public domain|rights reserved|confidential|copyright|©|free software|unencumbered|as-is|\.org|\.net|\.eu"
+_GATE = r"(?i)licen[sc]|spdx|under |terms of|governed by|covered by|subject to|conditions of|permission|redistribution|contributors|public domain|rights reserved|confidential|copyright|©|free software|unencumbered|as-is|cc[ -]by|\.org|\.net|\.eu"
+#: Sentences end at stops followed by white space, and at blank lines.
+_SENTENCE_END = r"\n[ \t\r]*\n\s*|(?<=[.!?;])\s+"
+#: Between the identifiers of an SPDX expression.
+_SPDX_NEXT = r"(?<=spdx-license-identifier:[\w.+() \t-]{0,200})[ \t]+(?:or|and|with)[ \t]+\(*"
+#: White space, a line end with the marks of a comment around it.
+_BLANKS = r"[ \t\r\f]*\n[ \t]*(?:(?:[*#;%]+|//+|--)(?=\s))?[ \t]*|[ \t\r\f]+"
+
+
+def _intervals(order: int, rule: Rule):
+    """Detections of one rule from its matches and the text between them."""
+
+    def length(texts: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(texts, F.lit(1), n), F.lit(0), lambda total, t: total + F.length(t))
+
+    def of(z: Column) -> Column:
+        def hit(match: Column, i: Column) -> Column:
+            start = length(z["between"], i + 1) + length(z["matches"], i) + 1
+            return F.struct(
+                F.lit(rule.label).alias("label"), F.lit(rule.priority).alias("priority"), F.lit(order).alias("rule"), start.alias("start"), (start + F.length(match)).alias("end")
+            )
+
+        return F.transform(z["matches"], hit)
+
+    return of
 
 
 def _detections(sentence: Column, rules: tuple[Rule, ...]) -> Column:
-    """The first interval of each rule in a lower-cased sentence."""
+    """All intervals of each rule in a lower-cased sentence."""
     found = []
     for order, rule in enumerate(rules):
-        start = F.regexp_instr(sentence, F.lit(rule.pattern))
-        length = F.length(F.regexp_extract(sentence, rule.pattern, 0))
-        hit = F.struct(
-            F.lit(rule.label).alias("label"), F.lit(rule.priority).alias("priority"), F.lit(order).alias("rule"), start.alias("start"), (start + length).alias("end")
-        )
+        pair = F.struct(F.regexp_extract_all(sentence, F.lit(rule.pattern), F.lit(0)).alias("matches"), F.split(sentence, rule.pattern).alias("between"))
         held = [reduce(or_, [sentence.contains(k) for k in group]) for group in rule.keywords]
-        found.append(F.when(reduce(and_, held), F.when(start > 0, hit)))
-    return F.filter(F.array(*found), lambda d: d.isNotNull())
+        found.append(F.when(reduce(and_, held), bind(pair, _intervals(order, rule))))
+    return F.flatten(F.filter(F.array(*found), lambda d: d.isNotNull()))
 
 
 def _standing(found: Column) -> Column:
@@ -167,8 +197,7 @@ def _phrase_places(words: Column) -> Column:
 def scan_licenses(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, detections.
 
-    The base counts the places of ``PHRASES``; the rules add labels (one detection for each rule and
-    sentence). ``score`` is the highest priority met over 100, 0.6 for a phrase alone, 0 without either.
+    The base counts the places of ``PHRASES``; the rules add labels. ``score`` is the highest priority met over 100, 0.6 for a phrase alone, 0 without either.
     Null and empty texts have no words. Repeated rows get equal results; further columns are ignored;
     an empty table gives no rows.
     """
@@ -176,8 +205,9 @@ def scan_licenses(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     lower = F.translate("text", _UPPER, _LOWER)
     words = F.when(F.col("text").rlike("(?i)license"), F.regexp_extract_all(lower, F.lit(_WORD), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    sentences = F.filter(F.split(lower, r"\n|(?<=[.!?;])\s+"), lambda s: s.rlike(_GATE))
-    kept = F.when(F.col("text").rlike(_GATE), F.transform(sentences, lambda s: F.regexp_replace(s, r"[ \t\r\f]+", " "))).otherwise(F.array().cast("array<string>"))
+    named = F.when(lower.contains("spdx-"), F.regexp_replace(lower, _SPDX_NEXT, " spdx-license-identifier: ")).otherwise(lower)
+    sentences = F.filter(F.split(named, _SENTENCE_END), lambda s: s.rlike(_GATE))
+    kept = F.when(F.col("text").rlike(_GATE), F.transform(sentences, lambda s: F.regexp_replace(s, _BLANKS, " "))).otherwise(F.array().cast("array<string>"))
     rows = rows.select("doc_id", F.regexp_count("text", F.lit(_WORD)).cast("long").alias("n_words"), words.alias("words"), kept.alias("sentences"))
     rows = rows.withColumn("places", _phrase_places(F.col("words"))).withColumn("found", F.transform("sentences", lambda s: _detections(s, rules)))
     rows = rows.withColumn("detections", F.flatten(F.transform("found", _standing)))

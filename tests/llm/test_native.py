@@ -191,6 +191,27 @@ def test_license_rules_find_a_sample_of_every_alternative(spark):
     assert [r.labels for r in other] == ["", ""]
 
 
+def test_licenses_in_wrapped_texts_and_expressions(spark):
+    cases = [
+        ("This software is provided 'as-is', without any express or implied\nwarranty.", {"zlib"}),
+        ("/*\n * Permission is hereby granted, free of charge, to any\n * person obtaining a copy of this software */", {"mit"}),
+        ("# Neither the name of the owner nor the names of its\n# contributors may be used", {"bsd-3-clause"}),
+        ("under the terms of the GNU General\nPublic License version 2", {"gpl-2.0"}),
+        ("licensed under the GNU Lesser General Public License version 3, parts under the GNU General Public License", {"lgpl-3.0", "gpl-family"}),
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0)", {"mit", "apache-2.0"}),
+        ("SPDX-License-Identifier: MIT AND GPL-2.0-only AND (ISC OR Zlib)\nand more", {"mit", "gpl-2.0", "isc", "zlib"}),
+        ("text: CC BY 4.0", {"cc-by"}),
+        ("The BSD license applies", {"bsd-family"}),
+        ("MIT license here, and the ISC license, and the MIT license", {"mit", "isc"}),
+        ("the public\n\ndomain", set()),
+    ]
+    got = scan_licenses(documents(spark, [t for t, _ in cases])).orderBy("doc_id").collect()
+    for row, (text, want) in zip(got, cases):
+        assert want <= set(row.labels.split(",")) - {""} if want else row.labels == "", (text, row.labels)
+    last = got[9]
+    assert [(d.label, d.start) for d in last.detections if d.label == "mit"] == [("mit", 1), ("mit", 48)]
+
+
 def test_leaks_with_values_of_other_lengths(spark):
     mary = "Mary has 5 apples. Mary gives 3 to Tom. How many apples does Mary have left?"
     benchmark = spark.createDataFrame([(1, mary), (2, ITEM), (3, "Name Peru capital"), (4, "zyx")], "item_id long, text string")
