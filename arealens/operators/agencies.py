@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealens.functions.text import agency_key, agency_place_key, county_key, place_key
+from arealens.operators.materialize import materialize
+from arealens.operators.skew import hottest_keys, lookup_join
 
 NAME_SEPARATORS = r"[,;/]| and "
 
@@ -121,7 +123,10 @@ def resolve_rows(rows: DataFrame, counties: DataFrame, places: DataFrame, agenci
         .unionByName(_kind(agencies, "agency"))
     )
     kind = F.when(F.col("table_number") == "10", "county").when(F.col("table_number") == "8", "city").otherwise("agency")
-    joined = keyed.withColumn("_kind", kind).join(lookups, ["_kind", "state_code", "_key"], "left")
+    named, keys = keyed.withColumn("_kind", kind), ["_kind", "state_code", "_key"]
+    # a big city's police names a third of the rows: the most frequent names are answered by a broadcast
+    hot = hottest_keys(named.where(F.col("_key").isNotNull() & F.col("state_code").isNotNull()), keys)
+    joined = lookup_join(named, materialize(lookups, "names"), keys, hot)
     found = F.col("county_fips").isNotNull()
     stem = F.when(F.col("_kind") == "city", "agency_city_lookup").otherwise("agency_name_lookup")
     method = (
