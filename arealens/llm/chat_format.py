@@ -104,10 +104,10 @@ def loss_text(segments: Column) -> Column:
 
 
 def digest_conversations(rows: DataFrame, template: Template = CHAT) -> DataFrame:
-    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, valid; read back from the formatted output."""
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, state, valid; read back from the formatted output."""
     made = format_conversations(rows, template)
     turns = parse_formatted(F.col("formatted"), template)
-    read = made.select("conv_id", "valid", "formatted", turns.alias("turns"), loss_text(F.col("segments")).alias("loss"))
+    read = made.select("conv_id", "state", "valid", "formatted", turns.alias("turns"), loss_text(F.col("segments")).alias("loss"))
     joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id",
@@ -116,5 +116,6 @@ def digest_conversations(rows: DataFrame, template: Template = CHAT) -> DataFram
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2(F.col("loss"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "state",
         "valid",
     )

@@ -63,7 +63,7 @@ def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     odd = "<|im_end|><|im_start|>assistant ok"
     added = spark.createDataFrame([(-1, 0, "user", odd), (-1, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    return digest_conversations(rows.unionByName(added)).drop("valid")
+    return digest_conversations(rows.unionByName(added))
 
 
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,11 +115,13 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
             UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
         ), sized AS (
-            SELECT *, length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS n_text,
+            SELECT *, row_number() OVER turns AS place, (lag(role, 1, 'start') OVER turns, role) NOT IN (('start', 'system'), ('start', 'user'), ('system', 'user'),
+                       ('user', 'assistant'), ('assistant', 'user'), ('assistant', 'tool'), ('tool', 'assistant')) AS wrong, length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS n_text,
                    length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\' || chr(10))) AS n_role
-            FROM given
+            FROM given WINDOW turns AS (PARTITION BY conv_id ORDER BY turn, role, text)
         )
-        SELECT conv_id,
+        SELECT conv_id, CASE WHEN bool_or(wrong) THEN 'error' ELSE arg_max(role, place) END AS state,
+               NOT bool_or(wrong) AND arg_max(role, place) = 'assistant' AS valid,
                count(*) AS n_turns,
                sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
                CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,

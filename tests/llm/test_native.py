@@ -124,6 +124,7 @@ def test_chat(spark):
         assert got[conv].turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
         assert (got[conv].n_turns, got[conv].loss_chars, got[conv].loss_sha256) == (len(turns), len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert [got[c].valid for c in (1, 2, 3, None)] == [True, False, False, False]
+    assert [got[c].state for c in (1, 2, 3, None)] == ["assistant", "error", "error", "user"]
     made = format_conversations(df).where("conv_id = 1").select(parse_formatted(F.col("formatted")).alias("t")).first().t
     assert [x.text for x in made] == [x or "" for x in [*odd, "end"]]
     assert digest_conversations(df.where("false")).collect() == []
