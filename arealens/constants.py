@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# --- column contracts -------------------------------------------------------
+# --- column contracts: fixed values ---------------------------------------------
 
 CATEGORIES = ["violent", "property", "drug", "public_order", "weapons", "other", "unknown"]
 SCORED = ["violent", "property", "drug", "public_order", "weapons", "other"]
