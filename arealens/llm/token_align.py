@@ -141,8 +141,11 @@ class _Codec:
         return np.bincount(owner, minlength=len(stretches)), found[np.argsort(2 * owner + found[:, 0], kind="stable")]
 
     def _rows(self, stretch: bytes) -> list[np.ndarray] | None:
-        """Rows of both tokenizers, None where one of them changes the bytes."""
-        text = stretch.decode()
+        """Rows of both tokenizers, None where one of them changes the bytes, as both do with bytes that are no UTF-8."""
+        try:
+            text = stretch.decode()
+        except UnicodeDecodeError:
+            return None
         out = []
         for k, ids, table, sizes in ((0, self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.a_bytes, self.a_sizes), (1, self.b.encode(text[1:]), self.b_bytes, self.b_sizes)):
             rows = np.empty((len(ids), 3), np.int32)
@@ -266,8 +269,8 @@ def _cut_ranges(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, text in zip(batch.column("row").to_pylist(), batch.column("text")):
-                data = b" " + text.as_py().encode()
+            for row, text in zip(batch.column("row").to_pylist(), batch.column("text").cast(pa.binary())):
+                data = b" " + text.as_py()
                 places = np.concatenate([[0], safe_places(np.frombuffer(data, np.uint8)), [len(data)]])
                 for k, lo in enumerate(range(0, len(data), size)):
                     hi = min(lo + size, len(data))
@@ -393,7 +396,9 @@ def _align_long(docs: DataFrame, a_path: str, b_path: str, size: int) -> tuple[D
     for more in parts[1:]:
         pieces = pieces.unionByName(more.where("k is null"))
     roots = ids.select("row", "doc_id").join(parts[-1].where("k is not null").select("row", "sound"), "row").where("sound")
-    pieces = pieces.join(roots.select("row"), "row", "left_semi")
+    # Written, for the pieces of a row to be shuffled together by the repartitioning itself: one that the joins before it
+    # already meet is left out of the plan, and those joins may be changed at run time.
+    pieces = materialize(pieces.join(roots.select("row"), "row", "left_semi").drop(*[c for c in tree if c != "row"]), "pieces")
     numbers = pieces.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_a", "n_b", "n_groups", "n_links")])
     ordered = pieces.select("row", "begin", "groups").repartition("row").sortWithinPartitions("row", "begin")
     digests = ordered.select("row", "groups").mapInArrow(_digest_pieces, "row long, groups_sha256 string")
@@ -420,8 +425,8 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, size: int = RANG
     """Per row of ``docs`` (doc_id, text): doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
     A, a byte-level tokenizer (``tokenizers`` file), reads a blank and the text; B, a sentencepiece model that
-    sets a blank in front, the text. Null and empty texts, and texts whose bytes either of them changes, have no
-    tokens: zeros and an empty digest. A pair of ids counts once for each document (row) that links it.
+    sets a blank in front, the text. Null and empty texts, and texts whose bytes either of them changes (so all that are
+    no UTF-8), have no tokens: zeros and an empty digest. A pair of ids counts once for each document (row) that links it.
     Repeated rows and null ids are rows like others; further columns are ignored; an empty table gives no rows.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

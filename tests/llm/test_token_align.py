@@ -108,6 +108,26 @@ def test_repeated_rows_missing_ids_and_empty_tables(spark):
     assert align_tokenizers(df.limit(0), *PATHS).collect() == []
 
 
+def test_long_documents_when_joins_become_broadcasts_at_run_time(spark):
+    given = [prose(k, 40 + 9 * k) for k in range(12)]
+    names = {"spark.sql.autoBroadcastJoinThreshold": "1000", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB"}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        got = align_tokenizers(documents(spark, given), *PATHS, 64).collect()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert sorted(map(tuple, got)) == brute(given)
+
+
+def test_bytes_that_are_no_text(spark):
+    df = spark.sql("SELECT 1L AS doc_id, cast(x'61FF62' AS string) AS text UNION ALL SELECT 2L, 'ab cd' UNION ALL SELECT 3L, concat(repeat('a ', 40), cast(x'E280' AS string))")
+    want = [(0, 0, 0, 0, 0, 0, ""), brute(["ab cd"])[0][1:], (0, 0, 0, 0, 0, 0, "")]
+    for size in (64, 1 << 16):
+        assert sorted(map(tuple, align_tokenizers(df, *PATHS, size).collect())) == [(i + 1, *w) for i, w in enumerate(want)]
+
+
 def test_composition_is_associative():
     rng = random.Random(2)
 
