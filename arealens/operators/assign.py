@@ -105,6 +105,19 @@ def polygon_cells(prepared: DataFrame, cell: float, crowded: DataFrame) -> DataF
     return kept.drop("west", "south", "east", "north", "fine")
 
 
+def distinct_shapes(prepared: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Usable polygons, those with equal edges as one: ``key`` is the smallest of their areas with its carried columns."""
+    usable = prepared.where("edges IS NOT NULL")
+    return usable.groupBy("edges", "min_lon", "max_lon", "min_lat", "max_lat").agg(F.min(F.struct("area", *carry)).alias("key"))
+
+
+def _reachable(cells: DataFrame, place: list[str]) -> DataFrame:
+    """Cells' polygons without those whose key comes after one that holds the whole cell: no point there can get them."""
+    cells = materialize(cells, "cells")
+    least = cells.where("whole").groupBy(*place).agg(F.min("key").alias("_least"))
+    return cells.join(least, place, "left").where(F.col("_least").isNull() | (F.col("key") <= F.col("_least"))).drop("_least")
+
+
 def locate_points(
     points: DataFrame,
     polygons: DataFrame,
@@ -124,8 +137,11 @@ def locate_points(
     The grid turns the spatial test into an equi-join. Coarse cells with many polygons have a finer grid of their
     own, so a point meets few polygons in a dense city too; cells with many points are
     split into shares of about ``points_per_task`` points, with the cell's polygons repeated per share.
+    Of polygons that lie on each other only those are tested that a point can get: equal ones once, and in a cell
+    that one of them fills none of larger keys.
     """
-    prepared = polygons if "edges" in polygons.columns else materialize(prepare_polygons(polygons, area, wkt, carry), "polygons")
+    prepared = polygons if "edges" in polygons.columns else prepare_polygons(polygons, area, wkt, carry)
+    prepared = materialize(distinct_shapes(prepared, carry), "shapes")
     dense = materialize(crowded_cells(prepared, cell), "dense")
     distinct = (
         points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
@@ -146,7 +162,7 @@ def locate_points(
     # The test is heavy for the bytes it reads: a fixed partition count keeps small inputs from being merged
     # into few tasks, and the keys are those of the join.
     keyed = keyed.repartition(row_salts(points), *key, "salt")
-    cells = polygon_cells(prepared, cell, dense).join(crowded, key, "left")
+    cells = _reachable(polygon_cells(prepared, cell, dense), key).join(crowded, key, "left")
     cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), share_count - 1)))
     hit = reduce(lambda a, b: a & b, [keyed[k] == cells[k] for k in [*key, "salt"]])
     inside = keyed.lon.between(cells.min_lon, cells.max_lon) & keyed.lat.between(cells.min_lat, cells.max_lat) & strictly_inside(keyed.lon, keyed.lat, cells.near)
@@ -155,7 +171,7 @@ def locate_points(
     located = (
         keyed.join(cells, hit, "left")
         .groupBy(keyed.lon, keyed.lat)
-        .agg(F.max("point_rows").alias("point_rows"), F.min(F.struct("area", *carry)).alias("_first"))
+        .agg(F.max("point_rows").alias("point_rows"), F.min(cells.key).alias("_first"))
         .select("lon", "lat", "point_rows", "_first.area", *[f"_first.{c}" for c in carry])
     )
     return materialize(located, "located")

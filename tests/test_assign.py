@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from arealens.functions.geo import edges_from_wkt, strictly_inside
-from arealens.operators.assign import assign_areas, attach_located, crowded_cells, join_assignments, locate_points, polygon_cells, prepare_polygons
+from arealens.operators.assign import assign_areas, attach_located, crowded_cells, distinct_shapes, join_assignments, locate_points, polygon_cells, prepare_polygons
 from arealens.operators.aggregate import annual_aggregates
 from arealens.operators.quality import area_coverage, counted_incidents, coverage_ratios
 
@@ -94,6 +94,19 @@ def test_a_dense_city_is_split_into_fine_cells(spark):
     assert {r.id: r.area for r in located.collect()} == {r.id: r.z for r in brute.collect()}
 
 
+def test_polygons_on_each_other_are_tested_once(spark):
+    """Two hundred copies each of a square and a triangle; some have no key."""
+    triangle = "POLYGON ((0 0, 1 0, 1 0.7, 0 0))"
+    shapes = [(f"{i:03d}" if i else None, str(i % 7), box(0, 0, 1, 1) if i % 2 else triangle) for i in range(400)]
+    polygons = spark.createDataFrame(shapes, "zcta string, state string, geom_wkt string")
+    prepared = prepare_polygons(polygons, carry=("state",))
+    assert sorted((r.key.area or "", r.key.state) for r in distinct_shapes(prepared, ("state",)).collect()) == [("", "0"), ("001", "1")]
+    rows = spark.createDataFrame([(0.9, 0.1), (0.1, 0.9), (2.0, 2.0)], "lon double, lat double")
+    spots = locate_points(rows, polygons, "lon", "lat", cell=1.0, carry=("state",))
+    got = {(r.lon, r.lat): (r.area, r.state) for r in spots.collect()}
+    assert got == {(0.9, 0.1): (None, "0"), (0.1, 0.9): ("001", "1"), (2.0, 2.0): (None, None)}
+
+
 def test_counts_are_weighted_and_ids_do_not_fan_out(spark):
     incidents = spark.createDataFrame(
         [("a", 4, 2024, "violent"), ("b", 1, 2024, "property"), ("b", 2, 2024, "property"), ("c", 9, 2024, "drug")],
