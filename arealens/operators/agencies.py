@@ -63,12 +63,16 @@ def primary_county(agencies: DataFrame, county_population: DataFrame, key: str)
 
 
 def agency_name_keys(agencies: DataFrame, key: str, name: str = "agency_name", places_only: bool = False) -> DataFrame:
-    """One row per agency and name key: the place key, and unless ``places_only`` the agency key."""
-    keys = [agency_place_key(F.col(name))] + ([] if places_only else [agency_key(F.col(name))])
-    exploded = agencies.where(F.col(name).isNotNull()).select(
-        key, "state_code", F.explode(F.array_distinct(F.array(*keys))).alias("name_key")
-    )
-    return exploded.where(F.col("name_key") != "")
+    """One row per agency and name key: the place key, and unless ``places_only`` the agency key.
+
+    Agencies of different places share names; each name is read once.
+    """
+    keys = [agency_place_key(F.col("_name"))] + ([] if places_only else [agency_key(F.col("_name"))])
+    named = agencies.where(F.col(name).isNotNull()).select(key, "state_code", F.col(name).alias("_name"))
+    names = named.groupBy("_name").agg(F.count(F.lit(1)).alias("_rows"))
+    names = materialize(names.select("_name", "_rows", F.array_distinct(F.array(*keys)).alias("_keys")), "agency_names")
+    keyed = lookup_join(named, names.select("_name", "_keys"), ["_name"], hottest_keys(names, ["_name"], "_rows"))
+    return keyed.select(key, "state_code", F.explode("_keys").alias("name_key")).where(F.col("name_key") != "")
 
 
 def unambiguous_names(candidates: DataFrame) -> DataFrame:
@@ -81,6 +85,7 @@ def unambiguous_names(candidates: DataFrame) -> DataFrame:
     distinct = candidates.groupBy("state_code", "name_key", "county_fips", "county_name", "lookup_notes").agg(
         F.count(F.lit(1)).alias("_k")
     )
+    distinct = materialize(distinct, "candidates")
     county = distinct.groupBy("state_code", "name_key").agg(
         F.min("county_fips").alias("county_fips"),
         F.max("county_fips").alias("_other"),
@@ -105,15 +110,19 @@ def name_lookup(agencies: DataFrame, county_population: DataFrame, key: str, pla
 def resolve_rows(rows: DataFrame, counties: DataFrame, places: DataFrame, agencies: DataFrame) -> DataFrame:
     """Attach a county to table rows: by county name (table 10), place (table 8) or agency name.
 
-    ``rows`` has table_number, state_code, agency_label and county_label.
+    ``rows`` has table_number, state_code, agency_label and county_label. Labels come back in every
+    table and year: each is read and resolved once, and its outcome goes back to its rows.
     """
-    keyed = rows.select(
-        "*",
-        F.when(F.col("table_number") == "10", county_key(F.col("county_label")))
-        .when(F.col("table_number") == "8", place_key(F.col("agency_label")))
-        .otherwise(agency_key(F.col("agency_label")))
-        .alias("_key"),
+    kind = F.when(F.col("table_number") == "10", "county").when(F.col("table_number") == "8", "city").otherwise("agency")
+    label = F.when(F.col("table_number") == "10", F.col("county_label")).otherwise(F.col("agency_label"))
+    named, same = rows.withColumns({"_kind": kind, "_label": label}), ["_kind", "state_code", "_label"]
+    labels = named.groupBy(*same).agg(F.count(F.lit(1)).alias("_rows"))
+    name_key = (
+        F.when(F.col("_kind") == "county", county_key(F.col("_label")))
+        .when(F.col("_kind") == "city", place_key(F.col("_label")))
+        .otherwise(agency_key(F.col("_label")))
     )
+    labels = materialize(labels.withColumn("_key", name_key), "labels")
     lookups = (
         counties.select(
             F.lit("county").alias("_kind"), "state_code", F.col("name_key").alias("_key"), "county_fips", "county_name",
@@ -122,11 +131,9 @@ def resolve_rows(rows: DataFrame, counties: DataFrame, places: DataFrame, agenci
         .unionByName(_kind(places, "city"))
         .unionByName(_kind(agencies, "agency"))
     )
-    kind = F.when(F.col("table_number") == "10", "county").when(F.col("table_number") == "8", "city").otherwise("agency")
-    named, keys = keyed.withColumn("_kind", kind), ["_kind", "state_code", "_key"]
-    # a big city's police names a third of the rows: the most frequent names are answered by a broadcast
-    hot = hottest_keys(named.where(F.col("_key").isNotNull() & F.col("state_code").isNotNull()), keys)
-    joined = lookup_join(named, materialize(lookups, "names"), keys, hot)
+    keys = ["_kind", "state_code", "_key"]
+    hot = hottest_keys(labels.where(F.col("_key").isNotNull() & F.col("state_code").isNotNull()), keys)
+    joined = lookup_join(labels, materialize(lookups, "names"), keys, hot)
     found = F.col("county_fips").isNotNull()
     stem = F.when(F.col("_kind") == "city", "agency_city_lookup").otherwise("agency_name_lookup")
     method = (
@@ -138,9 +145,15 @@ def resolve_rows(rows: DataFrame, counties: DataFrame, places: DataFrame, agenci
         .when(F.col("_kind") == "city", "unmatched_city")
         .otherwise("unmatched_agency_name")
     )
-    label = F.when(F.col("_kind") == "county", F.coalesce("county_label", F.lit("None"))).otherwise(F.col("agency_label"))
-    note = F.when(found, F.col("lookup_notes")).otherwise(F.concat(F.col("_kind"), F.lit("_not_found:"), label))
-    return joined.select(*rows.columns, "county_fips", "county_name", method.alias("mapping_method"), note.alias("mapping_notes"))
+    written = F.when(F.col("_kind") == "county", F.coalesce("_label", F.lit("None"))).otherwise(F.col("_label"))
+    note = F.when(found, F.col("lookup_notes")).otherwise(F.concat(F.col("_kind"), F.lit("_not_found:"), written))
+    outcome = joined.select(
+        *same, "_rows", "county_fips", "county_name", method.alias("mapping_method"), note.alias("mapping_notes")
+    )
+    outcome = materialize(outcome, "resolved")
+    # a big city's police names a third of the rows: the most frequent labels are answered by a broadcast
+    resolved = lookup_join(named, outcome.drop("_rows"), same, hottest_keys(outcome, same, "_rows"), null_safe=True)
+    return resolved.select(*rows.columns, "county_fips", "county_name", "mapping_method", "mapping_notes")
 
 
 def _kind(lookup: DataFrame, kind: str) -> DataFrame:
