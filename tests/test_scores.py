@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealens.constants import CATEGORIES, count_col
-from arealens.operators.ranking import global_row_number
+from arealens.functions.rates import round_decimal
+from arealens.operators.ranking import fixed_domain_percentiles, global_row_number
 from arealens.operators.scores import build_index, percentile_ranks, winsorize, z_scores
 from arealens.operators.skew import hottest_keys, lookup_join
 
@@ -110,3 +111,29 @@ def test_large_area_with_few_incidents_is_partial(spark):
     assert (rows["92336"].coverage_status, rows["92336"].confidence_grade, rows["92336"].observed_level) == ("partial_observed", "D", "zcta_partial")
     assert "partial_observed_high_population_low_incident_count" in rows["92336"].score_notes
     assert (rows["90650"].coverage_status, rows["90650"].confidence_grade) == ("observed", "A")
+
+
+def test_overall_percentile_leaves_the_rows_where_they_are(spark):
+    rows = [(i, "a" if i % 3 else None, None if i % 11 == 0 else (i * 7 % 90) / 10.0) for i in range(200)] + [(900, "one", 4.5), (901, "zero", 0.0), (902, "zero", 0.0)]
+    df = spark.createDataFrame(rows, "id int, g string, s double")
+    out = fixed_domain_percentiles(df, "s", "p", ["g"])
+    pdf = df.toPandas()
+    want = pdf.groupby("g", dropna=False)["s"].transform(percent_rank)
+    got = out.toPandas().set_index("id")["p"]
+    for i, w in zip(pdf["id"], want, strict=True):
+        assert (pd.isna(w) and pd.isna(got[i])) or got[i] == pytest.approx(w)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_round_decimal_is_round(spark):
+    rng = random.Random(5)
+    values = [None, 0.0, -0.0, -1e-9, 0.5, 1.5, -2.5, 0.125, 2.675, 1.005, 0.0000000005, 1.0000000005, 8.5e3, 9.1e9, 1e300, -1e300, float("inf"), float("-inf"), float("nan")]
+    values += [rng.uniform(-9, 9) * 10.0 ** rng.randint(-12, 12) for _ in range(3000)] + [rng.randint(-9999, 9999) / 10**rng.randint(0, 13) for _ in range(3000)]
+    values += [rng.randint(-9999, 9999) + rng.randint(0, 10**6) / 10**6 + 0.5 / 10**6 for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (3, 6, 9, 12):
+        slow, fast = F.round("v", digits), round_decimal(F.col("v"), digits)
+        shown = df.select("v", slow.alias("s"), fast.alias("f"))
+        assert shown.where(~F.col("s").eqNullSafe(F.col("f"))).collect() == []
+        assert {str(r.f) for r in shown.where("f = 0").collect()} <= {"0.0"}
