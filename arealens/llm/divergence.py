@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arealens.llm.words import Words, chunks, split_words, window_hashes
-from arealens.operators.materialize import materialize
+from arealens.operators.materialize import TEXT_ROWS, materialize
 
 #: Limits of the Jensen-Shannon distance (0 to 1) and the lengths from which they are applied.
 MAX_CLASS_DISTANCE = 0.3
@@ -178,6 +178,7 @@ def fit_references(docs: DataFrame, common: int = COMMON_WORDS) -> References:
         docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
         .mapInArrow(_gather, "lang string, part int, key long, n long").groupBy("lang", "part", "key").agg(F.sum("n").alias("n")),
         "counts",
+        TEXT_ROWS,
     )
     everything = counted.groupBy("part", "key").agg(F.sum("n").alias("n")).select(F.lit("*").alias("lang"), "part", "key", "n")
     chars = counted.where("part = 0").groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1)

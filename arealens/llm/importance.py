@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealens.llm.words import chunks, mix, split_words, window_hashes
-from arealens.operators.materialize import materialize
+from arealens.operators.materialize import TEXT_ROWS, materialize
 
 BUCKETS = 1 << 16
 #: Bounds of the labelled samples: rows labelled good (half for the target model, half for the cut)
@@ -147,7 +147,7 @@ def fit_importance(docs: DataFrame, labels: DataFrame) -> tuple[Importance, Data
             weight, key = _weigh(batch, sent.value)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(weight), pa.array(key), batch.column("good")], names=["doc_id", "log_weight", "sample_key", "good"])
 
-    scored = materialize(marked.mapInArrow(weigh, "doc_id long, log_weight double, sample_key double, good int"), "weights")
+    scored = materialize(marked.mapInArrow(weigh, "doc_id long, log_weight double, sample_key double, good int"), "weights", TEXT_ROWS)
     known = scored.where("good is not null").groupBy("doc_id").agg(F.max("good").alias("good"), F.min("log_weight").alias("w")).select("good", "w").toPandas()
     held = known["good"] == (2 if (known["good"] == 2).any() else 1)
     good, bad = known["w"][held].to_numpy(float), known["w"][known["good"] == 0].to_numpy(float)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from arealens.llm.components import connected_components
 from arealens.llm.words import chunks, mix, shingle_set, split_words
-from arealens.operators.materialize import materialize
+from arealens.operators.materialize import TEXT_ROWS, materialize
 
 #: Share of the token space over which sets are counted for each token, for the first bound.
 COUNTED = 0.25
@@ -419,7 +419,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     spark = docs.sparkSession
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = materialize(text.mapInArrow(_scan(size), "doc_id long, n long, counted long, node long"), "sets")
+    rows = materialize(text.mapInArrow(_scan(size), "doc_id long, n long, counted long, node long"), "sets", TEXT_ROWS)
     nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("counted").alias("counted"))
 
     def gathered(given: DataFrame, choose, wanted: bool, named: bool = True) -> DataFrame:

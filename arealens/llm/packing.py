@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from arealens.llm.token_units import Pool, ragged
 from arealens.llm.words import chunks
-from arealens.operators.materialize import materialize
+from arealens.operators.materialize import TEXT_ROWS, materialize
 
 SEQUENCE = 2048
 #: Length classes are multiples of so many tokens; a remainder wastes less than one unit.
@@ -239,7 +239,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     spark = docs.sparkSession
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, unit long, rank long, task long"
-    pieces = materialize(text.mapInArrow(_pieces(tokenizer_path), schema), "pieces")
+    pieces = materialize(text.mapInArrow(_pieces(tokenizer_path), schema), "pieces", TEXT_ROWS)
     rest = pieces.where("unit > 0")
     counts = materialize(rest.groupBy("unit", "task").agg(F.count("*").alias("n")), "lengths")
     demand = {r["unit"]: r["n"] for r in counts.groupBy("unit").agg(F.sum("n").alias("n")).collect()}

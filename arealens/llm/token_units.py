@@ -12,8 +12,13 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
+from arealens.llm.words import mix
+
 #: Bytes of distinct stretches that a worker remembers at most.
 REMEMBERED_BYTES = 32 << 20
+#: Longer stretches are encoded in each batch that holds them.
+LONGEST = 4096
+_BYTE_CODE, _PLACE_CODE = (np.random.default_rng(k).integers(1, 1 << 63, n, dtype=np.int64).astype(np.uint64) * 2 + 1 for k, n in ((7, 256), (8, LONGEST)))
 
 _BEFORE = np.zeros(256, bool)
 _BEFORE[0x21:0x7F] = True
@@ -49,11 +54,36 @@ def ragged(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(first - (ends - counts), counts) + np.arange(total)
 
 
+def stretch_hashes(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of each stretch of ``data``, which lie side by side and hold 1 to ``LONGEST`` bytes."""
+    if not len(sizes):
+        return np.zeros(0, np.uint64)
+    terms = _BYTE_CODE[data] * _PLACE_CODE[ragged(np.zeros_like(sizes), sizes)]
+    return mix(np.add.reduceat(terms, np.cumsum(sizes) - sizes) + sizes.astype(np.uint64))
+
+
+class _Rows:
+    """An array that grows at its end, by doubling: room not yet written to takes no memory."""
+
+    def __init__(self, like: np.ndarray):
+        self.held, self.size = np.empty((1 << 16, *like.shape[1:]), like.dtype), 0
+
+    def append(self, rows: np.ndarray) -> None:
+        size = self.size + len(rows)
+        if size > len(self.held):
+            held = np.empty((max(size, 2 * len(self.held)), *self.held.shape[1:]), self.held.dtype)
+            held[: self.size] = self.held[: self.size]
+            self.held = held
+        self.held[self.size : size] = rows
+        self.size = size
+
+
 class Pool:
     """Rows for each token of each remembered stretch.
 
     ``encode`` gives, for a list of stretches, how many tokens each has and the rows of all, one after the other. After
-    ``entries`` stretches (about 200 bytes each) all are forgotten.
+    ``entries`` stretches all are forgotten. They are held as arrays, about 60 bytes each where a dict took 200 and more:
+    found by a hash, then compared byte by byte. Of two stretches with one hash only the first is found again.
     """
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], entries: int):
@@ -61,27 +91,69 @@ class Pool:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.size = 0
-        self.first, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.tokens: np.ndarray | None = None
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted by hash
+        self._data, self._begins, self._sizes = _Rows(np.zeros(0, np.uint8)), _Rows(np.zeros(0, np.int64)), _Rows(np.zeros(0, np.int32))
+        self._first, self._counts = _Rows(np.zeros(0, np.int64)), _Rows(np.zeros(0, np.int64))
+        self._tokens: _Rows | None = None
+
+    @property
+    def first(self) -> np.ndarray:
+        return self._first.held[: self._first.size]
+
+    @property
+    def counts(self) -> np.ndarray:
+        return self._counts.held[: self._counts.size]
+
+    @property
+    def tokens(self) -> np.ndarray | None:
+        return None if self._tokens is None else self._tokens.held[: self._tokens.size]
+
+    def _find(self, hashes: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The numbers of stretches that lie side by side in ``data``, -1 where one is not remembered."""
+        found = np.full(len(sizes), -1)
+        if not len(self.hashes):
+            return found
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        numbers = self.numbers[at]
+        same = (self.hashes[at] == hashes) & (self._sizes.held[numbers] == sizes)
+        alike = np.flatnonzero(same)
+        length = sizes[alike]
+        differ = self._data.held[ragged(self._begins.held[numbers[alike]], length)] != data[ragged((np.cumsum(sizes) - sizes)[alike], length)]
+        same[np.repeat(alike, length)[differ]] = False
+        found[same] = numbers[same]
+        return found
 
     def look_up(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """For each stretch data[bounds[i] : bounds[i + 1]] its number in ``first`` and ``counts``."""
-        if len(self.known) > self.entries or self.size > REMEMBERED_BYTES:
+        if self._first.size > self.entries or self._data.size > REMEMBERED_BYTES:
             self._clear()
         buffers = [None, pa.py_buffer(np.ascontiguousarray(bounds, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
         found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode()
-        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
-        numbers = list(map(self.known.get, distinct))
-        new = [s for s, n in zip(distinct, numbers) if n is None]
-        if new:
-            counts, rows = self.encode(new)
-            held = 0 if self.tokens is None else len(self.tokens)
-            self.first = np.concatenate([self.first, held + np.cumsum(counts) - counts])
-            self.counts = np.concatenate([self.counts, counts])
-            self.tokens = rows if self.tokens is None else np.concatenate([self.tokens, rows])
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.size += sum(map(len, new))
-            numbers = list(map(self.known.get, distinct))
-        return np.array(numbers, np.int64)[found.indices.to_numpy(zero_copy_only=False)]
+        distinct = found.dictionary
+        _, ends, held = distinct.buffers()
+        ends = np.frombuffer(ends, np.int64)[distinct.offset :][: len(distinct) + 1]
+        held = np.frombuffer(held, np.uint8) if held is not None else np.zeros(0, np.uint8)
+        sizes = np.diff(ends)
+        short = np.flatnonzero((sizes > 0) & (sizes <= LONGEST))
+        own = held[ragged(ends[short], sizes[short])]
+        hashes = stretch_hashes(own, sizes[short])
+        numbers = np.full(len(sizes), -1)
+        numbers[short] = self._find(hashes, own, sizes[short])
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            counts, rows = self.encode(distinct.take(pa.array(new)).to_pylist())
+            if self._tokens is None:
+                self._tokens = _Rows(rows)
+            numbers[new] = self._first.size + np.arange(len(new))
+            self._first.append(self._tokens.size + np.cumsum(counts) - counts)
+            self._counts.append(counts)
+            self._tokens.append(rows)
+            self._begins.append(self._data.size + np.cumsum(sizes[new]) - sizes[new])
+            self._sizes.append(np.minimum(sizes[new], LONGEST + 1))
+            self._data.append(held[ragged(ends[new], sizes[new])])
+            fresh = np.flatnonzero(numbers[short] >= numbers[new[0]])
+            fresh = fresh[np.argsort(hashes[fresh], kind="stable")]
+            at = np.searchsorted(self.hashes, hashes[fresh], "right")
+            self.hashes = np.insert(self.hashes, at, hashes[fresh])
+            self.numbers = np.insert(self.numbers, at, numbers[short[fresh]])
+        return numbers[found.indices.to_numpy(zero_copy_only=False)]

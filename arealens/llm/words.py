@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; the work arrays take about 80 times as much memory.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -55,8 +56,19 @@ def _power_table(base: int, size: int) -> np.ndarray:
     return table
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker that waits for its next task keeps its heap otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def chunks(text: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) for runs of rows of about ``limit`` bytes; null is the empty text."""
+    """(first row, end row, bytes, offsets) for runs of rows of about ``limit`` bytes; null is the empty text.
+
+    Behind the last run, freed memory is given back.
+    """
     if isinstance(text, pa.ChunkedArray):
         text = text.combine_chunks()
     if not (pa.types.is_string(text.type) or pa.types.is_large_string(text.type)):
@@ -72,6 +84,7 @@ def chunks(text: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Iterat
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
+    give_back()
 
 
 def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
