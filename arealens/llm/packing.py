@@ -16,7 +16,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,94 +31,117 @@ END_ID = 1
 #: Columns are priced until none saves this share of a sequence, or so many were.
 GAIN = 1e-3
 MAX_COLUMNS = 2000
-_CACHE_ENTRIES = 200_000
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_LATIN = re.compile("(?:(?!<\\|)[\x21-\x7e\xa1-\u024f])*")
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|\n|[^\s\p{L}\p{N}]+")
-_BREAK = np.array(0xFFFFFFFF, "<u4")
+#: Texts of one piece that the tokenizer gets at once.
+_AT_ONCE = 20_000
+_LETTERS = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u027f"
+_ONE_PIECE = re.compile(rf"[{_LETTERS}]+|[0-9]|[!-/:-@\[-`{{-~]+")
+_LOWER = bytes(range(256)).lower()
+_START, _CUT, _ODD = 1, 2, 4
 
 
+def _byte_kinds() -> tuple[bytes, bytes]:
+    """A kind (below 16) for each byte, and what a byte of kind b behind one of kind a is: _STEPS[16 * a + b].
 
+    Kinds: 0 blank, 1 letter, 2 first letter of 's, 't, 're, 've, 'm, 'll or 'd, 3 digit, 4 apostrophe, 5 <, 6 |,
+    7 other ASCII punctuation, 8 first byte of a letter up to U+027F, 9 C3, 10 C4, 11 second byte, 12 97 and B7,
+    13 B0, 15 all else. Odd are 15 and what is made of 9 and 12 (no letters), 10 and 13 (lower case has two
+    characters) and 5 and 6 (a special token begins so).
+    """
+    kinds = np.full(256, 15, np.uint8)
+    kinds[0x21:0x7F], kinds[0x80:0xC0], kinds[0xC3:0xCA] = 7, 11, 8
+    kinds[[0x20, *range(0x09, 0x0E)]] = 0
+    kinds[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+    kinds[list(b"strvmldSTRVMLD")], kinds[0x30:0x3A] = 2, 3
+    kinds[0x27], kinds[0x3C], kinds[0x7C], kinds[0xC3], kinds[0xC4], kinds[[0x97, 0xB7]], kinds[0xB0] = 4, 5, 6, 9, 10, 12, 13
+    steps = np.zeros((16, 16), np.uint8)
+    begins, ends, signs = [1, 2, 8, 9, 10], [1, 2, 11, 12, 13], [5, 6, 7]
+    steps[np.ix_(ends, [3, 4, *signs])] = _CUT
+    steps[np.ix_([3], [*begins, 3, 4, *signs])] = _CUT
+    steps[np.ix_(signs, [*begins, 3])] = _CUT
+    steps[np.ix_([4], [1, 3, 8, 9, 10])] = _CUT
+    steps[9, 12] = steps[10, 13] = steps[5, 6] = _ODD
+    steps[:, 15] = _ODD
+    steps[0, 1:] |= _START
+    return kinds.tobytes(), steps.tobytes()
+
+
+_KINDS, _STEPS = _byte_kinds()
 
-class _Encoder:
-    """Token ids of texts; blank-separated strings are encoded once and remembered.
 
-    Sound for a tokenizer that lower-cases, drops white space, lets no token cross the pieces of
-    ``_PIECES`` and ends each piece with a token marked by ``</w>``. New pieces are encoded many at a
-    time and told apart by that mark; strings beyond Latin letters, or with special tokens, go to the
-    tokenizer one by one.
+class _Encoder:
+    """Token ids of texts; pieces are encoded once and remembered.
+
+    Sound for a tokenizer that lower-cases, drops white space, encodes bytes, ends each piece with a token marked by
+    ``</w>`` and lets no token cross its pieces: 's, 't, 're, 've, 'm, 'll, 'd, runs of letters, digits one by one,
+    runs of other signs. Blank-separated strings of ASCII and letters up to U+027F are lower-cased and cut into pieces
+    as bytes, only an apostrophe and a letter that may be the first of those seven stay together. Strings with other
+    characters or the beginning of a special token go to the tokenizer whole. New pieces are encoded many at a time
+    by the tokenizer's model, without the steps before it that change nothing in them, and told apart by the mark.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.pool = Pool(self._words, 1_200_000)
-        self.pieces: dict[str, bytes] = {}
+        self.pool = Pool(self._ids, 1_200_000)
+        probe = [c for c in map(chr, range(0x21, 0x280)) if _ONE_PIECE.fullmatch(c)]
+        probe += ["".join(probe[i : i + 3]).lower() for i in range(0, len(probe), 3) if _ONE_PIECE.fullmatch("".join(probe[i : i + 3]))]
+        if any(e.ids != self._model_ids([t]).tolist() for t, e in zip(probe, self.tokenizer.encode_batch_fast(probe, add_special_tokens=False))):
+            raise ValueError("the tokenizer does more than lower-case and cut")
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    def _model_ids(self, pieces: list[str]) -> np.ndarray:
+        return np.array(self.model.encode_batch_fast([" ".join(pieces).lower()], add_special_tokens=False)[0].ids, "<u4")
 
-    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _ids(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of strings without ASCII white space: how many each has, and all of them."""
-        texts = [w.decode() for w in words]
-        latin = np.ones(len(texts), bool)
-        if not _LATIN.fullmatch("".join(texts)):
-            latin = np.fromiter((_LATIN.fullmatch(t) is not None for t in texts), bool, len(texts))
-        counts = np.zeros(len(texts), np.int64)
-        others = [self._ids(texts[i]) for i in np.flatnonzero(~latin)]
-        counts[~latin] = [len(o) for o in others]
-        found = self._latin_ids([t for t, ok in zip(texts, latin) if ok] if others else texts)
-        breaks = np.flatnonzero(found == _BREAK)
-        if len(breaks) != int(latin.sum()):
+        texts = [s.decode() for s in stretches]
+        one = np.fromiter((_ONE_PIECE.fullmatch(t) is not None for t in texts), bool, len(texts))
+        others = [e.ids for e in self.tokenizer.encode_batch_fast([texts[i] for i in np.flatnonzero(~one)], add_special_tokens=False)]
+        pieces = [texts[i] for i in np.flatnonzero(one)] if others else texts
+        found = [self._model_ids(pieces[lo : lo + _AT_ONCE]) for lo in range(0, len(pieces), _AT_ONCE)]
+        ids = np.concatenate([np.zeros(0, "<u4"), *found])
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(pieces):
             raise ValueError("the tokenizer does not mark the ends of words")
-        counts[latin] = np.diff(breaks, prepend=-1) - 1
-        ids = np.empty(int(counts.sum()), "<u4")
-        if others:
-            mine = np.repeat(latin, counts)
-            ids[mine], ids[~mine] = found[found != _BREAK], np.concatenate(others)
-        else:
-            ids[:] = found[found != _BREAK]
-        return counts, ids
-
-    def _latin_ids(self, texts: list[str]) -> np.ndarray:
-        """Ids of the texts, a break behind each."""
-        if not texts:
-            return np.zeros(0, "<u4")
-        if len(self.pieces) > _CACHE_ENTRIES:
-            self.pieces = {k: v for k, v in self.pieces.items() if len(k) <= 6}  # short strings come again
-        self.pieces["\n"] = _BREAK.tobytes()
-        found = _PIECES.findall("\n".join(texts).lower() + "\n")
-        missing = list(set(found) - self.pieces.keys())
-        for lo in range(0, len(missing), 20_000):
-            some = missing[lo : lo + 20_000]
-            ids = self._ids(" ".join(some))
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) != len(some):
-                raise ValueError("the tokenizer does not mark the ends of words")
-            data, start = ids.tobytes(), 0
-            for piece, end in zip(some, (4 * last).tolist()):
-                self.pieces[piece] = data[start:end]
-                start = end
-        return np.frombuffer(b"".join(map(self.pieces.__getitem__, found)), "<u4")
+        counts = np.zeros(len(texts), np.int64)
+        counts[one] = np.diff(last, prepend=-1)
+        if not others:
+            return counts, ids
+        counts[~one] = [len(o) for o in others]
+        whole, mine = np.empty(int(counts.sum()), "<u4"), np.repeat(one, counts)
+        whole[mine], whole[~mine] = ids, [i for o in others for i in o]
+        return counts, whole
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts data[offsets[i] : offsets[i + 1]], and where those of each begin (one more entry than texts)."""
-        inside = ~_BLANK[data]
-        before = np.zeros(len(data), bool)
-        before[1:] = inside[:-1]
+        held = bytearray(data)
+        kinds = np.frombuffer(held.translate(_KINDS), np.uint8)
+        pairs = kinds.copy()
+        pairs[1:] += kinds[:-1] << 4
         first = offsets[:-1]
-        before[first[first < len(data)]] = False
-        starts = np.flatnonzero(inside & ~before)
+        first = first[first < len(data)]
+        pairs[first] = kinds[first]
+        steps = np.frombuffer(bytearray(pairs).translate(_STEPS), np.uint8)
+        text = np.frombuffer(held.translate(_LOWER), np.uint8)
+        odd = np.flatnonzero(steps & _ODD)
+        if len(odd):
+            begins = np.flatnonzero(steps & _START)
+            odd = np.unique(np.searchsorted(begins, odd, "right") - 1)
+            left = ragged(begins[odd], np.append(begins, len(data))[odd + 1] - begins[odd])
+            text[left] = data[left]
+            steps[left] &= _START
+        starts = np.flatnonzero(steps & (_START | _CUT))
         if not len(starts):
             return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
-        places = np.cumsum(inside)  # words stand side by side once the blanks are gone
-        words = self.pool.look_up(data[inside], np.append(places[starts] - 1, places[-1]))
+        inside = kinds != 0
+        places = np.cumsum(inside)  # pieces stand side by side once the blanks are gone
+        words = self.pool.look_up(text[inside], np.append(places[starts] - 1, places[-1]))
         counts = self.pool.counts[words]
         totals = np.append(0, np.cumsum(counts))
         return self.pool.tokens[ragged(self.pool.first[words], counts)], totals[np.searchsorted(starts, offsets)]

@@ -113,7 +113,10 @@ class Pool:
         found = np.full(len(sizes), -1)
         if not len(self.hashes):
             return found
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        order = np.argsort(hashes)  # searched in order: neighbours lie in the same cache lines
+        at = np.empty(len(hashes), np.int64)
+        at[order] = np.searchsorted(self.hashes, hashes[order])
+        at = np.minimum(at, len(self.hashes) - 1)
         numbers = self.numbers[at]
         same = (self.hashes[at] == hashes) & (self._sizes.held[numbers] == sizes)
         alike = np.flatnonzero(same)
